@@ -9,6 +9,7 @@ from ..operators.intervals import latest_version
 from ..session import materialize
 from ..sources.tables import table
 from .mixing import mix, shares
+from .subjects import learn, subject_areas
 from .survivors import filled, json_text, surviving_fields
 from .tokens import encode_texts, with_token_counts
 
@@ -49,4 +50,11 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return shares(sized_documents(spark, d), table(spark, d, "mix_targets"))
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p8_ids, p9_mix, p9_shares)}
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    """The subject areas that the author of each message writes about."""
+    documents = table(spark, d, "documents", "doc_id", "source", "text")
+    model = learn(documents, table(spark, d, "subject_labels", "doc_id", "subject"), table(spark, d, "subject_areas", "subject"))
+    return subject_areas(documents, model).distinct()
+
+
+QUERIES = {f.__name__: f for f in (p3_found, p8_ids, p9_mix, p9_shares, p10_found)}

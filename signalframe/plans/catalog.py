@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from . import problems, problems_sql
+from types import SimpleNamespace
 
-MODULES = ((problems, problems_sql),)
+from . import basics, problems, problems_sql
+
+MODULES = (SimpleNamespace(QUERIES=problems.QUERIES, SQL=problems_sql.SQL), basics)
 
 
 def queries() -> dict:
-    return {name: f for m, _ in MODULES for name, f in m.QUERIES.items()}
+    return {name: f for m in MODULES for name, f in m.QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: sql for _, m in MODULES for name, sql in m.SQL.items()}
+    return {name: sql for m in MODULES for name, sql in m.SQL.items()}

@@ -36,7 +36,8 @@ def positive(value: Column) -> Column:
 
 
 def rounded(value: Column, digits: int = 6) -> Column:
-    return F.round(value, digits)
+    """Rounded half up, never a negative zero."""
+    return F.round(value, digits) + 0.0
 
 
 def logistic(x: Column) -> Column:

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from types import SimpleNamespace
 
-from . import basics, problems, problems_sql
+from . import basics, metric_queries, problems, problems_sql
 
-MODULES = (SimpleNamespace(QUERIES=problems.QUERIES, SQL=problems_sql.SQL), basics)
+MODULES = (SimpleNamespace(QUERIES=problems.QUERIES, SQL=problems_sql.SQL), basics, metric_queries)
 
 
 def queries() -> dict:

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from types import SimpleNamespace
 
-from . import basics, metric_queries, problems, problems_sql
+from . import basics, metric_queries, normalize_queries, problems, problems_sql, reconcile_queries
 
-MODULES = (SimpleNamespace(QUERIES=problems.QUERIES, SQL=problems_sql.SQL), basics, metric_queries)
+MODULES = (SimpleNamespace(QUERIES=problems.QUERIES, SQL=problems_sql.SQL), basics, metric_queries, normalize_queries, reconcile_queries)
 
 
 def queries() -> dict:

@@ -43,7 +43,7 @@ def _parameters(value: str) -> dict[str, str]:
 
 def repair(text: str) -> str:
     """Undo UTF-8 that was read as a one-byte character set."""
-    if _MOJIBAKE.search(text):
+    if ("Ã" in text or "Â" in text) and _MOJIBAKE.search(text):
         for charset in ("cp1252", "latin-1"):
             try:
                 return text.encode(charset).decode("utf-8")
@@ -100,19 +100,21 @@ def body_text(headers: dict[str, str], body: str, depth: int = 0) -> str:
         if boundary is None:
             m = re.search(r"(?m)^--(\S+)\s*$", body)
             boundary = m[1] if m else ""
-        parts = re.split(r"(?m)^--" + re.escape(boundary) + r"(?:--)?[ \t]*$", body)[1:]
+        parts = []
+        for p in ("\n" + body).split(f"\n--{boundary}")[1:]:
+            rest, _, p = p.partition("\n")
+            if rest.strip() in ("", "--"):  # else another boundary that begins alike
+                parts.append(split_headers(p) if _HEADER.match(p.split("\n", 1)[0]) else ({}, p))
+        if main == "multipart/alternative":  # the plain one if it says anything
+            parts.sort(key=lambda part: not part[0].get("content-type", "text/plain").lower().startswith("text/plain"))
         read = []
-        for p in parts:
-            p = p.lstrip("\n") if not p.startswith("\n\n") else p[1:]
-            h, b = split_headers(p) if _HEADER.match(p.split("\n", 1)[0]) else ({}, p)
+        for h, b in parts:
             text = body_text(h, b, depth + 1)
-            read.append((h.get("content-type", "text/plain").split(";")[0].strip().lower(), text))
-        read = [(k, t) for k, t in read if t.strip()]
-        if not read:
-            return ""
-        if main == "multipart/alternative":
-            return next((t for k, t in read if k == "text/plain"), read[0][1])
-        return read[0][1] if main == "multipart/related" else "\n".join(t for _, t in read)
+            if text.strip():
+                read.append(text)
+                if main in ("multipart/alternative", "multipart/related"):
+                    break
+        return "\n".join(read)
     if main == "message/rfc822" or (main and not main.startswith("text/") and depth):
         return ""
     text = decode_body(body, headers.get("content-transfer-encoding", ""), parameters.get("charset", ""))
@@ -138,6 +140,7 @@ _OPENS = re.compile(r"^(On|Am|Le|El)\b")
 _OLD_MESSAGE = re.compile(r"^-{3,}\s*\w.*\w\s*-{3,}\s*$")
 _FIELD = re.compile(r"(?i)^\*?(from|von|de|sent|gesendet|envoyé|enviado|date|datum|to|an|para|subject|betreff|objet|asunto)\s?:\*?\s")
 _RULE = re.compile(r"^\s*([_*=~-])\1{4,}\s*$")
+_RULES, _ENCODED = frozenset("_*=~- \t"), re.compile(r"^begin [0-7]{3} \S")
 _SIGNATURE = re.compile(r"^--\s*$")
 _NOTICE = re.compile(r"(?i)\b(confidential|vertraulich|confidentiel|confidencial|disclaimer|malware|viruses|liability|haftung|responsabilité|responsabilidad|at your own risk|advice|views (stated|expressed))\b")
 _ASIDES = re.compile(r"(?:^|(?<=[.!?…] ))\([^()]*\)")
@@ -150,16 +153,17 @@ def own_lines(body: str) -> list[str]:
     lines, out, i = body.split("\n"), [], 0
     while i < len(lines):
         line = lines[i].rstrip()
-        if re.match(r"^begin [0-7]{3} \S", line):
+        head = line[:1]
+        if head == "b" and _ENCODED.match(line):
             while i < len(lines) and lines[i].strip() != "end":
                 i += 1
-        elif _SIGNATURE.match(line) or _OLD_MESSAGE.match(line) or _RULE.match(line):
+        elif head in _RULES and (_SIGNATURE.match(line) or _OLD_MESSAGE.match(line) or _RULE.match(line)):
             break
-        elif _FIELD.match(line) and i + 1 < len(lines) and _FIELD.match(lines[i + 1]):
+        elif ":" in line and _FIELD.match(line) and i + 1 < len(lines) and _FIELD.match(lines[i + 1]):
             break
-        elif _QUOTE.match(line):
+        elif (">" in line or "|" in line) and _QUOTE.match(line):
             out.append("")
-        elif _WROTE.search(line):
+        elif line.endswith(":") and _WROTE.search(line):
             if out and _OPENS.match(out[-1]) and not out[-1].endswith((".", "!", "?")):
                 out.pop()
             out.append("")
@@ -177,7 +181,7 @@ def own_sentences(body: str) -> list[str]:
         if not text:
             continue
         sentences = [s for s in _END.split(text) if s and _FULL_STOP.search(s)]
-        if sum(bool(_NOTICE.search(s)) for s in sentences) * 2 >= len(sentences) and _NOTICE.search(text):
+        if _NOTICE.search(text) and sum(bool(_NOTICE.search(s)) for s in sentences) * 2 >= len(sentences):
             continue
         out += sentences
     return out

@@ -5,11 +5,12 @@ probability of each subject. Chain: for each subject in turn, a logistic model o
 clearly, of the message's source and structure, and of the subjects decided before it (so that subjects that go together
 or exclude each other are known). It is fitted on sentence scores from models that haven't seen the message. Labels are
 incomplete, so the chain's probabilities are divided by how often a clear subject (the main one, or another) is labelled. The most probable
-combination is found by beam search; a subject must then be dealt with in at least two sentences.
+combination of the subjects that at least two sentences deal with is found by beam search.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -27,6 +28,8 @@ MOST_LABELLED = 6000
 #: Sources with a feature of their own (the most frequent of the sample); the others share one.
 MOST_SOURCES = 30
 LEAST_SENTENCES, SENTENCE_CUT, BEAM = 2, 0.42, 16
+#: Messages whose sentences are scored together.
+ROWS_AT_ONCE = 500
 #: From this score on a sentence is clear; labels are taken to name at least this share of the subjects.
 CLEAR, LEAST_RATE = 0.65, 0.4
 _WORDS = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*").findall
@@ -56,11 +59,17 @@ class TermModel:
     bias: np.ndarray
 
     def sentence_scores(self, sentences: list[str]) -> np.ndarray:
-        out = np.empty((len(sentences), len(self.bias)))
-        for i, s in enumerate(sentences):
-            known = [v for v in map(self.vocabulary.get, terms(s)) if v is not None]
-            out[i] = self.bias + (self.weights[known].sum(0) / np.sqrt(len(known)) if known else 0)
-        return _sigmoid(out)
+        """Probability of each subject in each sentence, for all sentences at once."""
+        get = self.vocabulary.get
+        rows = [[v for v in map(get, terms(s)) if v is not None] for s in sentences]
+        sizes = np.fromiter(map(len, rows), np.int64, len(rows))
+        out = np.zeros((len(rows), len(self.bias)))
+        known = np.flatnonzero(sizes)
+        if len(known):
+            flat = np.fromiter((v for r in rows for v in r), np.int64, int(sizes.sum()))
+            starts = np.concatenate([[0], np.cumsum(sizes[known])[:-1]])
+            out[known] = np.add.reduceat(self.weights[flat], starts, axis=0) / np.sqrt(sizes[known])[:, None]
+        return _sigmoid(out + self.bias)
 
 
 def fit_terms(messages: list[list[str]], labels: np.ndarray, *, rounds: int = 2, steps: int = 60, rate: float = 0.5, decay: float = 0.01) -> TermModel:
@@ -139,24 +148,27 @@ class SubjectModel:
         return np.concatenate([[1.0, np.log1p(n_sentences)], structure, one])
 
     def decide(self, scores: np.ndarray, structure: list[float], source: str | None) -> list[str]:
-        """The most probable combination of subjects, by beam search along the chain; then the count of sentences."""
+        """The most probable combination of the subjects that enough sentences deal with, by beam search along the chain."""
         enough = (scores > SENTENCE_CUT).sum(0) >= LEAST_SENTENCES
         if not enough.any():
             return []
         common, ev = self.common(len(scores), structure, source), evidence(scores)
         rate = np.where(ev[:, 6] >= ev[:, 6].max(), *self.labelled_rate)
-        beam: list[tuple[float, list[float]]] = [(0.0, [])]
+        # only a subject of enough sentences can be chosen: the others stay 0 in every combination
+        beam: list[tuple[float, list[int]]] = [(0.0, [])]  # log probability, places in the chain of the subjects chosen
+        width = len(common) + ev.shape[1]
         for at, j in enumerate(self.order):
+            if not enough[j]:
+                continue
             w = self.chain[at]
-            fixed = w[: len(common) + ev.shape[1]] @ np.concatenate([common, ev[j]])
-            rest = w[len(common) + ev.shape[1] :]
+            fixed = float(w[: len(common)] @ common + w[len(common) : width] @ ev[j])
             grown = []
-            for logp, y in beam:
-                p = min(0.999, max(0.001, float(_sigmoid(fixed + rest @ np.array(y) if at else fixed)) / rate[j]))
-                grown += [(logp + np.log(p), [*y, 1.0]), (logp + np.log(1 - p), [*y, 0.0])]
+            for logp, chosen in beam:
+                z = fixed + sum(float(w[width + c]) for c in chosen)
+                p = min(0.999, max(0.001, 1 / (1 + math.exp(-max(-30.0, min(30.0, z)))) / float(rate[j])))
+                grown += [(logp + math.log(p), [*chosen, at]), (logp + math.log(1 - p), chosen)]
             beam = sorted(grown, key=lambda b: -b[0])[:BEAM]
-        chosen = beam[0][1]
-        return [self.subjects[j] for at, j in enumerate(self.order) if chosen[at] and enough[j]]
+        return [self.subjects[self.order[at]] for at in beam[0][1]]
 
 
 def fit(messages: list[tuple[list[str], list[float], str | None]], labels: np.ndarray, subjects: list[str]) -> SubjectModel:
@@ -224,14 +236,18 @@ def subject_areas(documents: DataFrame, model: SubjectModel) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: SubjectModel = shared.value
-        for b in batches:
+        for whole in batches:
             ids, found = [], []
-            for d, source, text in zip(b.column("doc_id").to_pylist(), b.column("source").to_pylist(), texts_of(b.column("text")), strict=True):
-                sentences, structure = read_message(text)
-                if sentences and m.subjects:
-                    for s in m.decide(m.term_model.sentence_scores(sentences), structure, source):
-                        ids.append(d)
-                        found.append(s)
+            for first in range(0, whole.num_rows, ROWS_AT_ONCE):
+                b = whole.slice(first, ROWS_AT_ONCE)
+                read = [read_message(t) for t in texts_of(b.column("text"))]
+                ends = np.cumsum([len(r[0]) for r in read])
+                scores = m.term_model.sentence_scores([s for r in read for s in r[0]])
+                for d, source, (sentences, structure), end in zip(b.column("doc_id").to_pylist(), b.column("source").to_pylist(), read, ends, strict=True):
+                    if sentences and m.subjects:
+                        for s in m.decide(scores[end - len(sentences) : end], structure, source):
+                            ids.append(d)
+                            found.append(s)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(found, pa.string())], names=["doc_id", "subject"])
 
     return documents.select("doc_id", "source", "text").mapInArrow(run, "doc_id bigint, subject string")

@@ -27,7 +27,10 @@ from .tokens import texts_of
 MOST_LABELLED = 6000
 #: Sources with a feature of their own (the most frequent of the sample); the others share one.
 MOST_SOURCES = 30
-LEAST_SENTENCES, SENTENCE_CUT, BEAM = 2, 0.42, 16
+#: A sentence deals with a subject if its score is this part of the way from the subject's share of all messages (about what
+#: a sentence that any message may have scores) to 1.
+SENTENCE_LIFT = 0.34
+LEAST_SENTENCES, BEAM = 2, 16
 #: Messages whose sentences are scored together.
 ROWS_AT_ONCE = 500
 #: From this score on a sentence is clear; labels are taken to name at least this share of the subjects.
@@ -112,11 +115,17 @@ def fit_terms(messages: list[list[str]], labels: np.ndarray, *, rounds: int = 2,
     return TermModel(vocabulary, weights.astype(np.float32), bias)
 
 
-def evidence(scores: np.ndarray) -> np.ndarray:
+def cuts(labels: np.ndarray) -> np.ndarray:
+    """The score from which on a sentence deals with each subject."""
+    share = labels.mean(0) if len(labels) else np.zeros(labels.shape[1])
+    return share + SENTENCE_LIFT * (1 - share)
+
+
+def evidence(scores: np.ndarray, cut: np.ndarray) -> np.ndarray:
     """For each subject: whether one, two, three or more sentences deal with it, the clearest two scores, and the share."""
     k = scores.shape[1]
     top = -np.sort(-np.vstack([scores, np.zeros((2, k))]), axis=0)[:2]
-    n = (scores > SENTENCE_CUT).sum(0)
+    n = (scores > cut).sum(0)
     return np.stack([n >= 1, n >= 2, n >= 3, n >= 4, top[0], top[1], n / max(1, len(scores))], 1).astype(float)
 
 
@@ -141,6 +150,7 @@ class SubjectModel:
     sources: dict[str, int]
     chain: list[np.ndarray]
     labelled_rate: np.ndarray
+    cut: np.ndarray
 
     def common(self, n_sentences: int, structure: list[float], source: str | None) -> np.ndarray:
         one = np.zeros(len(self.sources) + 1)
@@ -149,10 +159,10 @@ class SubjectModel:
 
     def decide(self, scores: np.ndarray, structure: list[float], source: str | None) -> list[str]:
         """The most probable combination of the subjects that enough sentences deal with, by beam search along the chain."""
-        enough = (scores > SENTENCE_CUT).sum(0) >= LEAST_SENTENCES
+        enough = (scores > self.cut).sum(0) >= LEAST_SENTENCES
         if not enough.any():
             return []
-        common, ev = self.common(len(scores), structure, source), evidence(scores)
+        common, ev = self.common(len(scores), structure, source), evidence(scores, self.cut)
         rate = np.where(ev[:, 6] >= ev[:, 6].max(), *self.labelled_rate)
         # only a subject of enough sentences can be chosen: the others stay 0 in every combination
         beam: list[tuple[float, list[int]]] = [(0.0, [])]  # log probability, places in the chain of the subjects chosen
@@ -180,7 +190,7 @@ def fit(messages: list[tuple[list[str], list[float], str | None]], labels: np.nd
         count[name] = count.get(name, 0) + 1
     sources = {s: i for i, s in enumerate(sorted(sorted(count), key=lambda s: -count[s])[:MOST_SOURCES])}
     order = [int(j) for j in np.argsort(-labels.sum(0), kind="stable")]
-    model = SubjectModel(subjects, order, fit_terms(texts, labels), sources, [], np.ones(2))
+    model = SubjectModel(subjects, order, fit_terms(texts, labels), sources, [], np.ones(2), cuts(labels))
     half = np.arange(len(texts)) % 2
     scores: list[np.ndarray] = [np.zeros((0, len(subjects)))] * len(texts)
     for part in (0, 1):  # scores of messages the term model hasn't seen
@@ -193,7 +203,7 @@ def fit(messages: list[tuple[list[str], list[float], str | None]], labels: np.nd
         model.chain = [np.zeros(width + at) for at in range(len(subjects))]
         return model
     common = np.stack([model.common(len(m[0]), m[1], m[2]) for m in messages])
-    ev = np.stack([evidence(s) for s in scores])
+    ev = np.stack([evidence(s, model.cut) for s in scores])
     for at, j in enumerate(order):
         x = np.hstack([common, ev[:, j], labels[:, order[:at]]])
         model.chain.append(fit_logistic(x, labels[:, j]))

@@ -103,6 +103,11 @@ def night_metrics(nights: DataFrame) -> DataFrame:
     sound = F.col("complete") & (tst <= tib + 1) & (F.abs(tst + F.col("awake") - tib) <= 1)
     stage = lambda c: F.when(sound, c)
 
+    def percent(part: Column, whole: Column) -> Column:
+        """100 is kept although sums of minutes are a little more than their parts now and then."""
+        p = finite_between(F.try_divide(part * 100, whole), 0, 100 + 1e-9)
+        return F.when(p > 100, 100.0).otherwise(p)
+
     def metric(name: str, value: Column, unit: str, status: str = "VALID", optional: bool = False) -> Column:
         v = value.cast("double")
         row = F.struct(F.lit(name).alias("metric"), v.alias("value"), F.lit(unit).alias("unit"), F.when(v.isNull(), "INSUFFICIENT_DATA").otherwise(status).alias("status"))
@@ -114,8 +119,8 @@ def night_metrics(nights: DataFrame) -> DataFrame:
         metric("sleep.total_sleep_time_min", stage(tst), "min"),
         *[metric(f"sleep.{k}_min", stage(F.col(k)), "min") for k in STAGES],
         metric("sleep.efficiency_pct", stage(finite_between(F.col("efficiency"), 0, 100.1)), "%"),
-        *[metric(f"sleep.{k}_pct", stage(finite_between(F.try_divide(F.col(k) * 100, tst), 0, 100)), "%") for k in ASLEEP],
-        metric("sleep.awake_pct", stage(finite_between(F.try_divide(F.col("awake") * 100, tib), 0, 100)), "%"),
+        *[metric(f"sleep.{k}_pct", stage(percent(F.col(k), tst)), "%") for k in ASLEEP],
+        metric("sleep.awake_pct", stage(percent(F.col("awake"), tib)), "%"),
         metric("spo2.nightly_count", F.col("spo2_samples"), "count"),
         metric("spo2.nightly_span_min", F.col("spo2_span_min"), "min"),
         *[metric(f"spo2.nightly_{k}", finite_between(F.col(f"spo2_{k}"), 0, 100), "%") for k in ("mean", "min", "p10")],

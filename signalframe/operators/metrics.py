@@ -65,23 +65,20 @@ def ewmas(series: DataFrame, by: str, value: str, *, days: int = 30, least: int
 def trends(series: DataFrame, by: str, value: str, *, windows: tuple[tuple[int, int], ...] = ((14, 7), (30, 14), (90, 30)), least_share: float = 0.6, widest_gap: int = 7) -> DataFrame:
     """Theil-Sen slope per week over calendar windows that include the day; a window needs enough days, and no wide gap."""
     s = series.select(by, "day", F.col(value).cast("double").alias("v")).filter("v is not null")
-    parts = []
-    for width, least in windows:
-        p = s.withColumn("p", series_in(calendar([by], "day", -(width - 1), 0), "day", "v")).withColumn("n", F.size("p"))
-        p = p.filter((F.col("n") >= least) & (F.col("n") / width >= least_share) & (max_gap(F.col("p")) <= widest_gap))
-        slope = st.theil_sen(F.transform("p", lambda x: x["d"].cast("double")), F.transform("p", lambda x: x["v"]))
-        parts.append(p.select(by, "day", F.lit(width).alias("window_days"), F.col("n").cast("bigint").alias("n"), (slope * 7).alias("per_week")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    widest = max(w for w, _ in windows)
+    s = s.withColumn("p", series_in(calendar([by], "day", -(widest - 1), 0), "day", "v"))
+    slopes = st.theil_sen_windows(windows, least_share, widest_gap)
+    found = s.select(by, "day", F.explode(slopes(F.col("day"), F.transform("p", lambda x: x["d"].cast("double")), F.transform("p", lambda x: x["v"]))).alias("f"))
+    return found.select(by, "day", F.col("f.width").alias("window_days"), F.col("f.n").alias("n"), (F.col("f.slope") * 7).alias("per_week"))
 
 
 def regularity(nights: DataFrame, by: str, bed: str, wake: str, *, days: int = 14, least: int = 5) -> DataFrame:
     """0 to 100 from the circular spread of bed and wake clock minutes over the last nights; CALIBRATING with too few."""
     w = calendar([by], "day", -(days - 1), 0)
-    n = nights.select(by, "day", F.collect_list(F.col(bed)).over(w).alias("beds"), F.collect_list(F.col(wake)).over(w).alias("wakes"))
-    sigma = (st.circular_sd(F.col("beds")) + st.circular_sd(F.col("wakes"))) / 2
+    sums = {f"{c}_{g.__name__}": F.sum(g(st.angle(F.col(k)))).over(w) for c, k in (("bed", bed), ("wake", wake)) for g in (F.sin, F.cos)}
+    n = nights.select(by, "day", F.collect_list(F.col(bed)).over(w).alias("beds"), F.collect_list(F.col(wake)).over(w).alias("wakes"), *[v.alias(k) for k, v in sums.items()])
+    spread = lambda c: st.circular_sd(F.col(f"{c}s"), st.circular_mean(F.col(f"{c}_sin"), F.col(f"{c}_cos")))
+    sigma = (spread("bed") + spread("wake")) / 2
     n = n.withColumns({"n": F.size("beds"), "sigma": sigma})
     ready = F.col("n") >= least
     score = F.rint(100.0 * (1 - F.least(F.greatest(F.col("sigma") - 20, F.lit(0.0)), F.lit(100.0)) / 100))

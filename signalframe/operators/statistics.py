@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructField, StructType
 
 #: Consistency factor of the median absolute deviation; EWMA weight over 30 days.
 MAD_SCALE, EWMA_ALPHA = 1.4826, 2 / 31
@@ -37,35 +37,53 @@ def ewma(values: Column, alpha: float = EWMA_ALPHA) -> Column:
     return F.when(F.size(values) > 0, F.aggregate(rest, F.element_at(values, 1), lambda a, v: a + (v - a) * alpha))
 
 
-def circular_residuals(minutes: Column, of: float = 1440.0) -> Column:
-    """Clock minutes of an array as differences from their circular mean, in (-of/2, of/2]."""
-    turn = 2 * math.pi / of
-    total = lambda f: F.aggregate(minutes, F.lit(0.0), lambda a, m: a + f(m.cast("double") * turn))
-    mean = F.atan2(total(F.sin), total(F.cos)) / turn
-    return F.transform(minutes, lambda m: F.pmod(m.cast("double") - mean + of / 2, F.lit(of)) - of / 2)
+def array_sd(values: Column) -> Column:
+    """Population standard deviation of an array, in one pass (running mean and sum of squares)."""
+    zero = F.struct(F.lit(0.0).alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"))
 
+    def step(a: Column, v: Column) -> Column:
+        mean = a["mean"] + (v - a["mean"]) / (a["n"] + 1)
+        return F.struct((a["n"] + 1).alias("n"), mean.alias("mean"), (a["m2"] + (v - a["mean"]) * (v - mean)).alias("m2"))
 
-def array_sd(values: Column) -> Column:
-    """Population standard deviation of an array."""
-    n = F.size(values)
-    mean = F.aggregate(values, F.lit(0.0), lambda a, v: a + v) / n
-    return F.when(n > 0, F.sqrt(F.aggregate(F.transform(values, lambda v: (v - mean) * (v - mean)), F.lit(0.0), lambda a, v: a + v) / n))
-
-
-def circular_sd(minutes: Column, of: float = 1440.0) -> Column:
-    return array_sd(circular_residuals(minutes, of))
-
-
-@F.pandas_udf(DoubleType())
-def theil_sen(days: pd.Series, values: pd.Series) -> pd.Series:
-    """Median slope a day over all pairs of different days; the arrays hold one calendar window (at most 90 days)."""
-    out = np.full(len(days), np.nan)
-    for i, (d, v) in enumerate(zip(days, values, strict=True)):
-        if d is not None and len(d) > 1:
-            d, v = np.asarray(d, float), np.asarray(v, float)
-            a, b = np.triu_indices(len(d), 1)
-            step = d[b] - d[a]
-            ok = step > 0
-            if ok.any():
-                out[i] = np.median((v[b][ok] - v[a][ok]) / step[ok])
-    return pd.Series(out).astype("Float64").mask(np.isnan(out))
+    return F.aggregate(values, zero, step, lambda a: F.when(a["n"] > 0, F.sqrt(a["m2"] / a["n"])))
+
+
+def circular_mean(sines: Column, cosines: Column, of: float = 1440.0) -> Column:
+    """Mean clock minute from the sums of the sines and cosines of clock angles."""
+    return F.atan2(sines, cosines) * (of / (2 * math.pi))
+
+
+def angle(minutes: Column, of: float = 1440.0) -> Column:
+    return minutes.cast("double") * (2 * math.pi / of)
+
+
+def circular_sd(minutes: Column, mean: Column, of: float = 1440.0) -> Column:
+    """Standard deviation of clock minutes around their circular mean, differences taken the short way round.
+
+    ``mean`` is evaluated for each element: pass a column, not an aggregate of the array.
+    """
+    return array_sd(F.transform(minutes, lambda m: F.pmod(m.cast("double") - mean + of / 2, F.lit(of)) - of / 2))
+
+
+def theil_sen_windows(widths: tuple[tuple[int, int], ...], least_share: float, widest_gap: int):
+    """A function of (day, sorted days, values) of the widest calendar window: for each width that has enough days and no
+    wide gap, (width, days, median slope a day over all pairs of different days)."""
+
+    @F.pandas_udf(ArrayType(StructType([StructField("width", IntegerType()), StructField("n", LongType()), StructField("slope", DoubleType())])))
+    def slopes(day: pd.Series, days: pd.Series, values: pd.Series) -> pd.Series:
+        out = []
+        for at, d, v in zip(day, days, values, strict=True):
+            d, v, found = np.asarray(d, float), np.asarray(v, float), []
+            for width, least in widths:
+                first = int(np.searchsorted(d, at - width + 1))
+                x, y = d[first:], v[first:]
+                if len(x) >= max(2, least, least_share * width) and np.diff(x).max() <= widest_gap:
+                    a, b = np.triu_indices(len(x), 1)
+                    step = x[b] - x[a]
+                    ok = step > 0
+                    if ok.any():
+                        found.append((width, len(x), float(np.median((y[b] - y[a])[ok] / step[ok]))))
+            out.append(found)
+        return pd.Series(out)
+
+    return slopes

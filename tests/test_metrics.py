@@ -62,7 +62,8 @@ def test_statistics(spark):
         e += (x - e) * 2 / 31
     assert got[0][2] == round(e, 6)
     clockwise = spark.createDataFrame([([1430.0, 10.0],)], "a array<double>")
-    assert round(clockwise.select(st.circular_sd(a)).first()[0], 6) == 10.0
+    assert round(clockwise.select(st.circular_sd(a, F.lit(0.0))).first()[0], 6) == 10.0
+    assert round(clockwise.select(st.circular_mean(F.lit(-1.0), F.lit(0.0))).first()[0], 6) == -360.0
 
 
 def test_theil_sen_ignores_an_outlier(spark):

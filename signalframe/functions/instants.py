@@ -87,13 +87,13 @@ def with_instant(df, text: str, offset: str | None, zone: str | None, local_date
     - Day and month of slashed dates: with AM/PM month first, else day first; where only one order is a date, or only
       one gives ``local_date`` (ISO), that order.
     - Impossible dates and clock times, blanks, nulls and other texts denote no instant.
-    Extra columns stay untouched; helper columns start with ``__`` and are dropped.
+    Extra columns stay untouched; helper columns start with ``__instant_`` and are dropped.
     """
     zones = known_zones(df.sparkSession)
     null_long, null_text = F.lit(None).cast("long"), F.lit(None).cast("string")
     plain = F.col(text).rlike(r"^\d{10}$")
-    df = df.withColumn("__p", F.when(~plain, components(F.col(text))))
-    p = F.col("__p")
+    df = df.withColumn("__instant_p_", F.when(~plain, components(F.col(text))))
+    p = F.col("__instant_p_")
     seconds_off = F.col(offset).cast("long") if offset else null_long
     zone_col = zone_or_null(F.col(zone), zones) if zone else null_text
     date = F.to_date(F.when(F.col(local_date).rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date(F.col(local_date), "yyyy-MM-dd"))) if local_date else F.lit(None).cast("date")
@@ -105,34 +105,34 @@ def with_instant(df, text: str, offset: str | None, zone: str | None, local_date
         "epoch": F.coalesce(_num(p, "eSec") * 1_000_000 + _micros(_text(p, "ef")), _num(p, "eMil") * 1000, _num(p, "eMic"), F.floor(_num(p, "eNan") / 1000).cast("long")),
     }
     # flat columns, not one struct: the optimizer would copy a struct's fields into each use
-    df = df.withColumns({f"__{k}": v for k, v in parsed.items()})
-    c = {k: F.col(f"__{k}") for k in parsed}
+    df = df.withColumns({f"__instant_{k}": v for k, v in parsed.items()})
+    c = {k: F.col(f"__instant_{k}") for k in parsed}
     y = c["y"]
     fits = lambda m, d: F.coalesce(m.between(1, 12) & (d >= 1) & (d <= days_in_month(y, m)), F.lit(False))
     agrees = lambda m, d: F.coalesce((F.year(c["date"]) == y) & (F.month(c["date"]) == m) & (F.dayofmonth(c["date"]) == d), F.lit(False))
     us_order = fits(c["a"], c["b"])
     eu_order = fits(c["b"], c["a"])
     month_first = F.when(us_order & ~eu_order, True).when(eu_order & ~us_order, False).when(agrees(c["a"], c["b"]), True).when(agrees(c["b"], c["a"]), False).otherwise(c["ap"].isNotNull())
-    df = df.withColumn("__first", month_first)
-    month_first = F.col("__first")
-    df = df.withColumn("__mo", F.when(c["a"].isNull(), c["m"]).otherwise(F.when(month_first, c["a"]).otherwise(c["b"])))
-    df = df.withColumn("__da", F.when(c["a"].isNull(), c["d"]).otherwise(F.when(month_first, c["b"]).otherwise(c["a"])))
+    df = df.withColumn("__instant_first_", month_first)
+    month_first = F.col("__instant_first_")
+    df = df.withColumn("__instant_mo_", F.when(c["a"].isNull(), c["m"]).otherwise(F.when(month_first, c["a"]).otherwise(c["b"])))
+    df = df.withColumn("__instant_da_", F.when(c["a"].isNull(), c["d"]).otherwise(F.when(month_first, c["b"]).otherwise(c["a"])))
     hour = F.when(c["ap"].isNull(), c["h"]).when(c["h"].between(1, 12), F.pmod(c["h"], F.lit(12)) + F.when(c["ap"] == "p", 12).otherwise(0))
-    valid = fits(F.col("__mo"), F.col("__da")) & (y >= 1) & hour.between(0, 23) & c["i"].between(0, 59) & c["s"].between(0, 59)
-    local = F.when(valid, days_from_civil(y, F.col("__mo"), F.col("__da")) * 86400 + hour * 3600 + c["i"] * 60 + c["s"])
+    valid = fits(F.col("__instant_mo_"), F.col("__instant_da_")) & (y >= 1) & hour.between(0, 23) & c["i"].between(0, 59) & c["s"].between(0, 59)
+    local = F.when(valid, days_from_civil(y, F.col("__instant_mo_"), F.col("__instant_da_")) * 86400 + hour * 3600 + c["i"] * 60 + c["s"])
     digits = F.regexp_replace(c["z"], "[^0-9]", "")
     off_h, off_m = F.substring(digits, 1, 2).try_cast("long"), F.coalesce(F.substring(digits, 3, 2).try_cast("long"), F.lit(0))
     own = F.when(c["z"].isNull(), null_long).when(digits == "", 0).when((off_h <= 18) & (off_m <= 59), (off_h * 3600 + off_m * 60) * F.when(F.substring(c["z"], 1, 1) == "-", -1).otherwise(1))
-    df = df.withColumn("__l", local)
-    at_zone = lambda z: F.unix_seconds(F.to_utc_timestamp(F.timestamp_seconds(F.col("__l")), z))
+    df = df.withColumn("__instant_l_", local)
+    at_zone = lambda z: F.unix_seconds(F.to_utc_timestamp(F.timestamp_seconds(F.col("__instant_l_")), z))
     named = zone_or_null(c["zn"], zones)
     seconds = (
-        F.when(c["z"].isNotNull(), F.col("__l") - own)
+        F.when(c["z"].isNotNull(), F.col("__instant_l_") - own)
         .when(named.isNotNull(), at_zone(named))
-        .when(seconds_off.isNotNull(), F.col("__l") - seconds_off)
+        .when(seconds_off.isNotNull(), F.col("__instant_l_") - seconds_off)
         .when(zone_col.isNotNull(), at_zone(zone_col))
     )
     instant = F.when(plain, F.col(text).try_cast("long") * 1_000_000).when(c["epoch"].isNotNull(), c["epoch"]).otherwise(seconds * 1_000_000 + c["us"])
     # always true, but not to the optimizer: else a filter on the result would carry copies of all of the above below it
     guarded = F.when(F.monotonically_increasing_id() >= 0, instant)
-    return df.withColumn(out, guarded).drop("__p", "__first", "__mo", "__da", "__l", *[f"__{k}" for k in parsed])
+    return df.withColumn(out, guarded).drop("__instant_p_", "__instant_first_", "__instant_mo_", "__instant_da_", "__instant_l_", *[f"__instant_{k}" for k in parsed])

@@ -119,3 +119,22 @@ def mirror(new: DataFrame, old: DataFrame, key: str, unchanged: list[str], impor
     for c in unchanged:
         same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
     return new.join(o, key, "left").withColumn(imported, F.when(same & F.col("__at").isNotNull(), F.col("__at")).otherwise(now)).drop("__at", *[f"__{c}" for c in unchanged])
+
+
+class Refused(RuntimeError):
+    """Nothing is published: the input doesn't look like a complete, unambiguous set of sources."""
+
+
+def check_sources(known: DataFrame, present: DataFrame) -> None:
+    """Refuse if a known source is absent now, or if two files claim one key (source_key, relative_path)."""
+    absent = known.select("source_key").distinct().join(present.select("source_key").distinct(), "source_key", "left_anti").limit(5).collect()
+    twice = present.groupBy("source_key").agg(F.count_distinct("relative_path").alias("n")).filter("n > 1").limit(5).collect()
+    if absent or twice:
+        raise Refused(f"absent: {[r[0] for r in absent]}; ambiguous: {[r[0] for r in twice]}")
+
+
+def archived_blobs(blobs: DataFrame, changed: DataFrame, archive: DataFrame) -> DataFrame:
+    """The archive with the blobs of changed records added, each content once."""
+    key = ["physical_record_id", "column_name", "sha256"]
+    fresh = blobs.join(changed.select("physical_record_id").distinct(), "physical_record_id", "left_semi").dropDuplicates(key)
+    return archive.unionByName(fresh.join(archive.select(*key), key, "left_anti"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from ..operators.json_profile import json_keys
 from . import normalize as n
 from .common import DataFrame, F, SparkSession, registry, table
 
@@ -63,3 +64,14 @@ def nrm_flatten_json(spark: SparkSession, d: str) -> DataFrame:
     f = n.flatten(p, ["physical_record_id"], F.try_parse_json("row_json"))
     as_text = F.coalesce("text_value", F.col("numeric_value").cast("string"))
     return f.groupBy("field_path").agg(F.count("*").alias("n"), F.count_distinct(as_text).alias("n_values"), F.min("numeric_value").alias("lowest"), F.max("numeric_value").alias("highest"), F.max("text_value").alias("last_text"))
+
+
+@query(
+    """with k as (select row_json::json as j, unnest(json_keys(row_json)) as path from physical_records where json_valid(row_json))
+    select path, case json_type(j, '$.' || path) when 'VARCHAR' then 'string' when 'NULL' then 'null' when 'BOOLEAN' then 'boolean' else 'number' end as kind, count(*)::bigint as n,
+      min(case when json_type(j, '$.' || path) in ('UBIGINT', 'BIGINT', 'DOUBLE') then json_extract_string(j, '$.' || path)::double end) as lowest, max(case when json_type(j, '$.' || path) in ('UBIGINT', 'BIGINT', 'DOUBLE') then json_extract_string(j, '$.' || path)::double end) as highest
+    from k group by 1, 2"""
+)
+def prf_json_keys(spark: SparkSession, d: str) -> DataFrame:
+    """PRF-04: keys of the JSON rows with their kinds, counts and ranges."""
+    return json_keys(table(spark, d, "physical_records", "row_json"), "row_json")

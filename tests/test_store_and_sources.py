@@ -240,3 +240,36 @@ def test_windowed_rates(spark, tmp_path):
     q = ingest.windowed_rates(stream).writeStream.format("memory").queryName("rates").outputMode("complete").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
     q.awaitTermination()
     assert rows(spark.table("rates"), "n", "mean") == [(1, 50.0), (2, 70.0)]
+
+
+# status, profiles, guards
+
+
+def test_status(spark):
+    from signalframe.plans import status
+
+    m = spark.createDataFrame([("s", "anomaly.rhr", "2025-01-02", 100, 1.0, "VALID"), ("s", "anomaly.rhr", "2025-01-01", 50, 0.0, "VALID"), ("s", "x", "2025-01-02", 100, float("nan"), "VALID"), ("s", "y", "2025-01-01", 10, 5.0, "ODD")], "sid string, metric string, date string, last_end bigint, value double, status string")
+    h = rows(status.headlines(m, ["anomaly.rhr", "y"], F.lit("2025-01-02"), F.lit(200)), "metric", "freshness", "value")
+    assert h == [("anomaly.rhr", "FRESH", 1.0), ("y", "HISTORICAL", None)]
+    assert rows(status.insane(m, {"anomaly.rhr": (0, 0.5)})) == [("anomaly.rhr", 1), ("x", 1), ("y", 1)]
+    assert status.anomalies(m).count() == 1 and status.counts(m).count() == 3
+    assert json.loads(status.report(counts=status.counts(m)))["counts"]
+
+
+def test_json_keys(spark):
+    from signalframe.operators.json_profile import json_keys
+
+    df = spark.createDataFrame([('{"a": 1, "b": {"c": [1, 2.5, "x"]}, "s": "{\\"in\\": true}"}',), ('{"a": null}',), ("{broken",), (None,), ("7",)], "t string")
+    assert rows(json_keys(df, "t"), "path", "kind", "n") == [("a", "null", 1), ("a", "number", 1), ("b.c[]", "number", 2), ("b.c[]", "string", 1), ("s.in", "boolean", 1)]
+    assert rows(json_keys(df, "t", r"^b"), "path", "highest") == [("b.c[]", None), ("b.c[]", 2.5)]
+
+
+def test_guards(spark):
+    src = lambda data: spark.createDataFrame(data, "source_key string, relative_path string")
+    r.check_sources(src([("a", "x")]), src([("a", "y"), ("b", "z")]))
+    for present in ([("b", "z")], [("a", "x"), ("a", "y")]):
+        with pytest.raises(r.Refused):
+            r.check_sources(src([("a", "x")]), src(present))
+    blobs = spark.createDataFrame([("p", "c", "h1"), ("q", "c", "h2")], "physical_record_id string, column_name string, sha256 string")
+    once = r.archived_blobs(blobs, blobs.filter("physical_record_id = 'p'"), blobs.limit(0))
+    assert once.count() == 1 and r.archived_blobs(blobs, blobs, once).count() == 2

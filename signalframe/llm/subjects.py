@@ -14,6 +14,7 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,8 @@ MOST_SOURCES = 30
 #: a sentence that any message may have scores) to 1.
 SENTENCE_LIFT = 0.34
 LEAST_SENTENCES, BEAM = 2, 16
+#: Words of fewer letters are taken as written; longer ones that are unknown may be misspelt.
+LEAST_LETTERS = 5
 #: Messages whose sentences are scored together.
 ROWS_AT_ONCE = 500
 #: From this score on a sentence is clear; labels are taken to name at least this share of the subjects.
@@ -38,9 +41,12 @@ CLEAR, LEAST_RATE = 0.65, 0.4
 _WORDS = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*").findall
 
 
-def terms(sentence: str) -> set[str]:
-    """Words and pairs of neighbouring words, in lower case."""
-    w = [x.lower() for x in _WORDS(sentence)]
+def words(sentence: str) -> list[str]:
+    return [x.lower() for x in _WORDS(sentence)]
+
+
+def terms(w: list[str]) -> set[str]:
+    """Words, and pairs of neighbouring words."""
     return set(w) | {f"{a} {b}" for a, b in zip(w, w[1:], strict=False)}
 
 
@@ -61,10 +67,37 @@ class TermModel:
     weights: np.ndarray
     bias: np.ndarray
 
+    @cached_property
+    def _short_of(self) -> dict[str, str]:
+        """Known words by what is left of them without one letter; of words that leave the same the first by the alphabet."""
+        out: dict[str, str] = {}
+        for w in sorted(t for t in self.vocabulary if len(t) >= LEAST_LETTERS and " " not in t):
+            for i in range(len(w)):
+                out.setdefault(w[:i] + w[i + 1 :], w)
+        return out
+
+    def respelled(self, word: str) -> str:
+        """The known word of which an unknown one has two neighbouring letters exchanged, lacks a letter, or has one too many."""
+        known = self.vocabulary
+        for i in range(len(word) - 1):
+            swapped = word[:i] + word[i + 1] + word[i] + word[i + 2 :]
+            if swapped in known:
+                return swapped
+        if word in self._short_of:
+            return self._short_of[word]
+        for i in range(len(word)):
+            shorter = word[:i] + word[i + 1 :]
+            if len(shorter) >= LEAST_LETTERS and shorter in known:
+                return shorter
+        return word
+
     def sentence_scores(self, sentences: list[str]) -> np.ndarray:
         """Probability of each subject in each sentence, for all sentences at once."""
-        get = self.vocabulary.get
-        rows = [[v for v in map(get, terms(s)) if v is not None] for s in sentences]
+        get, known_word, respelled = self.vocabulary.get, self.vocabulary.__contains__, self.respelled
+        rows = []
+        for s in sentences:
+            w = [x if len(x) < LEAST_LETTERS or known_word(x) else respelled(x) for x in words(s)]
+            rows.append([v for v in map(get, terms(w)) if v is not None])
         sizes = np.fromiter(map(len, rows), np.int64, len(rows))
         out = np.zeros((len(rows), len(self.bias)))
         known = np.flatnonzero(sizes)
@@ -81,7 +114,7 @@ def fit_terms(messages: list[list[str]], labels: np.ndarray, *, rounds: int = 2,
     A sentence first has all labels of its message; after the first round it keeps a label as far as its words support it.
     Terms of fewer than two messages are left out.
     """
-    found = [[terms(s) for s in m] for m in messages]
+    found = [[terms(words(s)) for s in m] for m in messages]
     df: dict[str, int] = {}
     for m in found:
         for t in set().union(*m) if m else ():

@@ -43,7 +43,8 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 def p5_series(spark: SparkSession, d: str) -> DataFrame:
     """The whole ten-minute series of each device, empty slots marked and carried."""
     hr = readings(spark, d, "sid", "bpm").withColumn("bpm", F.nanvl("bpm", F.lit(None).cast("double")))
-    return regular_series(hr, "sid", F.floor(F.col("instant_us") / 1_000_000), "bpm")
+    series = regular_series(hr, "sid", F.floor(F.col("instant_us") / 1_000_000), "bpm")
+    return series.withColumns({c: F.round(c, 6) for c in ("mean_value", "carried_value")})
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:

@@ -1,5 +1,33 @@
 """DuckDB SQL of the pN_ queries that SQL can express on whole tables."""
 
+INST = r"""
+raw_text as (
+  select *, trim(timestamp_utc) as x, regexp_replace(trim(timestamp_utc), '\[.*\]$', '') as u from heart_rate
+), cut_text as (
+  select *, case when regexp_matches(u, '[T:]\d.*(Z|[+-]\d{2}:?\d{2})$') then regexp_extract(u, '(Z|[+-]\d{2}:?\d{2})$', 1) else '' end as z from raw_text
+), wall_parts as (
+  select *, trim(left(u, length(u) - length(z))) as b from cut_text
+), wall_times as (
+  select *,
+    try_strptime(b, ['%Y-%m-%d %H:%M:%S', '%Y-%m-%dT%H:%M:%S', '%Y-%m-%dT%H:%M:%S.%f', '%Y-%m-%dT%H:%M', '%Y%m%dT%H%M%S', '%d.%m.%Y %H:%M:%S', '%a, %d %b %Y %H:%M:%S']) as plain_wall,
+    try_strptime(b, ['%d/%m/%Y %H:%M:%S', '%d/%m/%Y %I:%M:%S %p']) as dm, try_strptime(b, ['%m/%d/%Y %H:%M:%S', '%m/%d/%Y %I:%M:%S %p']) as md
+  from wall_parts
+), walls as (
+  select *, case when plain_wall is not null then plain_wall when dm is null then md when md is null then dm
+      when md::date = try_cast(local_date as date) then md when dm::date = try_cast(local_date as date) then dm when b like '%M' then md else dm end as wall
+  from wall_times
+), zoned as (
+  select *, epoch_us(wall) as w, case when z = 'Z' then 0 when z <> '' then (case when left(z, 1) = '-' then -1 else 1 end) * (substr(z, 2, 2)::bigint * 3600 + right(z, 2)::bigint * 60) end as own_offset,
+    epoch_us(timezone(zone_name, wall)) as at_zone, epoch_us(timezone(zone_name, timezone(zone_name, wall) - interval 1 hour)) as an_hour_before
+  from walls
+), inst as (
+  select *, case when regexp_full_match(x, '\d{10}') then x::bigint * 1000000 when regexp_full_match(x, '\d{10}\.\d{1,9}') then split_part(x, '.', 1)::bigint * 1000000 + rpad(left(split_part(x, '.', 2), 6), 6, '0')::bigint
+      when regexp_full_match(x, '\d{13}') then x::bigint * 1000 when regexp_full_match(x, '\d{16}') then x::bigint
+      when own_offset is not null then w - own_offset * 1000000 when utc_offset_seconds is not null then w - utc_offset_seconds::bigint * 1000000
+      when an_hour_before = w then at_zone - 3600000000 else at_zone end as us
+  from zoned
+)"""
+
 SQL = {
     "p1_found": """
 with hex as (
@@ -60,5 +88,24 @@ select sid, strftime(d, '%Y-%m-%d') as local_date,
   coalesce(sum(rhr) over (partition by sid order by d range between interval 29 day preceding and current row), 0)::bigint as rhr_30d_sum,
   count(rhr) over (partition by sid order by d range between interval 29 day preceding and current row) as rhr_30d_days
 from cal
+""",
+    "p5_found": "with " + INST + """, r as (
+  select distinct sid, floor(us / 600000000.0)::bigint as slot from inst where bpm is not null and us is not null
+), n as (select sid, slot, lead(slot) over (partition by sid order by slot) as nxt from r)
+select sid, unnest(range(slot + 1, nxt)) * 600 as slot_start_utc from n where nxt > slot + 1
+""",
+    "p5_series": "with " + INST + """, r as (
+  select sid, floor(us / 600000000.0)::bigint as slot, count(*) as n, avg(bpm) as m from inst where bpm is not null and us is not null group by 1, 2
+), x as (select *, coalesce(lead(slot) over (partition by sid order by slot), slot + 1) as nxt from r), s as (select *, unnest(range(slot, nxt)) as k from x)
+select sid, k * 600 as slot_start_utc, case when k = slot then n else 0 end as n, case when k = slot then round(m, 6) end as mean_value, k <> slot as empty, round(m, 6) as carried_value from s
+""",
+    "p6_found": "with " + INST + """, sl as (
+  select *, case when zone_name is not null then epoch(timezone(zone_name, to_timestamp(sleep_end_utc)))::bigint - sleep_end_utc end as zone_offset from sleep_sessions where sleep_end_utc > sleep_start_utc
+), sd as (
+  select *, strftime(make_timestamp((sleep_end_utc - 1 + case when zone_name is not null then zone_offset else utc_offset_seconds end) * 1000000), '%Y-%m-%d') as right_date from sl
+)
+select 'heart_rate' as table_name, 'timestamp_utc' as field_name, source_record_id, (us // 1000)::varchar as normal_value from inst where us is not null and not regexp_full_match(timestamp_utc, '\\d{10}')
+union select 'sleep_sessions', 'utc_offset_seconds', source_record_id, zone_offset::varchar from sd where zone_name is not null and utc_offset_seconds is distinct from zone_offset
+union select 'sleep_sessions', 'local_date', source_record_id, right_date from sd where local_date <> right_date
 """,
 }

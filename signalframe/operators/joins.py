@@ -28,18 +28,25 @@ def interval_join(points: DataFrame, spans: DataFrame, by: list[str], at: str, s
     return s.join(q, on, "left").select("s.*", *[F.col(f"q.{c}") for c in points.columns if c not in by]).drop("__b")
 
 
-def as_of(points: DataFrame, states: DataFrame, by: list[str], at: str, since: str, values: list[str]) -> DataFrame:
+def as_of(points: DataFrame, states: DataFrame, by: list[str], at: str, since: str, values: list[str], *, shard: int = 7 * BUCKET) -> DataFrame:
     """Each point with the values of the latest state of its entity that began at or before it (null if there is none).
 
-    One sort of both, merged: no pairs are made. Of states that begin together the greatest values count.
+    Points and states are sorted together within time shards, and no pairs are made; what earlier shards end with is
+    carried in by a scan over one row a shard. Of states that begin together the greatest values count. Points without
+    entity or time get nulls.
     """
     state = F.struct(*[F.col(v) for v in values])
-    p = points.withColumn("__t", F.col(at)).withColumn("__k", F.lit(1)).withColumn("__s", F.lit(None).cast(states.select(state.alias("s")).schema[0].dataType))
-    s = states.groupBy(*by, F.col(since).alias("__t")).agg(F.max(state).alias("__s")).withColumn("__k", F.lit(0))
-    both = p.unionByName(s, allowMissingColumns=True)
-    w = Window.partitionBy(*by).orderBy("__t", "__k").rowsBetween(Window.unboundedPreceding, 0)
+    kind = states.select(state.alias("s")).schema[0].dataType
+    p = points.withColumns({"__t": F.col(at), "__k": F.lit(1), "__s": F.lit(None).cast(kind)})
+    s = states.dropna(subset=[*by, since]).groupBy(*by, F.col(since).alias("__t")).agg(F.max(state).alias("__s")).withColumn("__k", F.lit(0))
+    both = p.unionByName(s, allowMissingColumns=True).withColumn("__b", F.floor(F.col("__t") / shard))
+    w = Window.partitionBy(*by, "__b").orderBy("__t", "__k").rowsBetween(Window.unboundedPreceding, 0)
     seen = both.withColumn("__s", F.last("__s", ignorenulls=True).over(w)).filter("__k = 1")
-    return seen.select("*", *[F.col("__s")[v].alias(v) for v in values]).drop("__t", "__k", "__s")
+    ends = both.select(*by, "__b", "__t", "__k", "__s").groupBy(*by, "__b").agg(F.max(F.when(F.col("__k") == 0, F.struct("__t", "__s")))["__s"].alias("__c"))
+    earlier = Window.partitionBy(*by).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.withColumn("__c", F.last("__c", ignorenulls=True).over(earlier))
+    joined = seen.join(carried, [*by, "__b"], "left").withColumn("__s", F.coalesce("__s", "__c"))
+    return joined.select(*points.columns, *[F.col("__s")[v].alias(v) for v in values])
 
 
 def effective(facts: DataFrame, profile: DataFrame, field: str, day: Column, *, effective_from="effective_from", effective_to="effective_to") -> DataFrame:

@@ -20,14 +20,33 @@ def series_in(window: Window, day: str, value: str) -> Column:
     return F.array_sort(F.collect_list(F.when(F.col(value).isNotNull(), F.struct(F.col(day).alias("d"), F.col(value).cast("double").alias("v")))).over(window))
 
 
-def runs(df: DataFrame, by: list[str], at: str, low: int, high: int) -> DataFrame:
+SHARD_SECONDS = 7 * 86400
+
+
+def with_previous(df: DataFrame, by: list[str], at: str, *, shard: int = SHARD_SECONDS, out: str = "previous") -> DataFrame:
+    """Add the ``at`` of the row before in the entity's order (null for its first row); ties are repeated instants.
+
+    Rows are ordered within time shards; a shard's first row takes the last ``at`` of the shard before, from a scan over
+    one row a shard. So a busy entity is split over as many tasks as it has shards. Also adds ``__shard``.
+    """
+    s = df.withColumn("__shard", F.floor(F.col(at) / shard))
+    ends = s.groupBy(*by, "__shard").agg(F.max(at).alias("__end")).withColumn("__end", F.lag("__end").over(Window.partitionBy(*by).orderBy("__shard")))
+    inner = F.lag(at).over(Window.partitionBy(*by, "__shard").orderBy(at))
+    return s.withColumn(out, inner).join(ends, [*by, "__shard"]).withColumn(out, F.coalesce(out, "__end")).drop("__end")
+
+
+def runs(df: DataFrame, by: list[str], at: str, low: int, high: int, *, shard: int = SHARD_SECONDS) -> DataFrame:
     """Label runs in which each step from the row before is within [low, high]: ``run`` is the running number per entity.
 
-    A step outside (also 0, if ``low`` is 1) starts a new run. Ties of ``at`` are repeated instants.
+    A step outside (also 0, if ``low`` is 1) starts a new run. Numbers go on over time shards by a prefix scan of the
+    starts in each. Rows without ``at`` or entity are left out.
     """
-    w = Window.partitionBy(*by).orderBy(at)
-    step = F.col(at) - F.lag(at).over(w)
-    return df.withColumn("starts", F.when(step.between(low, high), 0).otherwise(1)).withColumn("run", F.sum("starts").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("starts")
+    s = with_previous(df.dropna(subset=[*by, at]), by, at, shard=shard).withColumn("__starts", F.when((F.col(at) - F.col("previous")).between(low, high), 0).otherwise(1))
+    earlier = Window.partitionBy(*by).orderBy("__shard").rowsBetween(Window.unboundedPreceding, -1)
+    before_ = s.groupBy(*by, "__shard").agg(F.sum("__starts").alias("__n")).withColumn("__n", F.coalesce(F.sum("__n").over(earlier), F.lit(0)))
+    # of one instant the row that starts a run is last: the window's order must be the same as that of the steps
+    inside = F.sum("__starts").over(Window.partitionBy(*by, "__shard").orderBy(at, F.coalesce(F.col("previous"), F.lit(-(1 << 62)))).rowsBetween(Window.unboundedPreceding, 0))
+    return s.withColumn("run", inside).join(before_, [*by, "__shard"]).withColumn("run", F.col("run") + F.col("__n")).drop("__starts", "__n", "__shard", "previous")
 
 
 def top_one(df: DataFrame, by: list[str], *order: Column) -> DataFrame:

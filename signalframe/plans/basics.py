@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from ..functions import clock, identity, numeric
 from ..operators.joins import as_of, effective, interval_join
 from ..operators.statistics import MAD_SCALE, percentile
-from ..operators.windows import runs, top_one
+from ..operators.windows import runs, with_previous
 from .common import DAYS, HR, NIGHTS, SLEEP, DataFrame, F, SparkSession, date_of, days, nights, registry, samples, sessions, table
 
 QUERIES, SQL, query = registry()
@@ -214,10 +214,11 @@ def agg_having_bins(spark: SparkSession, d: str) -> DataFrame:
 )
 def agg_nearest_rank(spark: SparkSession, d: str) -> DataFrame:
     """AGG-16: nearest-rank quantiles; ranks are rounded half to even."""
+    # counted by value before any order: what is sorted are the different values of a device
     w = Window.partitionBy("sid")
-    r = samples(spark, d).filter("bpm is not null").select("sid", "bpm", (F.row_number().over(w.orderBy("bpm")) - 1).alias("i"), F.count("*").over(w).alias("n"))
-    p = r.withColumn("p", F.explode(F.array(*map(F.lit, (10, 25, 50, 75, 90, 95, 99)))))
-    return p.filter(F.col("i") == F.rint((F.col("n") - 1) * F.col("p") / 100.0).cast("bigint")).select("sid", "p", F.col("bpm").alias("value"))
+    r = samples(spark, d).filter("bpm is not null").groupBy("sid", "bpm").agg(F.count("*").alias("c")).withColumns({"upto": F.sum("c").over(w.orderBy("bpm")), "n": F.sum("c").over(w)})
+    p = r.withColumn("p", F.explode(F.array(*map(F.lit, (10, 25, 50, 75, 90, 95, 99))))).withColumn("i", F.rint((F.col("n") - 1) * F.col("p") / 100.0).cast("bigint"))
+    return p.filter((F.col("i") < F.col("upto")) & (F.col("i") >= F.col("upto") - F.col("c"))).select("sid", "p", F.col("bpm").alias("value"))
 
 
 @query(
@@ -309,9 +310,9 @@ def join_semi_probe(spark: SparkSession, d: str) -> DataFrame:
 )
 def win_lag_buckets(spark: SparkSession, d: str) -> DataFrame:
     """WIN-01, WIN-11: sampling intervals in labelled ranges."""
-    gap = F.col("ts") - F.lag("ts").over(Window.partitionBy("sid").orderBy("ts"))
     label = F.when(F.col("gap").isNull(), "first").when(F.col("gap") == 0, "0").when(F.col("gap") <= 60, "1-60").when(F.col("gap") <= 300, "61-300").when(F.col("gap") <= 600, "301-600").when(F.col("gap") <= 3600, "601-3600").otherwise(">3600")
-    return samples(spark, d).withColumn("gap", gap).groupBy("sid", label.alias("bucket")).agg(F.count("*").alias("n"))
+    timed = with_previous(samples(spark, d).select("sid", "ts"), ["sid"], "ts").withColumn("gap", F.col("ts") - F.col("previous"))
+    return timed.groupBy("sid", label.alias("bucket")).agg(F.count("*").alias("n"))
 
 
 @query(
@@ -329,8 +330,8 @@ def win_islands(spark: SparkSession, d: str) -> DataFrame:
 @query("select sid, max(c)::bigint as most from (select sid, count(*) over (partition by sid order by ts range between 1799 preceding and current row) as c from hr) group by sid", HR)
 def win_most_in_half_hour(spark: SparkSession, d: str) -> DataFrame:
     """WIN-13: most samples in any 30 minutes."""
-    c = F.count("*").over(Window.partitionBy("sid").orderBy("ts").rangeBetween(-1799, 0))
-    return samples(spark, d).select("sid", c.alias("c")).groupBy("sid").agg(F.max("c").alias("most"))
+    counted = samples(spark, d).groupBy("sid", "ts").agg(F.count("*").alias("n"))  # the seconds of the calendar bound a device's rows
+    return counted.select("sid", F.sum("n").over(Window.partitionBy("sid").orderBy("ts").rangeBetween(-1799, 0)).alias("c")).groupBy("sid").agg(F.max("c").alias("most"))
 
 
 @query("select sid, day, source_record_id, s, t from nights", SLEEP, NIGHTS)

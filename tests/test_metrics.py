@@ -94,6 +94,22 @@ def test_interval_join_makes_no_pairs(spark):
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
+@pytest.mark.parametrize("shard", [3, 20, 10_000])
+def test_as_of_and_runs_do_not_depend_on_shards(spark, shard):
+    rnd = random.Random(shard)
+    pts = [(rnd.choice("ab"), rnd.randrange(200), i) for i in range(150)] + [("c", 5, 999)]
+    states = [(rnd.choice("ab"), rnd.randrange(200), i) for i in range(25)]
+    want = sorted((i, max(((s, v) for x, s, v in states if x == e and s <= at), default=(0, -1))[1]) for e, at, i in pts)
+    p, s = spark.createDataFrame(pts, "e string, at int, i int"), spark.createDataFrame(states, "e string, since int, v int")
+    assert [(i, -1 if v is None else v) for i, v in rows(as_of(p, s, ["e"], "at", "since", ["v"], shard=shard), "i", "v")] == want
+    count = 0
+    for e in "abc":
+        ts = sorted(at for x, at, _ in pts if x == e)
+        count += sum(1 for a, b in zip([None, *ts], ts, strict=False) if a is None or not 1 <= b - a <= 2)
+    got = runs(p, ["e"], "at", 1, 2, shard=shard).groupBy("e", "run").agg(F.count("*").alias("n"), (F.max("at") - F.min("at")).alias("d"))
+    assert got.count() == count and got.agg(F.sum("n")).first()[0] == len(pts)
+
+
 def test_as_of(spark):
     p = spark.createDataFrame([("a", 5, "x"), ("a", 10, "y"), ("a", 0, "z"), ("b", 9, "w")], "e string, at int, name string")
     s = spark.createDataFrame([("a", 1, 1), ("a", 10, 2), ("a", 10, 3)], "e string, since int, v int")

@@ -19,7 +19,7 @@ HALF_WINDOW, STEP_WINDOW = 7, 12
 LONGEST_EXCURSION = 3
 #: An excursion stands out by this many scaled median absolute deviations of the device's steps, and at least this much.
 SIGMAS, LEAST_JUMP = 4.5, 14.0
-#: A frozen run is at least this long, and this many times the length that TYPICAL_SHARE of the source's runs don't exceed.
+#: A frozen run is at least this long, and this many times the length that TYPICAL_SHARE of the source's shorter runs don't exceed.
 LEAST_RUN, RUN_FACTOR, TYPICAL_SHARE = 7, 1.75, 0.98
 
 _OUT = "kind string, sid string, shard bigint, run bigint, edge int, value double, n bigint, id string"
@@ -167,12 +167,29 @@ def readings_once(df: DataFrame, entity: str, record: str, value: str, instant_u
     )
 
 
+def _frozen_from(lengths: Column, runs: Column) -> Column:
+    """Length from which on the runs of a source are frozen, null if none is; ``lengths`` is its sorted (len, upto, n), ``runs`` their number.
+
+    A length is judged by the shorter runs alone, so that neither the run itself nor other frozen ones raise what counts
+    as typical, however few runs there are. What at least half of the runs reach is the source's own way, not frozen;
+    a run that is the only one is judged by LEAST_RUN.
+    """
+
+    def stands_out(x: Column) -> Column:
+        shorter = x["upto"] - x["n"]
+        typical = F.filter(lengths, lambda y: (y["len"] < x["len"]) & (y["upto"] / shorter >= TYPICAL_SHARE))
+        far = x["len"] >= F.ceil(F.coalesce(F.get(typical, F.lit(0))["len"], F.lit(0)) * RUN_FACTOR)
+        return (x["len"] >= LEAST_RUN) & (F.greatest(shorter, F.lit(1)) >= runs - shorter) & far
+
+    return F.get(F.filter(lengths, stands_out), F.lit(0))["len"]
+
+
 def implausible_readings(df: DataFrame, entity: str, record: str, value: str, instant_us: str, *, shard_seconds: int = SHARD_SECONDS, halo_seconds: int = HALO_SECONDS) -> DataFrame:
     """(record, reason) of the readings that are impossible, part of an excursion, or part of a frozen run.
 
     ``instant_us`` is a column of microseconds; readings without an instant are judged by the bounds alone. A record
     delivered several times counts once. Runs may cross shards: runs at a shard's edges are joined through a scan over
-    at most two rows a shard. The length a frozen run must have comes from the run lengths of the whole source.
+    at most two rows a shard. The length a frozen run must have comes from the run lengths of the whole source (see ``_frozen_from``).
     """
     once = readings_once(df, entity, record, value, instant_us)
     shard_us, halo_us = shard_seconds * 1_000_000, halo_seconds * 1_000_000
@@ -195,9 +212,9 @@ def implausible_readings(df: DataFrame, entity: str, record: str, value: str, in
         .unionByName(edges.groupBy("sid", "chain").agg(F.max("total").alias("len")).select("sid", "len", F.lit(1).cast("bigint").alias("n")))
         .groupBy("sid", "len").agg(F.sum("n").alias("n"))
     )
-    upto = Window.partitionBy("sid").orderBy("len")
-    typical = lengths.withColumn("share", F.sum("n").over(upto) / F.sum("n").over(Window.partitionBy("sid"))).filter(F.col("share") >= TYPICAL_SHARE).groupBy("sid").agg(F.min("len").alias("typical"))
+    by_length = Window.partitionBy("sid").orderBy("len")
+    longest = lengths.withColumn("upto", F.sum("n").over(by_length)).groupBy("sid").agg(F.array_sort(F.collect_list(F.struct("len", "upto", "n"))).alias("r"), F.sum("n").alias("all"))
     candidates = edges.select("sid", "shard", "run", "total").unionByName(runs.filter("edge = 0").select("sid", "shard", "run", F.col("n").alias("total"))).filter(F.col("total") >= LEAST_RUN)
-    frozen = candidates.join(typical, "sid").filter(F.col("total") >= F.ceil(F.col("typical") * RUN_FACTOR)).select("sid", "shard", "run")
+    frozen = candidates.join(longest.select("sid", _frozen_from(F.col("r"), F.col("all")).alias("least")), "sid").filter(F.col("total") >= F.col("least")).select("sid", "shard", "run")
     members = found.filter("kind = 'member'").join(frozen, ["sid", "shard", "run"]).select("id", F.lit("frozen").alias("reason"))
     return members.unionByName(found.filter("kind in ('excursion', 'impossible')").select("id", F.col("kind").alias("reason"))).select(F.col("id").alias(record), "reason")

@@ -210,6 +210,20 @@ def test_flags_do_not_depend_on_shards(spark, shard):
     assert want <= got and {x for x in got - want if x[1] != "frozen"} == set()
 
 
+def frozen(spark, *runs):
+    """Lengths of the frozen runs of each source whose runs have these lengths."""
+    found = flags(spark, [[(300 * i, v) for i, v in enumerate(v for k, n in enumerate(r) for v in [70 + k % 2] * n)] for r in runs])
+    ends = [np.cumsum(r) for r in runs]
+    return [[n for n, e in zip(r, ends[s], strict=True) if {(f"s{s}-{i}", "frozen") for i in range(e - n, e)} <= found] for s, r in enumerate(runs)]
+
+
+def test_frozen_runs_of_sources_with_few_runs(spark):
+    short = [1, 2, 1, 1, 3, 1, 2] * 2
+    coarse = [4, 9, 6, 12, 7, 10, 5, 11, 8]
+    got = frozen(spark, [*short, 40, *short], [*short, 30, *short, 12, *short], [1, 1, 40], [40], [12] * 9, coarse, [*coarse, 40, *coarse], [*short, 6, *short])
+    assert got == [[40], [30, 12], [40], [40], [], [], [40], []]
+
+
 def test_outliers_of_nothing(spark):
     df = spark.createDataFrame([], "sid string, id string, v double, t bigint")
     assert implausible_readings(df, "sid", "id", "v", "t").count() == 0

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -13,10 +13,12 @@ from ..session import materialize
 
 #: Physical bounds of a heart rate; outside them no reading is possible.
 LOWEST, HIGHEST = 25.0, 240.0
-SHARD_SECONDS, HALO_SECONDS = 8 * 86400, 12 * 3600
+SHARD_SECONDS = 8 * 86400
 #: Hampel filter: readings on each side for the rolling median, and for the spread of the steps between readings.
 HALF_WINDOW, STEP_WINDOW = 7, 12
 LONGEST_EXCURSION = 3
+#: So many plausible readings on each side decide whether a reading is part of an excursion.
+REACH = LONGEST_EXCURSION + max(HALF_WINDOW, STEP_WINDOW) + 1
 #: An excursion stands out by this many scaled median absolute deviations of the device's steps, and at least this much.
 SIGMAS, LEAST_JUMP = 4.5, 14.0
 #: A frozen run is at least this long, and this many times the length that TYPICAL_SHARE of the source's shorter runs don't exceed.
@@ -35,11 +37,11 @@ def _median(rows: np.ndarray) -> np.ndarray:
     return np.where(n > 0, m, np.nan)
 
 
-def excursions(group: np.ndarray, t: np.ndarray, x: np.ndarray, halo_us: int = HALO_SECONDS * 1_000_000) -> np.ndarray:
+def excursions(group: np.ndarray, t: np.ndarray, x: np.ndarray, halo_us: int | None = None) -> np.ndarray:
     """Mask of the readings of up to three that jump out of the rolling median and come back.
 
-    ``group`` marks the source, ``t`` (microseconds) ascends within it. Only readings of the group within ``halo_us`` are
-    neighbours. A stretch is a case if it is outside the Hampel band around the rolling median, and outside both its
+    ``group`` marks the source, ``t`` (microseconds) ascends within it. Readings of the group are neighbours however long
+    the device was silent between them, unless ``halo_us`` limits it. A stretch is a case if it is outside the Hampel band around the rolling median, and outside both its
     shoulders (the readings just before and after it) by the same margin: what builds up or fades has no such shoulders,
     and a lasting shift has no return. The margin is that of SIGMAS scaled deviations of the steps around it.
     """
@@ -47,7 +49,9 @@ def excursions(group: np.ndarray, t: np.ndarray, x: np.ndarray, halo_us: int = H
     if n < 2:
         return hit
     near = np.zeros(n + 1, bool)  # near[i]: reading i - 1 is a neighbour of i
-    near[1:n] = (group[1:] == group[:-1]) & (t[1:] - t[:-1] <= halo_us)
+    near[1:n] = group[1:] == group[:-1]
+    if halo_us is not None:
+        near[1:n] &= t[1:] - t[:-1] <= halo_us
     for length in range(1, LONGEST_EXCURSION + 1):
         if n <= length:
             break
@@ -69,7 +73,9 @@ def excursions(group: np.ndarray, t: np.ndarray, x: np.ndarray, halo_us: int = H
         def around(k: int, at: np.ndarray, values: np.ndarray) -> np.ndarray:
             idx = at[:, None] + np.arange(-k, k + 1)
             safe = np.clip(idx, 0, n - 1)
-            good = (idx == safe) & (group[safe] == group[at][:, None]) & (np.abs(t[safe] - t[at][:, None]) <= halo_us)
+            good = (idx == safe) & (group[safe] == group[at][:, None])
+            if halo_us is not None:
+                good &= np.abs(t[safe] - t[at][:, None]) <= halo_us
             return np.where(good, values[safe], np.nan)
 
         step = np.full(n, np.nan)
@@ -85,15 +91,19 @@ def excursions(group: np.ndarray, t: np.ndarray, x: np.ndarray, halo_us: int = H
     return hit
 
 
-def _scan_groups(c: dict[str, np.ndarray], sid: pa.Array, ids: pa.Array) -> pa.Table:
-    """Whole (source, shard) groups, sorted by group and time: excursions, runs at the edges, long runs, and run lengths."""
-    g, t, x, shard, own = c["g"], c["t"], c["value"], c["shard"], c["own"]
-    plausible = (x >= LOWEST) & (x <= HIGHEST)
-    p = np.flatnonzero(plausible)
+def _scan_groups(c: dict[str, np.ndarray], sid: pa.Array, ids: pa.Array, halo_us: int | None) -> pa.Table:
+    """Whole (source, shard) groups, sorted by group and time: excursions, readings near the edges, runs at the edges, long runs, and run lengths."""
+    g, t, x, shard = c["g"], c["t"], c["value"], c["shard"]
+    p = np.flatnonzero((x >= LOWEST) & (x <= HIGHEST))
     hit = np.zeros(len(x), bool)
-    hit[p] = excursions(g[p], t[p], x[p])
-    hit &= own
-    mine = np.flatnonzero(own)
+    hit[p] = excursions(g[p], t[p], x[p], halo_us)
+    # what is within REACH of an edge is decided with the shards beside it, from 2 * REACH readings of each
+    group_heads = np.flatnonzero(np.append(True, g[p][1:] != g[p][:-1])) if len(p) else np.zeros(0, np.int64)
+    size = np.diff(np.append(group_heads, len(p)))
+    place = np.arange(len(p)) - np.repeat(group_heads, size)
+    inward = np.minimum(place, np.repeat(size, size) - 1 - place)
+    hit[p[inward < REACH]] = False
+    shown = inward < 2 * REACH
     parts = []
 
     def rows(kind: str, at: np.ndarray, run=None, edge=None, value=None, n=None, with_id: bool = False) -> None:
@@ -105,16 +115,16 @@ def _scan_groups(c: dict[str, np.ndarray], sid: pa.Array, ids: pa.Array) -> pa.T
             ], schema=_OUT_SCHEMA))
 
     rows("excursion", np.flatnonzero(hit), with_id=True)
-    if len(mine):
-        mg, mx = g[mine], x[mine]
-        new_group = np.ones(len(mine), bool)
-        new_group[1:] = mg[1:] != mg[:-1]
+    rows("near", p[shown], run=place[shown], edge=inward[shown] < REACH, value=x[p[shown]], n=t[p[shown]], with_id=True)
+    if len(x):
+        new_group = np.ones(len(x), bool)
+        new_group[1:] = g[1:] != g[:-1]
         new_run = new_group.copy()
-        new_run[1:] |= mx[1:] != mx[:-1]
+        new_run[1:] |= x[1:] != x[:-1]
         run = np.cumsum(new_run) - 1
         heads = np.flatnonzero(new_run)
-        length = np.diff(np.append(heads, len(mine)))
-        head_group = mg[heads]
+        length = np.diff(np.append(heads, len(x)))
+        head_group = g[heads]
         first = new_group[heads]
         last = np.ones(len(heads), bool)
         last[:-1] = head_group[1:] != head_group[:-1]
@@ -122,39 +132,60 @@ def _scan_groups(c: dict[str, np.ndarray], sid: pa.Array, ids: pa.Array) -> pa.T
         number = np.arange(len(heads)) - group_start
         edge = first * 1 + last * 2
         kept = (edge > 0) | (length >= LEAST_RUN)
-        rows("run", mine[heads[kept]], run=number[kept], edge=edge[kept], value=mx[heads[kept]], n=length[kept])
-        member = kept[run]
-        rows("member", mine[member], run=number[run[member]], with_id=True)
+        rows("run", heads[kept], run=number[kept], edge=edge[kept], value=x[heads[kept]], n=length[kept])
+        member = np.flatnonzero(kept[run])
+        rows("member", member, run=number[run[member]], with_id=True)
         inner = edge == 0
         pairs, counts = np.unique(np.stack([group_start[inner], length[inner]]), axis=1, return_counts=True)
         if len(counts):
-            rows("length", mine[heads[pairs[0]]], run=pairs[1].astype(np.int64), n=counts.astype(np.int64))
+            rows("length", heads[pairs[0]], run=pairs[1].astype(np.int64), n=counts.astype(np.int64))
     return pa.concat_tables(parts) if parts else _OUT_SCHEMA.empty_table()
 
 
-def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _whole_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
+    """Tables of sorted rows in which every group of ``key`` is whole."""
     held: list[pa.RecordBatch] = []
-
-    def flush(tables: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tab = pa.Table.from_batches(tables).combine_chunks()
-        c = {n: tab.column(n).to_numpy() for n in ("g", "t", "value", "shard", "own")}
-        yield from _scan_groups(c, tab.column("sid").combine_chunks(), tab.column("id").combine_chunks()).to_batches(max_chunksize=100_000)
-
     for b in batches:
         if not b.num_rows:
             continue
-        g = b.column("g").to_numpy()
-        cut = int(np.flatnonzero(g != g[-1])[-1]) + 1 if (g != g[-1]).any() else 0
+        g = b.column(key).to_numpy(zero_copy_only=False)
+        other = np.flatnonzero(g != g[-1])
+        cut = int(other[-1]) + 1 if len(other) else 0
         if cut:  # the last group may go on in the next batch
-            yield from flush([*held, b.slice(0, cut)])
+            yield pa.Table.from_batches([*held, b.slice(0, cut)]).combine_chunks()
             held = [b.slice(cut)]
-        elif held and held[-1].column("g")[0].as_py() != g[0]:
-            yield from flush(held)
+        elif held and held[-1].column(key)[0].as_py() != g[0]:
+            yield pa.Table.from_batches(held).combine_chunks()
             held = [b]
         else:
             held.append(b)
     if held:
-        yield from flush(held)
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def _scan(halo_us: int | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for tab in _whole_groups(batches, "g"):
+            c = {n: tab.column(n).to_numpy() for n in ("g", "t", "value", "shard")}
+            yield from _scan_groups(c, tab.column("sid").combine_chunks(), tab.column("id").combine_chunks(), halo_us).to_batches(max_chunksize=100_000)
+
+    return scan
+
+
+def _scan_edges(halo_us: int | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The excursions among the readings near the edges of shards, from rows sorted by source, shard and place."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for tab in _whole_groups(batches, "sid"):
+            sid = tab.column("sid").combine_chunks().dictionary_encode().indices.to_numpy()
+            shard, place = tab.column("shard").to_numpy(), tab.column("run").to_numpy()
+            # a new piece starts with a source, and where a shard's readings between its edges are left out
+            new = np.ones(len(sid), bool)
+            new[1:] = (sid[1:] != sid[:-1]) | ((shard[1:] == shard[:-1]) & (place[1:] != place[:-1] + 1))
+            hit = excursions(np.cumsum(new), tab.column("n").to_numpy(), tab.column("value").to_numpy(), halo_us) & (tab.column("edge").to_numpy() == 1)
+            yield from tab.select(["id"]).filter(pa.array(hit)).to_batches()
+
+    return scan
 
 
 def readings_once(df: DataFrame, entity: str, record: str, value: str, instant_us: str) -> DataFrame:
@@ -184,20 +215,22 @@ def _frozen_from(lengths: Column, runs: Column) -> Column:
     return F.get(F.filter(lengths, stands_out), F.lit(0))["len"]
 
 
-def implausible_readings(df: DataFrame, entity: str, record: str, value: str, instant_us: str, *, shard_seconds: int = SHARD_SECONDS, halo_seconds: int = HALO_SECONDS) -> DataFrame:
+def implausible_readings(df: DataFrame, entity: str, record: str, value: str, instant_us: str, *, shard_seconds: int = SHARD_SECONDS, halo_seconds: int | None = None) -> DataFrame:
     """(record, reason) of the readings that are impossible, part of an excursion, or part of a frozen run.
 
     ``instant_us`` is a column of microseconds; readings without an instant are judged by the bounds alone. A record
-    delivered several times counts once. Runs may cross shards: runs at a shard's edges are joined through a scan over
-    at most two rows a shard. The length a frozen run must have comes from the run lengths of the whole source (see ``_frozen_from``).
+    delivered several times counts once. What is near a shard's edges is judged for excursions with the readings of the
+    shards beside it, however far off (``halo_seconds`` limits the silence between neighbours, if given), from at most
+    4 * REACH rows a shard. Runs may cross shards: runs at a shard's edges are joined through a scan over at most two rows a shard. The length a frozen run must have comes from the run lengths of the whole source (see ``_frozen_from``).
     """
     once = readings_once(df, entity, record, value, instant_us)
-    shard_us, halo_us = shard_seconds * 1_000_000, halo_seconds * 1_000_000
-    at = F.floor(F.col("t") / shard_us)
-    to = F.array_distinct(F.array(F.floor((F.col("t") - halo_us) / shard_us), at, F.floor((F.col("t") + halo_us) / shard_us)))
+    halo_us = None if halo_seconds is None else halo_seconds * 1_000_000
     impossible = (F.col("value") < LOWEST) | (F.col("value") > HIGHEST)
-    sharded = once.select("sid", "id", "value", "t", at.alias("home"), F.explode(F.when(F.col("t").isNotNull(), to)).alias("shard")).select(F.xxhash64("sid", "shard").alias("g"), "sid", "shard", "t", "id", "value", (F.col("home") == F.col("shard")).alias("own"))
-    found = materialize(sharded.repartition("sid", "shard").sortWithinPartitions("g", "sid", "shard", "t", "id").mapInArrow(_scan, _OUT).unionByName(once.filter(impossible).select(F.lit("impossible").alias("kind"), "id"), allowMissingColumns=True))
+    shard = F.floor(F.col("t") / (shard_seconds * 1_000_000)).alias("shard")
+    sharded = once.filter("t is not null").select("sid", "id", "value", "t", shard).select(F.xxhash64("sid", "shard").alias("g"), "sid", "shard", "t", "id", "value")
+    found = materialize(sharded.repartition("sid", "shard").sortWithinPartitions("g", "sid", "shard", "t", "id").mapInArrow(_scan(halo_us), _OUT).unionByName(once.filter(impossible).select(F.lit("impossible").alias("kind"), "id"), allowMissingColumns=True))
+    near = found.filter("kind = 'near'").select("sid", "shard", "run", "edge", "value", "n", "id").repartition("sid").sortWithinPartitions("sid", "shard", "run")
+    across = near.mapInArrow(_scan_edges(halo_us), "id string").select("id", F.lit("excursion").alias("reason"))
 
     runs = found.filter("kind = 'run'")
     order = Window.partitionBy("sid").orderBy("shard", "run")
@@ -217,4 +250,4 @@ def implausible_readings(df: DataFrame, entity: str, record: str, value: str, in
     candidates = edges.select("sid", "shard", "run", "total").unionByName(runs.filter("edge = 0").select("sid", "shard", "run", F.col("n").alias("total"))).filter(F.col("total") >= LEAST_RUN)
     frozen = candidates.join(longest.select("sid", _frozen_from(F.col("r"), F.col("all")).alias("least")), "sid").filter(F.col("total") >= F.col("least")).select("sid", "shard", "run")
     members = found.filter("kind = 'member'").join(frozen, ["sid", "shard", "run"]).select("id", F.lit("frozen").alias("reason"))
-    return members.unionByName(found.filter("kind in ('excursion', 'impossible')").select("id", F.col("kind").alias("reason"))).select(F.col("id").alias(record), "reason")
+    return members.unionByName(across).unionByName(found.filter("kind in ('excursion', 'impossible')").select("id", F.col("kind").alias("reason"))).select(F.col("id").alias(record), "reason")

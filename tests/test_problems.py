@@ -210,6 +210,37 @@ def test_flags_do_not_depend_on_shards(spark, shard):
     assert want <= got and {x for x in got - want if x[1] != "frozen"} == set()
 
 
+@pytest.mark.parametrize("shard", [3600 * 5, 86400 * 8])
+def test_excursions_next_to_long_silences(spark, shard):
+    day = 86400
+    before, after, inside, both = steady(40), steady(40), steady(40), steady(60)
+    before[19] = (before[19][0], 140.0)
+    after[20] = (after[20][0], 140.0)
+    inside[19], inside[20] = (inside[19][0], 140.0), (inside[20][0], 141.0)
+    both[20] = (both[20][0] + 3 * day, 140.0)
+    both[21:] = [(t + 6 * day, v) for t, v in both[21:]]
+    silence = lambda s: [*s[:20], *((t + 3 * day, v) for t, v in s[20:])]
+    daily = steady(60, step=day)
+    daily[30] = (daily[30][0], 140.0)
+    shift = [*steady(20), *steady(20, level=110, start=3 * day)]
+    got = flags(spark, [silence(before), silence(after), silence(inside), both, daily, shift], shard_seconds=shard)
+    assert {x for x in got if x[1] == "excursion"} == {(i, "excursion") for i in ("s0-19", "s1-20", "s2-19", "s2-20", "s3-20", "s4-30")}
+
+
+@pytest.mark.parametrize("shard", [3600, 3600 * 5, 86400])
+def test_excursions_in_shards_are_those_of_the_whole(spark, shard):
+    rnd = random.Random(shard)
+    t, s = 0, []
+    for _ in range(1500):
+        t += rnd.choice([300] * 30 + [7000, 90_000, 400_000])
+        s.append((t, float(rnd.choice([68, 69, 70, 71, 72, 73] * 6 + [33, 110, 130, 250]))))
+    v = np.array([x for _, x in s])
+    p = np.flatnonzero((v >= 25) & (v <= 240))
+    whole = p[excursions(np.zeros(len(p), np.int64), np.array([t for t, _ in s])[p] * 1_000_000, v[p])]
+    assert len(whole) > 50
+    assert {x for x in flags(spark, [s], shard_seconds=shard) if x[1] == "excursion"} == {(f"s0-{i}", "excursion") for i in whole}
+
+
 def frozen(spark, *runs):
     """Lengths of the frozen runs of each source whose runs have these lengths."""
     found = flags(spark, [[(300 * i, v) for i, v in enumerate(v for k, n in enumerate(r) for v in [70 + k % 2] * n)] for r in runs])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,6 +41,12 @@ def insane(metrics: DataFrame, limits: dict[str, tuple[float, float]]) -> DataFr
     return metrics.groupBy("metric").agg(F.count_if(bad).alias("n_bad")).filter("n_bad > 0")
 
 
+def report_rows(**tables: DataFrame) -> DataFrame:
+    """(name, row): every row of the tables as JSON, to be written where they are too large for one text."""
+    return reduce(DataFrame.unionByName, [df.select(F.lit(name).alias("name"), F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("row")) for name, df in tables.items()])
+
+
 def report(**tables: DataFrame) -> str:
-    """Small results (one row a metric or subject; at most 1000 rows each are shown) as JSON."""
-    return json.dumps({name: [r.asDict(recursive=True) for r in df.limit(1000).collect()] for name, df in tables.items()}, default=str, sort_keys=True)
+    """Small results (one row a metric or subject) as JSON: all their rows, in a fixed order; see ``report_rows`` for large ones."""
+    text = lambda row: json.dumps(row, default=str, sort_keys=True)
+    return text({name: sorted((r.asDict(recursive=True) for r in df.collect()), key=text) for name, df in tables.items()})

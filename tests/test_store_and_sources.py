@@ -256,6 +256,16 @@ def test_status(spark):
     assert json.loads(status.report(counts=status.counts(m)))["counts"]
 
 
+def test_report_has_every_row_in_order(spark):
+    from signalframe.plans import status
+
+    df = spark.range(2500).select(F.format_string("s%04d", 2499 - F.col("id")).alias("sid"), F.lit(None).cast("double").alias("value"))
+    want = [{"sid": f"s{i:04d}", "value": None} for i in range(2500)]
+    assert json.loads(status.report(headlines=df, few=df.limit(1)))["headlines"] == want
+    assert status.report(headlines=df.repartition(7)) == status.report(headlines=df)
+    assert [json.loads(x) for n, x in rows(status.report_rows(headlines=df, few=df.limit(1))) if n == "headlines"] == want
+
+
 def test_json_keys(spark):
     from signalframe.operators.json_profile import json_keys
 

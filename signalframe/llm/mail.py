@@ -1,7 +1,7 @@
 """The text that a mail's author wrote, out of the archived message.
 
 Headers, multipart bodies, transfer encodings and character sets (also wrongly declared ones) are decoded; quoted
-messages, signatures, disclaimers, attachments and markup are left out. Whatever is broken is read as far as it goes.
+messages, signatures, attachments and markup are left out; whether a paragraph is a legal notice is for the reader to judge. Whatever is broken is read as far as it goes.
 """
 
 from __future__ import annotations
@@ -11,11 +11,11 @@ import binascii
 import html
 import quopri
 import re
+from collections.abc import Iterator
 
 _HEADER = re.compile(r"^([A-Za-z][A-Za-z0-9-]*):[ \t]*(.*)$")
 _PARAMETER = re.compile(r";\s*([\w-]+)\*?\s*=\s*(?:\"([^\"]*)\"|([^;\s]+))")
 _MOJIBAKE = re.compile(r"[ÂÃ][\x80-¿ŠšŒœŽžŸƒˆ˜–—‘’‚“”„†‡•…‰‹›€™]")
-MAX_DEPTH = 6
 
 
 def split_headers(text: str) -> tuple[dict[str, str], str]:
@@ -88,34 +88,32 @@ def html_text(markup: str) -> str:
     return html.unescape(re.sub(r"(?s)<[^<>]*>", "", markup)).replace("\xa0", " ")
 
 
-def body_text(headers: dict[str, str], body: str, depth: int = 0) -> str:
-    """The readable text of a body: of alternatives the plain one, of mixed parts those that aren't attachments."""
+def _split_parts(body: str, boundary: str | None) -> list[tuple[dict[str, str], str]]:
+    """Headers and body of each part between boundaries; an unnamed boundary is the first line that looks like one."""
+    if boundary is None:
+        m = re.search(r"(?m)^--(\S+)\s*$", body)
+        boundary = m[1] if m else ""
+    parts = []
+    for p in ("\n" + body).split(f"\n--{boundary}")[1:]:
+        rest, _, p = p.partition("\n")
+        if rest.strip() in ("", "--"):  # else another boundary that begins alike
+            parts.append(split_headers(p) if _HEADER.match(p.split("\n", 1)[0]) else ({}, p))
+    return parts
+
+
+def _open_part(headers: dict[str, str], body: str, nested: bool) -> str | tuple[str, list[tuple[dict[str, str], str]]]:
+    """The text of a single part, or the kind and the parts of a multipart."""
     kind = headers.get("content-type", "text/plain")
-    main = kind.split(";")[0].strip().lower()
-    parameters = _parameters(kind)
-    if "attachment" in headers.get("content-disposition", "").lower() or "filename" in headers.get("content-disposition", "").lower():
+    main, parameters = kind.split(";")[0].strip().lower(), _parameters(kind)
+    disposition = headers.get("content-disposition", "").lower()
+    if "attachment" in disposition or "filename" in disposition:
         return ""
-    if main.startswith("multipart/") and depth < MAX_DEPTH:
-        boundary = parameters.get("boundary")
-        if boundary is None:
-            m = re.search(r"(?m)^--(\S+)\s*$", body)
-            boundary = m[1] if m else ""
-        parts = []
-        for p in ("\n" + body).split(f"\n--{boundary}")[1:]:
-            rest, _, p = p.partition("\n")
-            if rest.strip() in ("", "--"):  # else another boundary that begins alike
-                parts.append(split_headers(p) if _HEADER.match(p.split("\n", 1)[0]) else ({}, p))
+    if main.startswith("multipart/"):
+        parts = _split_parts(body, parameters.get("boundary"))
         if main == "multipart/alternative":  # the plain one if it says anything
             parts.sort(key=lambda part: not part[0].get("content-type", "text/plain").lower().startswith("text/plain"))
-        read = []
-        for h, b in parts:
-            text = body_text(h, b, depth + 1)
-            if text.strip():
-                read.append(text)
-                if main in ("multipart/alternative", "multipart/related"):
-                    break
-        return "\n".join(read)
-    if main == "message/rfc822" or (main and not main.startswith("text/") and depth):
+        return main, parts
+    if main == "message/rfc822" or (main and not main.startswith("text/") and nested):
         return ""
     text = decode_body(body, headers.get("content-transfer-encoding", ""), parameters.get("charset", ""))
     if main == "text/html" or re.search(r"(?i)^\s*<(!doctype|html|body)\b", text):
@@ -123,6 +121,29 @@ def body_text(headers: dict[str, str], body: str, depth: int = 0) -> str:
     return repair(text.replace("\r\n", "\n").replace("\r", "\n"))
 
 
+def body_text(headers: dict[str, str], body: str) -> str:
+    """The readable text of a body: of alternatives the plain one, of mixed parts those that aren't attachments.
+
+    Multiparts are walked with a stack of their own, however deep they are nested.
+    """
+    stack: list[tuple[str, Iterator[tuple[dict[str, str], str]], list[str]]] = [("", iter([(headers, body)]), [])]
+    while True:
+        kind, parts, read = stack[-1]
+        part = None if read and kind in ("multipart/alternative", "multipart/related") else next(parts, None)
+        opened: str | tuple = ""
+        if part is not None:
+            opened = _open_part(*part, nested=len(stack) > 1)
+        else:
+            opened = "\n".join(read)
+            stack.pop()
+            if not stack:
+                return opened
+        if isinstance(opened, tuple):
+            stack.append((opened[0], iter(opened[1]), []))
+        elif opened.strip():
+            stack[-1][2].append(opened)
+
+
 def message_text(text: str | None) -> tuple[dict[str, str], str]:
     """Headers and decoded body text of a whole message; a text without headers is all body."""
     if not text or not text.strip():
@@ -139,17 +160,14 @@ _WROTE = re.compile(r"(?i)\b(wrote|schrieb|écrit|ecrit|escribió|escribio)\b.*:
 _OPENS = re.compile(r"^(On|Am|Le|El)\b")
 _OLD_MESSAGE = re.compile(r"^-{3,}\s*\w.*\w\s*-{3,}\s*$")
 _FIELD = re.compile(r"(?i)^\*?(from|von|de|sent|gesendet|envoyé|enviado|date|datum|to|an|para|subject|betreff|objet|asunto)\s?:\*?\s")
-_RULE = re.compile(r"^\s*([_*=~-])\1{4,}\s*$")
+_RULE = re.compile(r"^\s*([_*=~-])\1{2,}\s*$")
 _RULES, _ENCODED = frozenset("_*=~- \t"), re.compile(r"^begin [0-7]{3} \S")
 _SIGNATURE = re.compile(r"^--\s*$")
-_NOTICE = re.compile(r"(?i)\b(confidential|vertraulich|confidentiel|confidencial|disclaimer|malware|viruses|liability|haftung|responsabilité|responsabilidad|at your own risk|advice|views (stated|expressed))\b")
-_ASIDES = re.compile(r"(?:^|(?<=[.!?…] ))\([^()]*\)")
-_FULL_STOP = re.compile(r"[.!?…][\"»”')\]]*\s*$")
 _END = re.compile(r"(?<=[.!?…])[\"»”')]*\s+(?=[^\s])")
 
 
 def own_lines(body: str) -> list[str]:
-    """Lines of a body without quotes, their introductions, signature, notices after a rule, and encoded attachments."""
+    """Lines of a body without quotes, their introductions, signature, and encoded attachments; a rule parts paragraphs."""
     lines, out, i = body.split("\n"), [], 0
     while i < len(lines):
         line = lines[i].rstrip()
@@ -157,8 +175,10 @@ def own_lines(body: str) -> list[str]:
         if head == "b" and _ENCODED.match(line):
             while i < len(lines) and lines[i].strip() != "end":
                 i += 1
-        elif head in _RULES and (_SIGNATURE.match(line) or _OLD_MESSAGE.match(line) or _RULE.match(line)):
+        elif head in _RULES and (_SIGNATURE.match(line) or _OLD_MESSAGE.match(line)):
             break
+        elif head in _RULES and _RULE.match(line):
+            out.append("")
         elif ":" in line and _FIELD.match(line) and i + 1 < len(lines) and _FIELD.match(lines[i + 1]):
             break
         elif (">" in line or "|" in line) and _QUOTE.match(line):
@@ -174,14 +194,8 @@ def own_lines(body: str) -> list[str]:
 
 
 def own_sentences(body: str) -> list[str]:
-    """Whole sentences that the author wrote; greetings, names and addresses, asides in parentheses and notices are left out."""
+    """Sentences that the author wrote, whether or not they end with a full stop; what a paragraph breaks off with is one too."""
     out = []
     for paragraph in re.split(r"\n\s*\n", "\n".join(own_lines(body))):
-        text = _ASIDES.sub(" ", " ".join(paragraph.split())).strip()
-        if not text:
-            continue
-        sentences = [s for s in _END.split(text) if s and _FULL_STOP.search(s)]
-        if _NOTICE.search(text) and sum(bool(_NOTICE.search(s)) for s in sentences) * 2 >= len(sentences):
-            continue
-        out += sentences
+        out += [s for s in _END.split(" ".join(paragraph.split())) if s]
     return out

@@ -1,11 +1,13 @@
 """Subject areas of a message: classifier chains over term, source and structure features.
 
 Terms: a logistic model of words and word pairs, learnt from the sentences of labelled messages, gives each sentence's
-probability of each subject. Chain: for each subject in turn, a logistic model of how many sentences deal with it and how
-clearly, of the message's source and structure, and of the subjects decided before it (so that subjects that go together
-or exclude each other are known). It is fitted on sentence scores from models that haven't seen the message. Labels are
-incomplete, so the chain's probabilities are divided by how often a clear subject (the main one, or another) is labelled. The most probable
-combination of the subjects that at least two sentences deal with is found by beam search.
+probability of each subject (what all kinds of messages have, such as greetings and legal notices, scores as low as the
+subject is rare). Chain: for each subject in turn, a logistic model of how many sentences deal with it and how clearly, of
+how often messages of the same source have it, of the message's structure, and of the subjects decided before it (so that
+subjects that go together or exclude each other are known). It is fitted on sentence scores from models that haven't seen
+the message. Labels are incomplete, so the chain's probabilities are divided by how often a clear subject (the main one,
+or another) is labelled. The most probable combination in which only subjects that at least two sentences deal with are
+chosen is found by beam search; those that aren't chosen count with their factors too.
 """
 
 from __future__ import annotations
@@ -26,8 +28,6 @@ from .tokens import texts_of
 
 #: The bound of the sample that is learnt from: labelled messages, taken in the order of a hash of their id.
 MOST_LABELLED = 6000
-#: Sources with a feature of their own (the most frequent of the sample); the others share one.
-MOST_SOURCES = 30
 #: A sentence deals with a subject if its score is this part of the way from the subject's share of all messages (about what
 #: a sentence that any message may have scores) to 1.
 SENTENCE_LIFT = 0.34
@@ -57,6 +57,22 @@ def read_message(text: str | None) -> tuple[list[str], list[float]]:
     return own_sentences(body), [float("in-reply-to" in headers), float(bool(re.match(r"(?i)\s*(fwd?|tr|wg)\b", headers.get("subject", "")))), float("html" in kind), float("multipart" in kind)]
 
 
+def _source(name: str | None) -> str:
+    return (name or "").strip().lower()
+
+
+def source_odds(sources: list[str], labels: np.ndarray) -> dict[str, np.ndarray]:
+    """For every source the log odds of each subject among its messages, drawn towards those of all messages ("\0": of none known)."""
+    every = np.clip(labels.mean(0), 1e-3, 1 - 1e-3) if len(labels) else np.full(labels.shape[1], 0.5)
+    rate = {"\0": every}
+    place: dict[str, list[int]] = {}
+    for i, x in enumerate(sources):
+        place.setdefault(x, []).append(i)
+    for x, rows in place.items():
+        rate[x] = (labels[rows].sum(0) + 10 * every) / (len(rows) + 10)
+    return {x: np.log(r / (1 - r)) for x, r in rate.items()}
+
+
 def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
@@ -180,65 +196,63 @@ class SubjectModel:
     subjects: list[str]
     order: list[int]
     term_model: TermModel
-    sources: dict[str, int]
+    sources: dict[str, np.ndarray]
     chain: list[np.ndarray]
     labelled_rate: np.ndarray
     cut: np.ndarray
 
-    def common(self, n_sentences: int, structure: list[float], source: str | None) -> np.ndarray:
-        one = np.zeros(len(self.sources) + 1)
-        one[self.sources.get((source or "").strip().lower(), len(self.sources))] = 1
-        return np.concatenate([[1.0, np.log1p(n_sentences)], structure, one])
-
     def decide(self, scores: np.ndarray, structure: list[float], source: str | None) -> list[str]:
         """The most probable combination of the subjects that enough sentences deal with, by beam search along the chain."""
         enough = (scores > self.cut).sum(0) >= LEAST_SENTENCES
         if not enough.any():
             return []
-        common, ev = self.common(len(scores), structure, source), evidence(scores, self.cut)
+        ev, common = evidence(scores, self.cut), shared_features(len(scores), structure)
+        odds = self.sources.get(_source(source), self.sources["\0"])
         rate = np.where(ev[:, 6] >= ev[:, 6].max(), *self.labelled_rate)
-        # only a subject of enough sentences can be chosen: the others stay 0 in every combination
-        beam: list[tuple[float, list[int]]] = [(0.0, [])]  # log probability, places in the chain of the subjects chosen
-        width = len(common) + ev.shape[1]
+        # log probability, places in the chain of the subjects chosen; one of too few sentences stays 0, with its factor
+        beam: list[tuple[float, list[int]]] = [(0.0, [])]
         for at, j in enumerate(self.order):
-            if not enough[j]:
-                continue
-            w = self.chain[at]
-            fixed = float(w[: len(common)] @ common + w[len(common) : width] @ ev[j])
+            w, x = self.chain[at], np.concatenate([common, ev[j], odds[j : j + 1]])
+            fixed, r = float(w[: len(x)] @ x), float(rate[j])
+            before = w[len(x) :].tolist()
             grown = []
             for logp, chosen in beam:
-                z = fixed + sum(float(w[width + c]) for c in chosen)
-                p = min(0.999, max(0.001, 1 / (1 + math.exp(-max(-30.0, min(30.0, z)))) / float(rate[j])))
-                grown += [(logp + math.log(p), [*chosen, at]), (logp + math.log(1 - p), chosen)]
+                z = fixed + sum(before[c] for c in chosen)
+                p = min(0.999, max(0.001, 1 / (1 + math.exp(-max(-30.0, min(30.0, z)))) / r))
+                grown.append((logp + math.log(1 - p), chosen))
+                if enough[j]:
+                    grown.append((logp + math.log(p), [*chosen, at]))
             beam = sorted(grown, key=lambda b: -b[0])[:BEAM]
         return [self.subjects[self.order[at]] for at in beam[0][1]]
 
 
+def shared_features(n_sentences: int, structure: list[float]) -> np.ndarray:
+    return np.array([1.0, np.log1p(n_sentences), *structure])
+
+
 def fit(messages: list[tuple[list[str], list[float], str | None]], labels: np.ndarray, subjects: list[str]) -> SubjectModel:
     """Fit on messages (sentences, structure, source) and their label matrix."""
     texts = [m[0] for m in messages]
-    count: dict[str, int] = {}
-    for m in messages:
-        name = (m[2] or "").strip().lower()
-        count[name] = count.get(name, 0) + 1
-    sources = {s: i for i, s in enumerate(sorted(sorted(count), key=lambda s: -count[s])[:MOST_SOURCES])}
+    names = [_source(m[2]) for m in messages]
     order = [int(j) for j in np.argsort(-labels.sum(0), kind="stable")]
-    model = SubjectModel(subjects, order, fit_terms(texts, labels), sources, [], np.ones(2), cuts(labels))
+    model = SubjectModel(subjects, order, fit_terms(texts, labels), source_odds(names, labels), [], np.ones(2), cuts(labels))
     half = np.arange(len(texts)) % 2
     scores: list[np.ndarray] = [np.zeros((0, len(subjects)))] * len(texts)
-    for part in (0, 1):  # scores of messages the term model hasn't seen
+    odds = np.zeros(labels.shape)
+    for part in (0, 1):  # scores and odds of messages that the models haven't seen
         seen = np.flatnonzero(half != part)
-        other = fit_terms([texts[i] for i in seen], labels[seen])
+        other, elsewhere = fit_terms([texts[i] for i in seen], labels[seen]), source_odds([names[i] for i in seen], labels[seen])
         for i in np.flatnonzero(half == part):
             scores[i] = other.sentence_scores(texts[i])
+            odds[i] = elsewhere.get(names[i], elsewhere["\0"])
     if not messages:
-        width = len(model.common(0, [0.0] * 4, None)) + 7
+        width = len(shared_features(0, [0.0] * 4)) + 8
         model.chain = [np.zeros(width + at) for at in range(len(subjects))]
         return model
-    common = np.stack([model.common(len(m[0]), m[1], m[2]) for m in messages])
+    common = np.stack([shared_features(len(t), m[1]) for t, m in zip(texts, messages, strict=True)])
     ev = np.stack([evidence(s, model.cut) for s in scores])
     for at, j in enumerate(order):
-        x = np.hstack([common, ev[:, j], labels[:, order[:at]]])
+        x = np.hstack([common, ev[:, j], odds[:, j : j + 1], labels[:, order[:at]]])
         model.chain.append(fit_logistic(x, labels[:, j]))
     # how often a subject that two sentences or more clearly deal with is labelled: the main one of a message, and others
     main = ev[:, :, 6] >= ev[:, :, 6].max(1, keepdims=True)

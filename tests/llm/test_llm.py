@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from signalframe.llm import catalog, mail, subjects
 from signalframe.llm.bpe import encoder
 from signalframe.llm.mixing import mix, shares
-from signalframe.llm.survivors import consensus, filled, json_text, representative, surviving_fields
+from signalframe.llm.survivors import align, consensus, distance, filled, json_text, representative, surviving_fields
 from signalframe.llm.tokens import encode_texts, with_token_counts
 
 # tokens
@@ -131,6 +131,56 @@ def test_surviving_fields(spark):
     assert got == [("g", "v", best[1]), ("tie", "v", "a")]
 
 
+def test_alignment_keeps_order_and_all_tokens():
+    rnd = random.Random(8)
+    for _ in range(1000):
+        a, b = ([rnd.choice("abcdef") for _ in range(rnd.randint(0, 9))] for _ in "ab")
+        pairs = align(a, b)
+        assert [i for i, _ in pairs if i is not None] == list(range(len(a))) and [j for _, j in pairs if j is not None] == list(range(len(b)))
+        assert (distance(a, b) == 0) == (a == b) and distance(a, b) <= max(len(a), len(b)) + min(len(a), len(b))
+    assert distance("the quick brown fox".split(), "the brown fox".split()) == 1
+    long = [str(i) for i in range(200_000)]
+    assert distance(long, long[:5] + long[6:]) == 1
+
+
+WEIGHTED = "g string, c string, trust int, at int, status string, v string, votes int"
+
+
+def test_votes_may_differ_from_the_first_copy(spark):
+    """Planted: the copy that ranks first is alone with its spelling; the others agree token by token."""
+    data = [("g", "first", 9, 9, "ACTIVE", "2025-06-15 12:00", 3), ("g", "b", 5, 5, "ACTIVE", "2025-06-16 12:00", 2), ("g", "c", 4, 5, "ACTIVE", "2025-06-16 12:00", 2), ("g", "d", 3, 5, "ACTIVE", "2025-06-16 13:00", 1), ("g", "off", 8, 8, "TOMBSTONE", "2025-06-15 12:00", 99)]
+    df = spark.createDataFrame(data, WEIGHTED)
+    args = {"group": "g", "copy": "c", "order": [F.col("trust"), F.col("at")], "active": F.col("status") == "ACTIVE"}
+    assert rows(surviving_fields(df, {"v": F.col("v")}, **args)) == [("g", "v", "first")]
+    assert rows(surviving_fields(df, {"v": F.col("v")}, **args, weight=F.col("votes"))) == [("g", "v", "b")]
+
+
+def test_votes_equal_those_of_whole_groups(spark):
+    rnd = random.Random(9)
+    data = [(f"g{g}", f"c{g}-{i}", rnd.randint(0, 2), rnd.randint(0, 5), rnd.choice(["ACTIVE", "ACTIVE", "MISSING"]), rnd.choice([None, " ".join(rnd.choice("abcd") for _ in range(rnd.randint(1, 5)))]), rnd.choice([None, -1, 0, 1, 2, 5])) for g in range(60) for i in range(rnd.choice([1, 2, 3, 8, 40]))]
+    want = set()
+    for g in {r[0] for r in data}:
+        of = [r for r in data if r[0] == g]
+        live = sorted((r for r in of if r[4] == "ACTIVE" and r[5]), key=lambda r: (-r[2], -r[3], r[1]))
+        if len(of) > 1 and live:
+            votes: dict = {}
+            for r in live:
+                votes[r[5]] = votes.get(r[5], 0) + max(0, r[6] or 0)
+            best = list(votes)[representative(list(votes), list(votes.values()))]
+            want.add((g, "v", next(r[1] for r in live if r[5] == best)))
+    df = spark.createDataFrame(data, WEIGHTED)
+    got = surviving_fields(df, {"v": F.col("v")}, group="g", copy="c", order=[F.col("trust"), F.col("at")], active=F.col("status") == "ACTIVE", weight=F.col("votes"))
+    assert set(rows(got)) == want
+    first = {(x, f, c) for x, f, c in rows(surviving_fields(df, {"v": F.col("v")}, group="g", copy="c", order=[F.col("trust"), F.col("at")], active=F.col("status") == "ACTIVE"))}
+    assert len(first) == len(want) and len(first - want) > 5
+
+
+def test_consensus_of_the_records_is_not_always_the_first(spark):
+    q = catalog.queries()
+    by_votes, by_rank = (set(rows(q[n](spark, f"{DATA}/sf0.001"))) for n in ("p3_consensus", "p3_found"))
+    assert {r[:2] for r in by_votes} == {r[:2] for r in by_rank} and by_votes - by_rank
+
+
 def test_p3_equals_sql(spark):
     import duckdb
 
@@ -157,7 +207,7 @@ BODY = "Hello,\n\nThe plan works. It is done!\n\nOn Mon, A B wrote:\n> old words
 ])
 def test_own_sentences(make):
     _, body = mail.message_text(make(BODY))
-    assert mail.own_sentences(body) == ["The plan works.", "It is done!", "My answer is no."]
+    assert [s for s in mail.own_sentences(body) if s not in ("Hello,", "(By the way: nothing.)")] == ["The plan works.", "It is done!", "My answer is no."]
 
 
 def test_odd_messages():
@@ -166,6 +216,37 @@ def test_odd_messages():
     assert mail.repair("schÃ¶n") == "schön"
 
 
+@pytest.mark.parametrize("depth", [1, 7, 400])
+def test_nested_multiparts(depth):
+    text = "Content-Type: text/plain\n\nDeep down. It is read."
+    for i in range(depth):
+        text = f'Content-Type: multipart/{("mixed", "alternative")[i % 2]}; boundary="b{i}x"\n\n--b{i}x\n{text}\n--b{i}x--\n'
+    assert mail.own_sentences(mail.message_text(text)[1]) == ["Deep down.", "It is read."]
+
+
+def test_alternatives_and_attachments():
+    part = lambda kind, text, more="": f"--q\nContent-Type: {kind}\n{more}\n{text}\n"
+    both = part("text/html", "<p>Marked up.</p>") + part("text/plain", "Plain.")
+    read = lambda kind, parts: mail.message_text(f'Content-Type: multipart/{kind}; boundary="q"\n\n{parts}--q--\n')[1].split()
+    assert read("alternative", both) == ["Plain."] and read("mixed", both) == ["Marked", "up.", "Plain."]
+    assert read("alternative", part("text/html", "<p>Marked up.</p>") + part("text/plain", " ")) == ["Marked", "up."]
+    assert read("mixed", both + part("text/plain", "Hidden.", "Content-Disposition: attachment\n")) == ["Marked", "up.", "Plain."]
+
+
+@pytest.mark.parametrize("text", [
+    "The court gave new advice on the contract. Our lawyer shared the advice with the board.",
+    "The firewall stopped the malware. No viruses were found in the build.",
+    "Liability was settled. The judge called it confidential (so did counsel).",
+    "(They met in court. The verdict came late.)",
+])
+def test_no_word_makes_a_paragraph_a_notice(text):
+    assert len(mail.own_sentences(text)) == 2
+
+
+def test_sentences_need_no_full_stop():
+    assert mail.own_sentences("They play the final on Sunday\n\nThe goalkeeper is fit. The coach agrees") == ["They play the final on Sunday", "The goalkeeper is fit.", "The coach agrees"]
+
+
 # subjects
 
 
@@ -197,6 +278,34 @@ def test_subjects_of_held_out_messages(spark):
     assert subjects.subject_areas(docs.limit(0), model).count() == 0
 
 
+def test_chain_equals_all_combinations():
+    """With room in the beam the decision is the most probable of all combinations, with the factors of the subjects left out."""
+    rnd = np.random.default_rng(3)
+    k = 5
+    for _ in range(60):
+        m = subjects.SubjectModel(list("abcde"), [2, 0, 4, 1, 3], subjects.TermModel({}, np.zeros((0, k)), np.zeros(k)), {"\0": rnd.normal(size=k)}, [rnd.normal(size=14 + at) * 2 for at in range(k)], np.array([0.9, 0.7]), np.full(k, 0.5))
+        scores, structure = rnd.random((5, k)), [0.0, 1.0, 0.0, 1.0]
+        enough = (scores > 0.5).sum(0) >= 2
+        ev, common = subjects.evidence(scores, m.cut), subjects.shared_features(5, structure)
+        rate = np.where(ev[:, 6] >= ev[:, 6].max(), *m.labelled_rate)
+        best = None
+        for mask in range(1 << k):
+            y, logp = [mask >> j & 1 for j in range(k)], 0.0
+            for at, j in enumerate(m.order):
+                x = np.concatenate([common, ev[j], m.sources["\0"][j : j + 1], [y[i] for i in m.order[:at]]])
+                p = min(0.999, max(0.001, float(1 / (1 + np.exp(-m.chain[at] @ x))) / rate[j]))
+                logp += np.log(p if y[j] else 1 - p)
+            if not any(y[j] and not enough[j] for j in range(k)) and (best is None or logp > best[0]):
+                best = (logp, {m.subjects[j] for j in range(k) if y[j]})
+        assert set(m.decide(scores, structure, "x")) == (best[1] if enough.any() else set())
+
+
+def test_every_source_has_its_odds():
+    labels = np.array([[1.0, 0.0]] * 50 + [[0.0, 1.0]] * 50)
+    odds = subjects.source_odds([f"s{i % 50}" for i in range(50)] + ["other"] * 50, labels)
+    assert len(odds) == 52 and odds["other"][0] < odds["\0"][0] < odds["s49"][0]
+
+
 def test_learning_from_nothing(spark):
     docs = spark.createDataFrame([(1, "Subject: x\n\nOne. Two.", "a")], "doc_id bigint, text string, source string")
     labels = spark.createDataFrame([], "doc_id bigint, subject string")
@@ -211,7 +320,7 @@ def test_logistic_fit():
     assert np.allclose(subjects.fit_logistic(x, y), [-1, 2, 0], atol=0.25)
 
 
-@pytest.mark.parametrize("name", ["p9_mix", "p9_shares", "p10_found"])
+@pytest.mark.parametrize("name", ["p3_consensus", "p9_mix", "p9_shares", "p10_found"])
 def test_queries_run(spark, name):
     df = catalog.queries()[name](spark, f"{DATA}/sf0.001").cache()
     assert df.count() == df.distinct().count() > 0

@@ -7,7 +7,7 @@ from pyspark.sql.types import StructField, StructType
 
 from signalframe.llm import catalog
 
-TABLES = ("documents", "subject_areas", "subject_labels", "mix_targets", "physical_records", "source_databases")
+TABLES = ("documents", "subject_areas", "subject_labels", "mix_targets", "physical_records", "source_databases", "source_generations")
 CLASHING = ("ids", "n_tokens", "given", "sentences", "structure", "key", "range", "uses", "grp", "copy", "field", "value", "rank", "cell", "trust", "seen", "seen_at", "bpm", "zone_name", "__v", "__o0")
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -10,19 +11,36 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from .statistics import MAD_SCALE
 
-#: Physical bounds of a heart rate; outside them no reading is possible.
-LOWEST, HIGHEST = 25.0, 240.0
 SHARD_SECONDS = 8 * 86400
-#: Hampel filter: readings on each side for the rolling median, and for the spread of the steps between readings.
-HALF_WINDOW, STEP_WINDOW = 7, 12
-LONGEST_EXCURSION = 3
-#: So many plausible readings on each side decide whether a reading is part of an excursion.
-REACH = LONGEST_EXCURSION + max(HALF_WINDOW, STEP_WINDOW) + 1
-#: An excursion stands out by this many scaled median absolute deviations of the device's steps, and at least this much.
-SIGMAS, LEAST_JUMP = 4.5, 14.0
-#: A frozen run is at least this long, and this many times the length that TYPICAL_SHARE of the source's shorter runs don't exceed.
-LEAST_RUN, RUN_FACTOR, TYPICAL_SHARE = 7, 1.75, 0.98
+
+
+@dataclass(frozen=True)
+class Rules:
+    """What counts as implausible; the defaults are for heart rates.
+
+    ``lowest``, ``highest``: physical bounds. Hampel filter: ``half_window`` readings on each side give the rolling median
+    and the scaled median absolute deviation about it; an excursion of up to ``longest`` readings is ``sigmas`` of these
+    off, and at least ``least_jump``. A frozen run has at least ``least_run`` readings and ``run_factor`` times the length
+    that ``typical_share`` of the source's shorter runs don't exceed.
+    """
+
+    lowest: float = 25.0
+    highest: float = 240.0
+    half_window: int = 12
+    sigmas: float = 3.0
+    least_jump: float = 12.0
+    longest: int = 3
+    least_run: int = 7
+    run_factor: float = 1.75
+    typical_share: float = 0.98
+
+    @property
+    def reach(self) -> int:
+        """So many plausible readings on each side decide whether a reading is part of an excursion."""
+        return self.longest + self.half_window + 1
+
 
 _OUT = "kind string, sid string, shard bigint, run bigint, edge int, value double, n bigint, id string"
 _OUT_SCHEMA = pa.schema([("kind", pa.string()), ("sid", pa.string()), ("shard", pa.int64()), ("run", pa.int64()), ("edge", pa.int32()), ("value", pa.float64()), ("n", pa.int64()), ("id", pa.string())])
@@ -37,13 +55,14 @@ def _median(rows: np.ndarray) -> np.ndarray:
     return np.where(n > 0, m, np.nan)
 
 
-def excursions(group: np.ndarray, t: np.ndarray, x: np.ndarray, halo_us: int | None = None) -> np.ndarray:
-    """Mask of the readings of up to three that jump out of the rolling median and come back.
+def excursions(group: np.ndarray, t: np.ndarray, x: np.ndarray, rules: Rules, halo_us: int | None = None) -> np.ndarray:
+    """Mask of the readings of up to ``longest`` that jump out of the rolling median and come back.
 
     ``group`` marks the source, ``t`` (microseconds) ascends within it. Readings of the group are neighbours however long
-    the device was silent between them, unless ``halo_us`` limits it. A stretch is a case if it is outside the Hampel band around the rolling median, and outside both its
-    shoulders (the readings just before and after it) by the same margin: what builds up or fades has no such shoulders,
-    and a lasting shift has no return. The margin is that of SIGMAS scaled deviations of the steps around it.
+    the device was silent between them, unless ``halo_us`` limits it. A stretch is a case if it is outside the Hampel band
+    around the rolling median (median absolute deviation about it), and outside both its shoulders (the readings just
+    before and after it) by the same margin: what builds up or fades has no such shoulders, and a lasting shift has no
+    return.
     """
     n, hit = len(x), np.zeros(len(x), bool)
     if n < 2:
@@ -52,38 +71,33 @@ def excursions(group: np.ndarray, t: np.ndarray, x: np.ndarray, halo_us: int | N
     near[1:n] = group[1:] == group[:-1]
     if halo_us is not None:
         near[1:n] &= t[1:] - t[:-1] <= halo_us
-    for length in range(1, LONGEST_EXCURSION + 1):
+    for length in range(1, rules.longest + 1):
         if n <= length:
             break
         i = np.arange(0, n - length)
-        j = i + length
         ok = np.ones(len(i), bool)
         for k in range(1, length + 1):
             ok &= near[i + k]
-        i, j = i[ok], j[ok]
+        i = i[ok]
+        j = i + length
         seg = np.stack([x[i + k] for k in range(length)])
         before = np.where(near[i], x[np.maximum(i - 1, 0)], x[j])
         up, down = seg.min(0) - np.maximum(before, x[j]), np.minimum(before, x[j]) - seg.max(0)
         out = np.maximum(up, down)
-        c = out >= LEAST_JUMP
-        i, j, out, sign = i[c], j[c], out[c], np.where(up[c] > 0, 1.0, -1.0)
+        c = out >= rules.least_jump  # no margin is less
+        i, out, sign = i[c], out[c], np.where(up[c] > 0, 1.0, -1.0)
         if not len(i):
             continue
-
-        def around(k: int, at: np.ndarray, values: np.ndarray) -> np.ndarray:
-            idx = at[:, None] + np.arange(-k, k + 1)
-            safe = np.clip(idx, 0, n - 1)
-            good = (idx == safe) & (group[safe] == group[at][:, None])
-            if halo_us is not None:
-                good &= np.abs(t[safe] - t[at][:, None]) <= halo_us
-            return np.where(good, values[safe], np.nan)
-
-        step = np.full(n, np.nan)
-        step[1:] = np.where(near[1:n], np.abs(x[1:] - x[:-1]), np.nan)
         centre = i + (length - 1) // 2
-        level = _median(around(HALF_WINDOW, centre, x))
-        spread = 1.4826 * np.nan_to_num(_median(around(STEP_WINDOW, centre, step)))
-        margin = np.maximum(LEAST_JUMP, SIGMAS * spread)
+        at = centre[:, None] + np.arange(-rules.half_window, rules.half_window + 1)
+        safe = np.clip(at, 0, n - 1)
+        good = (at == safe) & (group[safe] == group[centre][:, None])
+        if halo_us is not None:
+            good &= np.abs(t[safe] - t[centre][:, None]) <= halo_us
+        window = np.where(good, x[safe], np.nan)
+        level = _median(window)
+        deviation = MAD_SCALE * _median(np.abs(window - level[:, None]))
+        margin = np.maximum(rules.least_jump, rules.sigmas * deviation)
         far = np.stack([(x[i + k] - level) * sign for k in range(length)]).min(0)
         case = (out >= margin) & (far >= margin)
         for k in range(length):
@@ -91,20 +105,27 @@ def excursions(group: np.ndarray, t: np.ndarray, x: np.ndarray, halo_us: int | N
     return hit
 
 
-def _scan_groups(c: dict[str, np.ndarray], sid: pa.Array, ids: pa.Array, halo_us: int | None) -> pa.Table:
-    """Whole (source, shard) groups, sorted by group and time: excursions, readings near the edges, runs at the edges, long runs, and run lengths."""
-    g, t, x, shard = c["g"], c["t"], c["value"], c["shard"]
-    p = np.flatnonzero((x >= LOWEST) & (x <= HIGHEST))
+def _scan_groups(c: dict[str, np.ndarray], sid: pa.Array, ids: pa.Array, rules: Rules, halo_us: int | None) -> pa.Table:
+    """Whole (source, shard) groups, sorted by group and time: what is impossible, and of readings with an instant the
+    excursions, those near the edges, runs at the edges, long runs, and run lengths."""
+    within = (c["value"] >= rules.lowest) & (c["value"] <= rules.highest)
+    off = np.flatnonzero(~within)
+    impossible = pa.table({"kind": pa.array(["impossible"] * len(off), pa.string()), "id": ids.take(pa.array(off))})
+    timed = np.flatnonzero(c["timed"])
+    if len(timed) < len(within):
+        sid, ids, within = sid.take(pa.array(timed)), ids.take(pa.array(timed)), within[timed]
+    g, t, x, shard = (c[n][timed] for n in ("g", "t", "value", "shard"))
+    p = np.flatnonzero(within)
     hit = np.zeros(len(x), bool)
-    hit[p] = excursions(g[p], t[p], x[p], halo_us)
-    # what is within REACH of an edge is decided with the shards beside it, from 2 * REACH readings of each
+    hit[p] = excursions(g[p], t[p], x[p], rules, halo_us)
+    # what is within reach of an edge is decided with the shards beside it, from twice as many readings of each
     group_heads = np.flatnonzero(np.append(True, g[p][1:] != g[p][:-1])) if len(p) else np.zeros(0, np.int64)
     size = np.diff(np.append(group_heads, len(p)))
     place = np.arange(len(p)) - np.repeat(group_heads, size)
     inward = np.minimum(place, np.repeat(size, size) - 1 - place)
-    hit[p[inward < REACH]] = False
-    shown = inward < 2 * REACH
-    parts = []
+    hit[p[inward < rules.reach]] = False
+    shown = inward < 2 * rules.reach
+    parts = [pa.concat_tables([_OUT_SCHEMA.empty_table(), impossible], promote_options="default")]
 
     def rows(kind: str, at: np.ndarray, run=None, edge=None, value=None, n=None, with_id: bool = False) -> None:
         if len(at):
@@ -115,7 +136,7 @@ def _scan_groups(c: dict[str, np.ndarray], sid: pa.Array, ids: pa.Array, halo_us
             ], schema=_OUT_SCHEMA))
 
     rows("excursion", np.flatnonzero(hit), with_id=True)
-    rows("near", p[shown], run=place[shown], edge=inward[shown] < REACH, value=x[p[shown]], n=t[p[shown]], with_id=True)
+    rows("near", p[shown], run=place[shown], edge=inward[shown] < rules.reach, value=x[p[shown]], n=t[p[shown]], with_id=True)
     if len(x):
         new_group = np.ones(len(x), bool)
         new_group[1:] = g[1:] != g[:-1]
@@ -131,7 +152,7 @@ def _scan_groups(c: dict[str, np.ndarray], sid: pa.Array, ids: pa.Array, halo_us
         group_start = np.maximum.accumulate(np.where(first, np.arange(len(heads)), 0))
         number = np.arange(len(heads)) - group_start
         edge = first * 1 + last * 2
-        kept = (edge > 0) | (length >= LEAST_RUN)
+        kept = (edge > 0) | (length >= rules.least_run)
         rows("run", heads[kept], run=number[kept], edge=edge[kept], value=x[heads[kept]], n=length[kept])
         member = np.flatnonzero(kept[run])
         rows("member", member, run=number[run[member]], with_id=True)
@@ -139,7 +160,7 @@ def _scan_groups(c: dict[str, np.ndarray], sid: pa.Array, ids: pa.Array, halo_us
         pairs, counts = np.unique(np.stack([group_start[inner], length[inner]]), axis=1, return_counts=True)
         if len(counts):
             rows("length", heads[pairs[0]], run=pairs[1].astype(np.int64), n=counts.astype(np.int64))
-    return pa.concat_tables(parts) if parts else _OUT_SCHEMA.empty_table()
+    return pa.concat_tables(parts)
 
 
 def _whole_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
@@ -163,16 +184,16 @@ def _whole_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Ta
         yield pa.Table.from_batches(held).combine_chunks()
 
 
-def _scan(halo_us: int | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _scan(rules: Rules, halo_us: int | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for tab in _whole_groups(batches, "g"):
-            c = {n: tab.column(n).to_numpy() for n in ("g", "t", "value", "shard")}
-            yield from _scan_groups(c, tab.column("sid").combine_chunks(), tab.column("id").combine_chunks(), halo_us).to_batches(max_chunksize=100_000)
+            c = {n: tab.column(n).to_numpy() for n in ("g", "t", "value", "shard", "timed")}
+            yield from _scan_groups(c, tab.column("sid").combine_chunks(), tab.column("id").combine_chunks(), rules, halo_us).to_batches(max_chunksize=100_000)
 
     return scan
 
 
-def _scan_edges(halo_us: int | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _scan_edges(rules: Rules, halo_us: int | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """The excursions among the readings near the edges of shards, from rows sorted by source, shard and place."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,7 +203,7 @@ def _scan_edges(halo_us: int | None) -> Callable[[Iterator[pa.RecordBatch]], Ite
             # a new piece starts with a source, and where a shard's readings between its edges are left out
             new = np.ones(len(sid), bool)
             new[1:] = (sid[1:] != sid[:-1]) | ((shard[1:] == shard[:-1]) & (place[1:] != place[:-1] + 1))
-            hit = excursions(np.cumsum(new), tab.column("n").to_numpy(), tab.column("value").to_numpy(), halo_us) & (tab.column("edge").to_numpy() == 1)
+            hit = excursions(np.cumsum(new), tab.column("n").to_numpy(), tab.column("value").to_numpy(), rules, halo_us) & (tab.column("edge").to_numpy() == 1)
             yield from tab.select(["id"]).filter(pa.array(hit)).to_batches()
 
     return scan
@@ -198,39 +219,39 @@ def readings_once(df: DataFrame, entity: str, record: str, value: str, instant_u
     )
 
 
-def _frozen_from(lengths: Column, runs: Column) -> Column:
+def _frozen_from(lengths: Column, runs: Column, rules: Rules) -> Column:
     """Length from which on the runs of a source are frozen, null if none is; ``lengths`` is its sorted (len, upto, n), ``runs`` their number.
 
     A length is judged by the shorter runs alone, so that neither the run itself nor other frozen ones raise what counts
     as typical, however few runs there are. What at least half of the runs reach is the source's own way, not frozen;
-    a run that is the only one is judged by LEAST_RUN.
+    a run that is the only one is judged by ``least_run``.
     """
 
     def stands_out(x: Column) -> Column:
         shorter = x["upto"] - x["n"]
-        typical = F.filter(lengths, lambda y: (y["len"] < x["len"]) & (y["upto"] / shorter >= TYPICAL_SHARE))
-        far = x["len"] >= F.ceil(F.coalesce(F.get(typical, F.lit(0))["len"], F.lit(0)) * RUN_FACTOR)
-        return (x["len"] >= LEAST_RUN) & (F.greatest(shorter, F.lit(1)) >= runs - shorter) & far
+        typical = F.filter(lengths, lambda y: (y["len"] < x["len"]) & (y["upto"] / shorter >= rules.typical_share))
+        far = x["len"] >= F.ceil(F.coalesce(F.get(typical, F.lit(0))["len"], F.lit(0)) * rules.run_factor)
+        return (x["len"] >= rules.least_run) & (F.greatest(shorter, F.lit(1)) >= runs - shorter) & far
 
     return F.get(F.filter(lengths, stands_out), F.lit(0))["len"]
 
 
-def implausible_readings(df: DataFrame, entity: str, record: str, value: str, instant_us: str, *, shard_seconds: int = SHARD_SECONDS, halo_seconds: int | None = None) -> DataFrame:
+def implausible_readings(df: DataFrame, entity: str, record: str, value: str, instant_us: str, *, rules: Rules = Rules(), shard_seconds: int = SHARD_SECONDS, halo_seconds: int | None = None) -> DataFrame:
     """(record, reason) of the readings that are impossible, part of an excursion, or part of a frozen run.
 
     ``instant_us`` is a column of microseconds; readings without an instant are judged by the bounds alone. A record
     delivered several times counts once. What is near a shard's edges is judged for excursions with the readings of the
     shards beside it, however far off (``halo_seconds`` limits the silence between neighbours, if given), from at most
-    4 * REACH rows a shard. Runs may cross shards: runs at a shard's edges are joined through a scan over at most two rows a shard. The length a frozen run must have comes from the run lengths of the whole source (see ``_frozen_from``).
+    4 * ``rules.reach`` rows a shard. Runs may cross shards: runs at a shard's edges are joined through a scan over at most two rows a shard. The length a frozen run must have comes from the run lengths of the whole source (see ``_frozen_from``).
     """
     once = readings_once(df, entity, record, value, instant_us)
     halo_us = None if halo_seconds is None else halo_seconds * 1_000_000
-    impossible = (F.col("value") < LOWEST) | (F.col("value") > HIGHEST)
-    shard = F.floor(F.col("t") / (shard_seconds * 1_000_000)).alias("shard")
-    sharded = once.filter("t is not null").select("sid", "id", "value", "t", shard).select(F.xxhash64("sid", "shard").alias("g"), "sid", "shard", "t", "id", "value")
-    found = materialize(sharded.repartition("sid", "shard").sortWithinPartitions("g", "sid", "shard", "t", "id").mapInArrow(_scan(halo_us), _OUT).unionByName(once.filter(impossible).select(F.lit("impossible").alias("kind"), "id"), allowMissingColumns=True))
+    # readings without an instant are spread by their ids
+    shard = F.coalesce(F.floor(F.col("t") / (shard_seconds * 1_000_000)), -(1 << 40) - F.pmod(F.xxhash64("id"), F.lit(256)))
+    sharded = once.select("sid", "id", "value", shard.alias("shard"), F.coalesce("t", F.lit(0)).alias("t"), F.col("t").isNotNull().alias("timed")).withColumn("g", F.xxhash64("sid", "shard"))
+    found = materialize(sharded.repartition("sid", "shard").sortWithinPartitions("g", "sid", "shard", "t", "id").mapInArrow(_scan(rules, halo_us), _OUT))
     near = found.filter("kind = 'near'").select("sid", "shard", "run", "edge", "value", "n", "id").repartition("sid").sortWithinPartitions("sid", "shard", "run")
-    across = near.mapInArrow(_scan_edges(halo_us), "id string").select("id", F.lit("excursion").alias("reason"))
+    across = near.mapInArrow(_scan_edges(rules, halo_us), "id string").select("id", F.lit("excursion").alias("reason"))
 
     runs = found.filter("kind = 'run'")
     order = Window.partitionBy("sid").orderBy("shard", "run")
@@ -247,7 +268,7 @@ def implausible_readings(df: DataFrame, entity: str, record: str, value: str, in
     )
     by_length = Window.partitionBy("sid").orderBy("len")
     longest = lengths.withColumn("upto", F.sum("n").over(by_length)).groupBy("sid").agg(F.array_sort(F.collect_list(F.struct("len", "upto", "n"))).alias("r"), F.sum("n").alias("all"))
-    candidates = edges.select("sid", "shard", "run", "total").unionByName(runs.filter("edge = 0").select("sid", "shard", "run", F.col("n").alias("total"))).filter(F.col("total") >= LEAST_RUN)
-    frozen = candidates.join(longest.select("sid", _frozen_from(F.col("r"), F.col("all")).alias("least")), "sid").filter(F.col("total") >= F.col("least")).select("sid", "shard", "run")
+    candidates = edges.select("sid", "shard", "run", "total").unionByName(runs.filter("edge = 0").select("sid", "shard", "run", F.col("n").alias("total"))).filter(F.col("total") >= rules.least_run)
+    frozen = candidates.join(longest.select("sid", _frozen_from(F.col("r"), F.col("all"), rules).alias("least")), "sid").filter(F.col("total") >= F.col("least")).select("sid", "shard", "run")
     members = found.filter("kind = 'member'").join(frozen, ["sid", "shard", "run"]).select("id", F.lit("frozen").alias("reason"))
     return members.unionByName(across).unionByName(found.filter("kind in ('excursion', 'impossible')").select("id", F.col("kind").alias("reason"))).select(F.col("id").alias(record), "reason")

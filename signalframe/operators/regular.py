@@ -49,22 +49,33 @@ def regular_series(df: DataFrame, entity: str, seconds: Column, value: str, *, s
     """(entity, slot_start_utc, n, mean_value, empty, carried_value): every slot from the first to the last reading.
 
     A taken slot has the number and mean of its readings; an empty one is marked, with the mean of the last taken slot
-    before it carried in ``carried_value`` (in taken slots the slot's own mean). Null values are no readings.
+    before it carried in ``carried_value`` (in taken slots the slot's own mean). Null values are no readings. Shards are
+    summarized by their taken slots (at most ``shard / step``) and filled alone; the last mean of the shard before and the
+    number of the next are carried by a scan over one row a shard.
     """
     per = shard // step
     taken = (
         df.select(F.col(entity).alias("e"), F.floor(seconds / step).alias("slot"), F.col(value).alias("v"))
         .dropna()
         .groupBy("e", "slot")
-        .agg(F.count("*").alias("n"), F.avg("v").alias("mean_value"))
-        .withColumn("shard", F.floor(F.col("slot") / per))
+        .agg(F.count("*").alias("n"), F.avg("v").alias("m"))
+        .groupBy("e", F.floor(F.col("slot") / per).alias("shard"))
+        .agg(F.array_sort(F.collect_list(F.struct(F.pmod("slot", F.lit(per)).cast("int").alias("k"), "n", "m"))).alias("t"))
     )
-    w = Window.partitionBy("e", "shard").orderBy("slot")
-    firsts = taken.groupBy("e", "shard").agg(F.min("slot").alias("first")).withColumn("next_first", F.lead("first").over(Window.partitionBy("e").orderBy("shard"))).select("e", "shard", "next_first")
-    spans = taken.join(firsts, ["e", "shard"]).withColumn("until", F.coalesce(F.lead("slot").over(w), F.col("next_first"), F.col("slot") + 1))
-    return spans.select("e", "slot", "n", "mean_value", F.explode(F.sequence(F.col("slot"), F.col("until") - 1)).alias("at")).select(
-        F.col("e").alias(entity), (F.col("at") * step).alias("slot_start_utc"), F.when(F.col("at") == F.col("slot"), F.col("n")).otherwise(0).alias("n"),
-        F.when(F.col("at") == F.col("slot"), F.col("mean_value")).alias("mean_value"), (F.col("at") != F.col("slot")).alias("empty"), F.col("mean_value").alias("carried_value"),
+    w = Window.partitionBy("e").orderBy("shard")
+    shards = taken.withColumns({"carry": F.lag(F.element_at("t", -1)["m"]).over(w), "after": F.lead("shard").over(w), "last": F.element_at("t", -1)["m"]})
+    # of each shard: up to its first reading, from each reading to the next, and the whole shards up to the next one with readings
+    piece = lambda at, k, until, n, m, carried: F.struct(at.alias("shard"), k.cast("int").alias("k"), until.cast("int").alias("until"), n.cast("bigint").alias("n"), m.cast("double").alias("m"), carried.cast("double").alias("carried"))
+    nothing, here = F.lit(None), F.col("shard")
+    top = F.when(F.col("after").isNull(), F.element_at("t", -1)["k"] + 1).otherwise(per)
+    head = F.when(F.col("carry").isNotNull() & (F.col("t")[0]["k"] > 0), F.array(piece(here, F.lit(0), F.col("t")[0]["k"], F.lit(0), nothing, F.col("carry")))).otherwise(F.array())
+    own = F.transform("t", lambda x, i: piece(here, x["k"], F.coalesce(F.get("t", i + 1)["k"], top), x["n"], x["m"], x["m"]))
+    whole = F.when(F.col("after") > here + 1, F.transform(F.sequence(here + 1, F.col("after") - 1), lambda d: piece(d, F.lit(0), F.lit(per), F.lit(0), nothing, F.col("last")))).otherwise(F.array())
+    pieces = shards.select("e", F.explode(F.concat(head, own, whole)).alias("p")).select("e", "p.*").withColumn("at", F.explode(F.sequence("k", F.col("until") - 1)))
+    reading = (F.col("at") == F.col("k")) & (F.col("n") > 0)
+    return pieces.select(
+        F.col("e").alias(entity), ((F.col("shard") * per + F.col("at")) * step).alias("slot_start_utc"), F.when(reading, F.col("n")).otherwise(0).alias("n"), F.when(reading, F.col("m")).alias("mean_value"),
+        (~reading).alias("empty"), F.col("carried").alias("carried_value"),
     )
 
 

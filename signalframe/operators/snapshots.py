@@ -1,8 +1,8 @@
 """What changed between consecutive full snapshots.
 
-Keys and contents travel as fixed-width numbers (a 128-bit key, a 128-bit content), in hash buckets; each bucket is
-sorted in numpy and neighbouring snapshots are compared with ``searchsorted``. Full key values are fetched only for the
-keys that differ.
+Keys and contents travel as fixed-width numbers (a 128-bit key, a 128-bit content), in many small hash buckets; as many
+whole buckets as fit in memory are sorted in numpy together, and neighbouring snapshots are compared with
+``searchsorted``. Full key values are fetched only for the keys that differ.
 """
 
 from __future__ import annotations
@@ -14,8 +14,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Rows of one bucket, on average: what one numpy sort holds at a time (about 60 bytes a row).
-ROWS_PER_BUCKET = 500_000
+#: Hash buckets, and the rows (about 60 bytes each) from which on the buckets held are compared: one bucket has fewer up to 3 * 10**10 rows.
+BUCKETS, ROWS_AT_ONCE = 1 << 16, 500_000
 CHANGES = ("added", "removed", "changed")
 _COMPACT = ("bucket", "src", "k1", "k2", "snap", "more", "seen", "present", "h1", "h2")
 _COMPACT_SCHEMA = "bucket int, src bigint, k1 bigint, k2 bigint, snap int, more boolean, seen bigint, present boolean, h1 bigint, h2 bigint"
@@ -56,7 +56,7 @@ def _combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def diff_bucket(c: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
-    """The differences of one bucket: source, key words, later snapshot number and change code of each."""
+    """The differences of one bucket or several: source, key words, later snapshot number and change code of each."""
     c = _latest(c)
     first = np.ones(len(c["k1"]), bool)
     first[1:] = (c["k1"][1:] != c["k1"][:-1]) | (c["k2"][1:] != c["k2"][:-1])
@@ -96,15 +96,19 @@ def _diff(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         d = diff_bucket(_columns(pa.Table.from_batches(held)))
         return pa.RecordBatch.from_arrays([pa.array(d[n], type=schema.field(n).type) for n in schema.names], schema=schema)
 
-    for b in batches:
-        while b.num_rows:  # sorted by bucket: a change ends what is held
+    n = 0
+    for b in batches:  # sorted by bucket: what is held may be cut where the bucket changes
+        while b.num_rows:
             bucket = b.column("bucket").to_numpy()
-            if held and held[-1].column("bucket")[0].as_py() != bucket[0]:
+            if n >= ROWS_AT_ONCE and bucket[0] != held[-1].column("bucket")[-1].as_py():
                 yield flush()
-                held = []
-            n = int(np.searchsorted(bucket, bucket[0], side="right"))
-            held.append(b.slice(0, n))
-            b = b.slice(n)
+                held, n = [], 0
+            cut = len(bucket)
+            if n + cut > ROWS_AT_ONCE:  # up to the end of the bucket in which the limit is reached
+                cut = int(np.searchsorted(bucket, bucket[max(0, ROWS_AT_ONCE - n - 1)], side="right"))
+            held.append(b.slice(0, cut))
+            n += cut
+            b = b.slice(cut)
     if held:
         yield flush()
 
@@ -117,23 +121,22 @@ def snapshot_changes(records: DataFrame, generations: DataFrame, *, key="physica
     the largest content); an unreadable ``seen`` counts as earliest. Rows without key, source or a known generation
     don't count. Empty tables give no rows; further columns are not read. ``source`` is an integer column.
     """
-    spark = records.sparkSession
     gens = generations.select(F.col(generation_id).alias("gen"), F.col(scanned).alias("scanned")).groupBy("gen").agg(F.min("scanned").alias("scanned"))
     base = records.select(F.col(key).alias("key"), F.col(source).cast("bigint").alias("src"), F.col(generation).alias("gen"), F.col(seen).alias("seen"), F.col(status).alias("status"), F.col(content).alias("content")).dropna(subset=["key", "src", "gen"])
     # one row for each source and generation: tables of fixed size in the number of records
     order = Window.partitionBy("src").orderBy("scanned", "gen")
     snaps = base.select("src", "gen").distinct().join(gens, "gen").withColumn("snap", F.row_number().over(order)).withColumn("more", F.lead("snap").over(order).isNotNull()).select("src", "gen", "snap", "more")
-    buckets = max(1, -(-records.count() // ROWS_PER_BUCKET), int(spark.conf.get("spark.sql.shuffle.partitions")))
     k1, k2 = F.xxhash64("key", "src"), F.xxhash64(F.lit("second"), "src", "key")
     h1, h2 = content_words(F.col("content"))
     compact = base.join(snaps, ["src", "gen"]).select(
-        F.pmod(k1, F.lit(buckets)).cast("int").alias("bucket"), "src", k1.alias("k1"), k2.alias("k2"), "snap", "more",
+        F.pmod(k1, F.lit(BUCKETS)).cast("int").alias("bucket"), "src", k1.alias("k1"), k2.alias("k2"), "snap", "more",
         F.coalesce(F.unix_micros(F.col("seen").try_cast("timestamp")), F.lit(-(1 << 62))).alias("seen"), F.coalesce(F.col("status") == active, F.lit(False)).alias("present"), h1.alias("h1"), h2.alias("h2"),
     )
     changes = compact.mapInArrow(_combine, _COMPACT_SCHEMA).repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_diff, "src bigint, k1 bigint, k2 bigint, snap int, change int")
-    full = base.select("key", "src").distinct().select("key", "src", k1.alias("k1"), k2.alias("k2"))
+    named = changes.join(snaps.select("src", "snap", "gen"), ["src", "snap"]).select("src", "k1", "k2", F.col("gen").alias("changed_in"), "change")
     return (
-        changes.join(snaps.select("src", "snap", "gen"), ["src", "snap"])
-        .join(full, ["src", "k1", "k2"])
-        .select(F.col("gen").alias("generation_id"), F.col("key").alias(key), F.element_at(F.array(*map(F.lit, CHANGES)), F.col("change") + 1).alias("change_type"))
+        base.select("key", "src", k1.alias("k1"), k2.alias("k2"))
+        .join(named, ["src", "k1", "k2"])
+        .select(F.col("changed_in").alias("generation_id"), F.col("key").alias(key), F.element_at(F.array(*map(F.lit, CHANGES)), F.col("change") + 1).alias("change_type"))
+        .distinct()
     )

@@ -98,6 +98,36 @@ select sid, unnest(range(slot + 1, nxt)) * 600 as slot_start_utc from n where nx
   select sid, floor(us / 600000000.0)::bigint as slot, count(*) as n, avg(bpm) as m from inst where bpm is not null and us is not null group by 1, 2
 ), x as (select *, coalesce(lead(slot) over (partition by sid order by slot), slot + 1) as nxt from r), s as (select *, unnest(range(slot, nxt)) as k from x)
 select sid, k * 600 as slot_start_utc, case when k = slot then n else 0 end as n, case when k = slot then round(m, 6) end as mean_value, k <> slot as empty, round(m, 6) as carried_value from s
+""",
+    "p4_found": "with " + INST + """, once as (
+  select sid, source_record_id as id, max(bpm) as x, max(us) as t from inst where bpm is not null and not isnan(bpm) and sid is not null and source_record_id is not null group by 1, 2
+), timed as (select * from once where t is not null
+), around as (
+  select *, median(x) over w as level, list(x) over w as xs, row_number() over o as i, lag(x) over o as before, lead(x, 1) over o as x1, lead(x, 2) over o as x2, lead(x, 3) over o as x3
+  from timed where x between 25 and 240 window o as (partition by sid order by t, id), w as (partition by sid order by t, id rows between 12 preceding and 12 following)
+), spread as (select *, 1.4826::double * list_median(list_transform(xs, lambda v: abs(v - level))) as mad from around
+), next_spread as (select *, lead(level) over o as level1, lead(mad) over o as mad1 from spread window o as (partition by sid order by i)
+), stretches as (
+  select sid, i, 1 as n, x as least, x as most, coalesce(before, x1) as b, x1 as a, level, mad from next_spread where x1 is not null
+  union all select sid, i, 2, least(x, x1), greatest(x, x1), coalesce(before, x2), x2, level, mad from next_spread where x2 is not null
+  union all select sid, i, 3, least(x, x1, x2), greatest(x, x1, x2), coalesce(before, x3), x3, level1, mad1 from next_spread where x3 is not null
+), jumps as (
+  select *, least - greatest(b, a) as up, least(b, a) - most as down, greatest(12.0::double, 3.0::double * mad) as margin from stretches
+), hits as (
+  select sid, i, n from jumps where greatest(up, down) >= margin and (case when up > 0 then least - level else level - most end) >= margin
+), excursions as (select distinct sid, i + unnest(range(n)) as i from hits
+), starts as (select *, case when x = lag(x) over o then 0 else 1 end as s from timed window o as (partition by sid order by t, id)
+), numbered as (select *, sum(s) over (partition by sid order by t, id rows unbounded preceding) as run from starts
+), runs as (select sid, run, count(*) as len from numbered group by 1, 2
+), lengths as (select sid, len, count(*) as n, sum(count(*)) over (partition by sid order by len) as upto, sum(count(*)) over (partition by sid) as every from runs group by 1, 2
+), judged as (
+  select l.sid, l.len, l.upto - l.n as shorter, l.every, (select min(y.len) from lengths y where y.sid = l.sid and y.len < l.len and y.upto / (l.upto - l.n) >= 0.98) as typical from lengths l
+), froze as (
+  select sid, min(len) as least from judged where len >= 7 and greatest(shorter, 1) >= every - shorter and len >= ceil(coalesce(typical, 0) * 1.75) group by 1
+)
+select id as source_record_id from once where x < 25 or x > 240
+union select id from around join excursions using (sid, i)
+union select id from numbered join runs using (sid, run) join froze using (sid) where len >= least
 """,
     "p6_found": "with " + INST + """, sl as (
   select *, case when zone_name is not null then epoch(timezone(zone_name, to_timestamp(sleep_end_utc)))::bigint - sleep_end_utc end as zone_offset from sleep_sessions where sleep_end_utc > sleep_start_utc

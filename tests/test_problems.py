@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from signalframe.functions.instants import with_instant
 from signalframe.operators import snapshots
 from signalframe.operators.intervals import latest_version, periods_and_gaps
-from signalframe.operators.outliers import excursions, implausible_readings
+from signalframe.operators.outliers import Rules, excursions, implausible_readings
 from signalframe.operators.regular import daily_values, empty_slots, regular_series, trailing, with_calendar
 from signalframe.operators.snapshots import content_words, snapshot_changes
 from signalframe.plans.problems import QUERIES
@@ -87,7 +87,7 @@ def test_snapshot_changes(spark):
 
 
 def test_snapshot_changes_against_sets(spark, monkeypatch):
-    monkeypatch.setattr(snapshots, "ROWS_PER_BUCKET", 20)
+    monkeypatch.setattr(snapshots, "ROWS_AT_ONCE", 20)
     rnd = random.Random(3)
     data, state = [], {}
     for g, day in (("b", 1), ("a", 2), ("c", 3)):
@@ -105,6 +105,26 @@ def test_snapshot_changes_against_sets(spark, monkeypatch):
     assert changes(spark, data) == sorted(want)
 
 
+@pytest.mark.parametrize("limit", [1, 7, 50, 10_000])
+def test_buckets_are_compared_whole(monkeypatch, limit):
+    """However many rows are held at once, and however they arrive, the differences are those of all rows together."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(limit)
+    n = 400
+    k1 = rng.integers(0, 60, n)
+    c = {"bucket": (k1 % 9).astype(np.int32), "src": k1 % 3, "k1": k1, "k2": k1 * 7, "snap": rng.integers(1, 4, n).astype(np.int32), "more": np.ones(n, bool), "seen": rng.integers(0, 5, n), "present": rng.random(n) < 0.7, "h1": rng.integers(0, 2, n), "h2": np.zeros(n, np.int64)}
+    order = np.argsort(c["bucket"], kind="stable")
+    c = {k: v[order] for k, v in c.items()}
+    key = lambda d: sorted(zip(*(np.asarray(d[x]).tolist() for x in ("src", "k1", "snap", "change")), strict=True))
+    want = key(snapshots.diff_bucket(c))
+    whole = pa.RecordBatch.from_arrays([pa.array(v) for v in c.values()], names=list(c))
+    monkeypatch.setattr(snapshots, "ROWS_AT_ONCE", limit)
+    for size in (1, 13, 400):
+        out = list(snapshots._diff(whole.slice(i, size) for i in range(0, n, size)))
+        assert sorted(sum((key({x: b.column(x) for x in b.schema.names}) for b in out), [])) == want
+
+
 def test_spellings_of_content(spark):
     hexed = "0123456789abcdef0123456789abcdef"
     df = spark.createDataFrame([(x,) for x in (hexed, hexed.upper(), f"0x{hexed}", f"X'{hexed}'", "01234567-89ab-cdef-0123-456789abcdef", "ASNFZ4mrze8BI0VniavN7w==")], "h string")
@@ -160,6 +180,28 @@ def test_regular_series_has_every_slot(spark):
     assert [(r[1] // 600, r[2], r[4], r[5]) for r in got] == [(0, 2, False, 2.0)] + [(k, 0, True, 2.0) for k in range(1, 6)] + [(6, 1, False, 7.0)]
 
 
+@pytest.mark.parametrize("shard", [1200, 3600, 86400])
+def test_series_do_not_depend_on_shards(spark, shard):
+    rnd = random.Random(4)
+    data = [(e, rnd.randrange(0, 200_000), float(rnd.randrange(9))) for e in "ab" for _ in range(25)] + [("a", -86_400 * 30, 1.0)]
+    df = spark.createDataFrame(data, "sid string, at bigint, v double")
+    got = {}
+    for sid, at, n, mean, empty, carried in rows(regular_series(df, "sid", F.col("at"), "v", step=600, shard=shard)):
+        assert (sid, at) not in got and empty == (n == 0) == (mean is None)
+        got[sid, at] = (n, carried)
+    for e in "ab":
+        of = {}
+        for x, at, v in data:
+            if x == e:
+                of.setdefault(at // 600, []).append(v)
+        last = None
+        for k in range(min(of), max(of) + 1):
+            last = sum(of[k]) / len(of[k]) if k in of else last
+            n, carried = got.pop((e, k * 600))
+            assert n == len(of.get(k, ())) and abs(carried - last) < 1e-9
+    assert not got
+
+
 # rolling totals
 def test_daily_values_and_calendar(spark):
     data = [("a", "2025-01-01", 1, 5), ("a", "2025-01-01", 2, None), ("a", "2025-01-01", 3, 7), ("a", "2025-01-04", 1, None), ("a", "bad", 1, 9), ("a", "2025-01-06", 1, 1)]
@@ -185,7 +227,7 @@ def steady(n, level=70, start=0, step=300, seed=0):
 
 def test_excursions_and_what_is_none():
     def run(x):
-        return excursions(np.zeros(len(x), np.int64), np.arange(len(x), dtype=np.int64) * 300_000_000, np.asarray(x, float)).nonzero()[0].tolist()
+        return excursions(np.zeros(len(x), np.int64), np.arange(len(x), dtype=np.int64) * 300_000_000, np.asarray(x, float), Rules()).nonzero()[0].tolist()
 
     base = [70, 71, 70, 72, 71, 70, 71, 72, 70, 71]
     assert run([*base, 34, *base]) == [10]
@@ -236,7 +278,7 @@ def test_excursions_in_shards_are_those_of_the_whole(spark, shard):
         s.append((t, float(rnd.choice([68, 69, 70, 71, 72, 73] * 6 + [33, 110, 130, 250]))))
     v = np.array([x for _, x in s])
     p = np.flatnonzero((v >= 25) & (v <= 240))
-    whole = p[excursions(np.zeros(len(p), np.int64), np.array([t for t, _ in s])[p] * 1_000_000, v[p])]
+    whole = p[excursions(np.zeros(len(p), np.int64), np.array([t for t, _ in s])[p] * 1_000_000, v[p], Rules())]
     assert len(whole) > 50
     assert {x for x in flags(spark, [s], shard_seconds=shard) if x[1] == "excursion"} == {(f"s0-{i}", "excursion") for i in whole}
 
@@ -255,6 +297,20 @@ def test_frozen_runs_of_sources_with_few_runs(spark):
     assert got == [[40], [30, 12], [40], [40], [], [], [40], []]
 
 
+def test_rules_are_parameters(spark):
+    a = steady(60)
+    a[20], a[30:34] = (a[20][0], 80.0), [(t, 90.0) for t, _ in a[30:34]]
+    small = Rules(least_jump=5.0, highest=85.0)
+    assert flags(spark, [a]) == set()
+    assert flags(spark, [a], rules=small) == {("s0-20", "excursion")} | {(f"s0-{i}", "impossible") for i in range(30, 34)}
+    assert {x for x in flags(spark, [a], rules=Rules(least_run=4)) if x[1] == "frozen"} == {(f"s0-{i}", "frozen") for i in range(30, 34)}
+
+
+def test_readings_without_instant_are_judged_by_bounds(spark):
+    data = [(None, v) for v in (10.0, 70.0, 300.0)] * 200
+    assert len(flags(spark, [data])) == 400
+
+
 def test_outliers_of_nothing(spark):
     df = spark.createDataFrame([], "sid string, id string, v double, t bigint")
     assert implausible_readings(df, "sid", "id", "v", "t").count() == 0

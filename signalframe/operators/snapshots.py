@@ -134,9 +134,6 @@ def snapshot_changes(records: DataFrame, generations: DataFrame, *, key="physica
     )
     changes = compact.mapInArrow(_combine, _COMPACT_SCHEMA).repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_diff, "src bigint, k1 bigint, k2 bigint, snap int, change int")
     named = changes.join(snaps.select("src", "snap", "gen"), ["src", "snap"]).select("src", "k1", "k2", F.col("gen").alias("changed_in"), "change")
-    return (
-        base.select("key", "src", k1.alias("k1"), k2.alias("k2"))
-        .join(named, ["src", "k1", "k2"])
-        .select(F.col("changed_in").alias("generation_id"), F.col("key").alias(key), F.element_at(F.array(*map(F.lit, CHANGES)), F.col("change") + 1).alias("change_type"))
-        .distinct()
-    )
+    # one row for each key and task before the shuffle, on the join's keys
+    names = base.groupBy("src", k1.alias("k1"), k2.alias("k2")).agg(F.min("key").alias("key"))
+    return names.join(named, ["src", "k1", "k2"]).select(F.col("changed_in").alias("generation_id"), F.col("key").alias(key), F.element_at(F.array(*map(F.lit, CHANGES)), F.col("change") + 1).alias("change_type"))

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 DAY = 86400
 
 
-def usable_offset(offset: Column) -> Column:
-    """The offset if it can be one (up to 18 hours), else 0."""
-    return F.coalesce(F.when(F.abs(offset) <= 64800, offset), F.lit(0)).cast("bigint")
+def usable_offset(offset: Column, other: Column | None = None) -> Column:
+    """The offset if it can be one (up to 18 hours), else ``other``, else 0."""
+    return F.coalesce(F.when(F.abs(offset) <= 64800, offset), *([] if other is None else [other]), F.lit(0)).cast("bigint")
 
 
 def local_date(seconds: Column, offset: Column, local_seconds: Column | None = None) -> Column:

@@ -37,7 +37,8 @@ _ROW = "#" + "|".join("".join("${" + g + "}" for g in slot.split()) for slot in
 
 def known_zones(spark: SparkSession) -> list[str]:
     """Every zone id of the JVM; others would make the zone functions fail."""
-    return sorted(str(z) for z in spark.sparkContext._jvm.java.time.ZoneId.getAvailableZoneIds().toArray())
+    ids = spark.sql("select java_method('java.time.ZoneId', 'getAvailableZoneIds')").first()[0]
+    return sorted(ids.strip("[]").split(", "))
 
 
 def zone_or_null(zone: Column, zones: list[str]) -> Column:

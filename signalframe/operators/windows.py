@@ -35,6 +35,30 @@ def with_previous(df: DataFrame, by: list[str], at: str, *, shard: int = SHARD_S
     return s.withColumn(out, inner).join(ends, [*by, "__shard"]).withColumn(out, F.coalesce(out, "__end")).drop("__end")
 
 
+def with_next(df: DataFrame, by: list[str], at: str, order: list[str], *, shard: int = SHARD_SECONDS, out: str = "following") -> DataFrame:
+    """Add the ``at`` of the row after in the entity's order (``order`` begins with ``at``), null for its last row.
+
+    As ``with_previous``: rows are ordered within time shards, a shard's last row takes the first ``at`` of the shard after.
+    """
+    s = df.withColumn("__shard", F.floor(F.col(at) / shard))
+    firsts = s.groupBy(*by, "__shard").agg(F.min(at).alias("__first")).withColumn("__first", F.lead("__first").over(Window.partitionBy(*by).orderBy("__shard")))
+    inner = F.lead(at).over(Window.partitionBy(*by, "__shard").orderBy(*order))
+    return s.withColumn(out, inner).join(firsts, [*by, "__shard"]).withColumn(out, F.coalesce(out, "__first")).drop("__first", "__shard")
+
+
+def trailing_sum(df: DataFrame, by: list[str], at: str, value: str, width: int, *, shard: int = SHARD_SECONDS, out: str = "total") -> DataFrame:
+    """(by..., at, out): the sum of ``value`` over the rows of the last ``width`` units up to each row.
+
+    Rows near the end of a time shard go to the next one too, so that each shard is summed alone; ``width`` is at most ``shard``.
+    """
+    if width > shard:
+        raise ValueError("the width must not exceed the shard")
+    own = F.floor(F.col(at) / shard)
+    s = df.select(*by, at, value, own.alias("__own"), F.explode(F.when(F.col(at) - own * shard > shard - width, F.array(own, own + 1)).otherwise(F.array(own))).alias("__shard"))
+    total = F.sum(value).over(Window.partitionBy(*by, "__shard").orderBy(at).rangeBetween(-(width - 1), 0))
+    return s.withColumn(out, total).filter("__own = __shard").select(*by, at, out)
+
+
 def runs(df: DataFrame, by: list[str], at: str, low: int, high: int, *, shard: int = SHARD_SECONDS) -> DataFrame:
     """Label runs in which each step from the row before is within [low, high]: ``run`` is the running number per entity.
 

@@ -7,8 +7,9 @@ from pyspark.sql import Window
 from ..functions import clock, identity, numeric
 from ..operators.joins import as_of, effective, interval_join
 from ..operators.statistics import MAD_SCALE, percentile
-from ..operators.windows import runs, with_previous
-from .common import DAYS, HR, NIGHTS, SLEEP, DataFrame, F, SparkSession, date_of, days, nights, registry, samples, sessions, table
+from ..operators.windows import runs, trailing_sum, with_next, with_previous
+from .common import DAYS, HR, NIGHTS, SLEEP, DataFrame, F, SparkSession, days, instants, nights, registry, samples, sessions, table
+from .store import cutoff
 
 QUERIES, SQL, query = registry()
 r6 = numeric.rounded
@@ -25,9 +26,10 @@ CAPABILITIES = (
 @query("select source_record_id, sid, ts, bpm from hr where ts >= (select (max(ts) - 172800) // 86400 * 86400 from hr)", HR)
 def src_cutoff_scan(spark: SparkSession, d: str) -> DataFrame:
     """SRC-09: samples from the start of the day that is 48 hours before the last one; records without an instant drop out."""
-    hr = samples(spark, d)
-    last = hr.agg(((F.floor((F.max("ts") - 172800) / 86400)) * 86400).alias("cutoff"))
-    return hr.join(F.broadcast(last), F.col("ts") >= F.col("cutoff")).select("source_record_id", "sid", "ts", "bpm")  # one row
+    last = instants(spark, d).agg(F.max("ts")).first()[0]  # one number
+    if last is None:
+        return samples(spark, d).select("source_record_id", "sid", "ts", "bpm")
+    return samples(spark, d, F.col("ts") >= cutoff(last)).select("source_record_id", "sid", "ts", "bpm")
 
 
 @query(
@@ -37,7 +39,7 @@ def src_cutoff_scan(spark: SparkSession, d: str) -> DataFrame:
 )
 def src_range_read(spark: SparkSession, d: str) -> DataFrame:
     """SRC-10, CLN-12: samples of June 2025 (half-open range) with their quality; implausible ones stay, marked."""
-    hr = samples(spark, d).filter("bpm is not null and ts >= 1748736000 and ts < 1751328000")
+    hr = samples(spark, d, (F.col("ts") >= 1748736000) & (F.col("ts") < 1751328000)).filter("bpm is not null")
     return hr.select("source_record_id", "sid", "ts", "bpm", F.when(F.col("bpm").between(25, 240), "VALID").otherwise("INVALID").alias("quality"))
 
 
@@ -330,8 +332,8 @@ def win_islands(spark: SparkSession, d: str) -> DataFrame:
 @query("select sid, max(c)::bigint as most from (select sid, count(*) over (partition by sid order by ts range between 1799 preceding and current row) as c from hr) group by sid", HR)
 def win_most_in_half_hour(spark: SparkSession, d: str) -> DataFrame:
     """WIN-13: most samples in any 30 minutes."""
-    counted = samples(spark, d).groupBy("sid", "ts").agg(F.count("*").alias("n"))  # the seconds of the calendar bound a device's rows
-    return counted.select("sid", F.sum("n").over(Window.partitionBy("sid").orderBy("ts").rangeBetween(-1799, 0)).alias("c")).groupBy("sid").agg(F.max("c").alias("most"))
+    counted = samples(spark, d).groupBy("sid", "ts").agg(F.count("*").alias("n"))
+    return trailing_sum(counted, ["sid"], "ts", "n", 1800).groupBy("sid").agg(F.max("total").alias("most"))
 
 
 @query("select sid, day, source_record_id, s, t from nights", SLEEP, NIGHTS)
@@ -343,7 +345,7 @@ def win_top1_main(spark: SparkSession, d: str) -> DataFrame:
 @query("select source_record_id, sid, s, t, next_s, coalesce(next_s < t, false) as overlaps from (select *, lead(s) over (partition by sid order by s, t, source_record_id) as next_s from sleep)", SLEEP)
 def win_overlap(spark: SparkSession, d: str) -> DataFrame:
     """WIN-10, PRF-03: sessions that overlap the next one."""
-    return sessions(spark, d).withColumn("next_s", F.lead("s").over(Window.partitionBy("sid").orderBy("s", "t", "source_record_id"))).select("source_record_id", "sid", "s", "t", "next_s", F.coalesce(F.col("next_s") < F.col("t"), F.lit(False)).alias("overlaps"))
+    return with_next(sessions(spark, d), ["sid"], "s", ["s", "t", "source_record_id"], out="next_s").select("source_record_id", "sid", "s", "t", "next_s", F.coalesce(F.col("next_s") < F.col("t"), F.lit(False)).alias("overlaps"))
 
 
 # sorts and sets
@@ -463,12 +465,24 @@ def prf_eligibility(spark: SparkSession, d: str) -> DataFrame:
     return e.groupBy("sid").agg(F.count_if(warm).alias("warm"), F.count_if(warm & (F.round("sd", 9) >= 1)).alias("eligible"))
 
 
-@query("select count(*)::bigint as n, sum(h)::hugeint::varchar as digest from (select ('0x' || substr(sha256(sid || '|' || local_date || '|' || coalesce(steps::varchar, '~') || '|' || coalesce(standing_count::varchar, '~')), 1, 12))::bigint as h from daily_summary)")
+DIGESTED = ("sid", "source_db_id", "local_date", "steps", "step_calories", "total_calories", "activity_duration_minutes", "standing_count", "resting_hr")
+
+
+@query(
+    "select count(*)::bigint as n, sum(('0x' || substr(h, 1, 15))::hugeint)::varchar as high, sum(('0x' || substr(h, 16, 15))::hugeint)::varchar as low from (select sha256(concat_ws('|', "
+    + ", ".join(f"coalesce({c if c not in ('step_calories', 'total_calories', 'activity_duration_minutes', 'resting_hr') else f'round({c} * 1000)::bigint'}::varchar, '~')" for c in DIGESTED)
+    + ")) as h from daily_summary)"
+)
 def digest_table(spark: SparkSession, d: str) -> DataFrame:
-    """AGG-20: digest of a table that doesn't depend on the order of its rows (volatile columns left out)."""
-    text = F.concat_ws("|", "sid", "local_date", F.coalesce(F.col("steps").cast("string"), F.lit("~")), F.coalesce(F.col("standing_count").cast("string"), F.lit("~")))
-    h = F.conv(F.substring(F.sha2(text, 256), 1, 12), 16, 10).cast("decimal(38,0)")
-    return table(spark, d, "daily_summary", "sid", "local_date", "steps", "standing_count").agg(F.count("*").alias("n"), F.sum(h).cast("string").alias("digest"))
+    """AGG-20: digest of a table that doesn't depend on the order of its rows: 120 bits of each row's hash, summed in two halves.
+
+    Of all columns but ``updated_at``, the one that a repeated import changes; numbers with a fraction in thousandths.
+    """
+    t = table(spark, d, "daily_summary", *DIGESTED)
+    text = lambda c: F.coalesce((F.round(F.col(c) * 1000).cast("bigint") if t.schema[c].dataType.simpleString() == "double" else F.col(c)).cast("string"), F.lit("~"))
+    h = F.sha2(F.concat_ws("|", *map(text, DIGESTED)), 256)
+    half = lambda at: F.sum(F.conv(F.substring(h, at, 15), 16, 10).cast("decimal(38,0)")).cast("string")
+    return t.agg(F.count("*").alias("n"), half(1).alias("high"), half(16).alias("low"))
 
 
 @query("select (max(ts) - 172800) // 86400 as cutoff_day, count(distinct sid)::bigint as devices, count(*)::bigint as n, max(ts) as last_ts from hr", HR)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKET = 86400
@@ -49,10 +49,17 @@ def as_of(points: DataFrame, states: DataFrame, by: list[str], at: str, since: s
     return joined.select(*points.columns, *[F.col("__s")[v].alias(v) for v in values])
 
 
-def effective(facts: DataFrame, profile: DataFrame, field: str, day: Column, *, effective_from="effective_from", effective_to="effective_to") -> DataFrame:
-    """Facts with the profile value of ``field`` in force on ``day`` (from <= day <= to, open-ended without ``to``), null if none.
+#: Days that facts and dated values are brought together by.
+DATED_SHARD = 366
 
-    A profile holds a few dated values of one subject: few enough to be broadcast by their checked size.
+
+def effective(facts: DataFrame, profile: DataFrame, by: list[str], field: str, day: str, *, effective_from="effective_from", effective_to="effective_to") -> DataFrame:
+    """Facts with the value of ``field`` in their subject's profile in force on ``day`` (from <= day <= to, open-ended without ``to``), null if none.
+
+    ``profile`` has ``by``, field, value and the days it holds from and to. Entries of a field of a subject don't overlap
+    (``profile.checked`` refuses them); were they to, the one that begins last counts. An as-of join: facts are brought
+    together with the entries by subject and year, and no pairs are made.
     """
-    p = profile.filter(F.col("field") == field).select(F.col("value").alias(field), F.col(effective_from).alias("__f"), F.col(effective_to).alias("__u"))
-    return facts.join(p, (day >= F.col("__f")) & (F.col("__u").isNull() | (day <= F.col("__u"))), "left").drop("__f", "__u")
+    p = profile.filter(F.col("field") == field).select(*by, F.col("value").alias("__value"), F.col(effective_from).cast("bigint").alias("__from"), F.col(effective_to).cast("bigint").alias("__until"))
+    found = as_of(facts, p, by, day, "__from", ["__value", "__until"], shard=DATED_SHARD)
+    return found.withColumn(field, F.when(F.col("__until").isNull() | (F.col(day) <= F.col("__until")), F.col("__value"))).drop("__value", "__until")

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructField, StructType
 
 #: Consistency factor of the median absolute deviation; EWMA weight over 30 days.
 MAD_SCALE, EWMA_ALPHA = 1.4826, 2 / 31
@@ -65,25 +65,70 @@ def circular_sd(minutes: Column, mean: Column, of: float = 1440.0) -> Column:
     return array_sd(F.transform(minutes, lambda m: F.pmod(m.cast("double") - mean + of / 2, F.lit(of)) - of / 2))
 
 
-def theil_sen_windows(widths: tuple[tuple[int, int], ...], least_share: float, widest_gap: int):
-    """A function of (day, sorted days, values) of the widest calendar window: for each width that has enough days and no
-    wide gap, (width, days, median slope a day over all pairs of different days)."""
-
-    @F.pandas_udf(ArrayType(StructType([StructField("width", IntegerType()), StructField("n", LongType()), StructField("slope", DoubleType())])))
-    def slopes(day: pd.Series, days: pd.Series, values: pd.Series) -> pd.Series:
-        out = []
-        for at, d, v in zip(day, days, values, strict=True):
-            d, v, found = np.asarray(d, float), np.asarray(v, float), []
-            for width, least in widths:
-                first = int(np.searchsorted(d, at - width + 1))
-                x, y = d[first:], v[first:]
-                if len(x) >= max(2, least, least_share * width) and np.diff(x).max() <= widest_gap:
-                    a, b = np.triu_indices(len(x), 1)
-                    step = x[b] - x[a]
-                    ok = step > 0
-                    if ok.any():
-                        found.append((width, len(x), float(np.median((y[b] - y[a])[ok] / step[ok]))))
-            out.append(found)
-        return pd.Series(out)
-
-    return slopes
+#: Windows whose slopes are found together: about 30 MB for 90 days.
+WINDOWS_AT_ONCE = 256
+
+
+def _median_of_rows(x: np.ndarray) -> np.ndarray:
+    """Medians of rows without their NaNs, which sort to the end; NaN where there is nothing else."""
+    s = np.sort(x, axis=1)
+    n = (~np.isnan(s)).sum(axis=1)
+    i = np.arange(len(s))
+    return np.where(n > 0, (s[i, np.maximum(n - 1, 0) // 2] + s[i, np.minimum(n // 2, s.shape[1] - 1)]) / 2, np.nan)
+
+
+def window_slopes(days: np.ndarray, values: np.ndarray, ends: np.ndarray, width: int, least: float, widest_gap: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(n, widest gap, median slope a day over all pairs) of the ``width`` calendar days up to each of ``ends`` (positions in ``days``)."""
+    start = np.searchsorted(days, days[ends] - width + 1)
+    n = ends - start + 1
+    step = np.diff(days, prepend=days[:1])
+    held = np.lib.stride_tricks.sliding_window_view(np.concatenate([np.zeros(width - 1, np.int64), step]), width)[ends]
+    gap = np.where(np.arange(width) > width - n[:, None], held, 0).max(axis=1)
+    slope = np.full(len(ends), np.nan)
+    good = np.flatnonzero((n >= least) & (n >= 2) & (gap <= widest_gap))
+    a, b = np.triu_indices(width, 1)
+    for first in range(0, len(good), WINDOWS_AT_ONCE):
+        rows = good[first : first + WINDOWS_AT_ONCE]
+        dense = np.full((len(rows), width), np.nan)  # a value at each calendar day of the window
+        owner = np.repeat(np.arange(len(rows)), n[rows])
+        at = np.arange(n[rows].sum()) - np.repeat(np.cumsum(n[rows]) - n[rows], n[rows]) + np.repeat(start[rows], n[rows])
+        dense[owner, days[at] - np.repeat(days[ends[rows]] - width + 1, n[rows])] = values[at]
+        slope[rows] = _median_of_rows((dense[:, b] - dense[:, a]) / (b - a))
+    return n, gap, slope
+
+
+def theil_sen_windows(keys: int, widths: tuple[tuple[int, int], ...], least_share: float, widest_gap: int):
+    """Slopes of the calendar windows of rows (``keys`` columns, shard, day, v, mark, shown), sorted and with whole groups of keys and shard."""
+
+    def group(tab: pa.Table) -> pa.RecordBatch:
+        days, values = tab.column("day").to_numpy(), tab.column("v").to_numpy()
+        ends = np.flatnonzero(tab.column("shown").to_numpy())
+        upto = np.concatenate([[0], np.bitwise_xor.accumulate(tab.column("mark").to_numpy())])
+        parts = [(width, *window_slopes(days, values, ends, width, max(least, least_share * width), widest_gap)) for width, least in widths] if len(ends) else []
+        at = pa.array(np.tile(ends, len(parts)))
+        joined = lambda i, kind: np.concatenate([p[i] for p in parts]).astype(kind) if parts else np.zeros(0, kind)
+        slope, n = joined(3, float) * 7, joined(1, np.int64)
+        last = np.tile(ends, len(parts))
+        return pa.RecordBatch.from_arrays(
+            [*[tab.column(i).combine_chunks().take(at) for i in range(keys)], tab.column("day").combine_chunks().take(at), pa.array(np.repeat([p[0] for p in parts], len(ends)).astype(np.int32), pa.int32()), pa.array(n), pa.array(joined(2, np.int64)), pa.array(upto[last + 1] ^ upto[last + 1 - n]), pa.array(slope, mask=np.isnan(slope))],
+            names=[*tab.column_names[:keys], "day", "window_days", "n", "max_gap", "marks", "per_week"],
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        last = None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            marks = list(zip(*(b.column(i).to_pylist() for i in range(keys + 1)), strict=True))
+            cuts = [0, *[i for i in range(1, len(marks)) if marks[i] != marks[i - 1]], len(marks)]
+            for first, end in zip(cuts, cuts[1:], strict=False):
+                if held and marks[first] != last:
+                    yield group(pa.Table.from_batches(held))
+                    held = []
+                held.append(b.slice(first, end - first))
+                last = marks[first]
+        if held:
+            yield group(pa.Table.from_batches(held))
+
+    return run

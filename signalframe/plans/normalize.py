@@ -1,7 +1,8 @@
 """Normalization of raw device records into typed tables, by declarative rules for each source table.
 
-A raw record has the columns of the envelope (source_record_id, source_table, key, time, time_zero, zone_offset) and
-``value``, a JSON text. Rules say which fields of the JSON go where; nothing is parsed twice.
+A raw record has the columns of the envelope (sid, the subject; source_record_id, source_table, key, time, time_zero,
+zone_offset) and ``value``, a JSON text. Rules say which fields of the JSON go where; nothing is parsed twice. Every
+normalized row has its subject.
 """
 
 from __future__ import annotations
@@ -55,7 +56,7 @@ WORKOUT_FIELDS = {
 }
 STAGES = {2: "deep", 3: "light", 4: "rem", 5: "awake"}
 UNFLATTENED = ("time", "date_time", "start_time", "end_time")
-#: Source tables of so many rows that their payload isn't flattened.
+#: Source tables of so many rows that their payload isn't flattened.
 HIGH_VOLUME = ("heart_rate", "spo2", "stress", "steps", "calories", "intensity", "sleep", "valid_stand")
 DEPTH = 4
 
@@ -74,7 +75,7 @@ class Json:
 
     def real(self, path: str) -> Column:
         """A number, or a text that is one; true and false are no numbers."""
-        return F.when(self.kind(path) != "BOOLEAN", F.coalesce(F.when(self.kind(path) != "STRING", self.get(path, "double")), F.trim(self.get(path, "string")).try_cast("double")))
+        return F.when(self.kind(path) != "BOOLEAN", self.get(path, "double"))
 
     def whole(self, path: str) -> Column:
         """An integer: numbers are cut toward zero, texts must be integer literals."""
@@ -88,6 +89,11 @@ class Json:
         return F.nullif(self.real(spec[:-1]), F.lit(0.0)) if spec.endswith("!") else self.real(spec)
 
 
+def number_of(v: Column) -> Column:
+    """The number that a variant is, or that its text denotes; true and false are no numbers."""
+    return F.when(F.schema_of_variant(v) != "BOOLEAN", F.try_variant_get(v, "$", "double"))
+
+
 def with_payload(raw: DataFrame) -> DataFrame:
     """Add the parsed payload (null if it isn't a JSON object) and the local date of the record."""
     v = F.try_parse_json("value")
@@ -103,7 +109,7 @@ def samples(raw: DataFrame, source_table: str) -> DataFrame:
         rows = rows.filter(F.col("key").isin(*HEART_RATE_KEYS))
     at = truthy_or(j.whole("time"), F.col("time"))
     offset = F.coalesce("zone_offset", F.lit(0))
-    out = rows.select("source_record_id", at.alias("timestamp_utc"), "zone_offset", "key", *[j.field(f).alias(c) for c, f in SAMPLES[source_table].items()])
+    out = rows.select("sid", "source_record_id", at.alias("timestamp_utc"), "zone_offset", "key", *[j.field(f).alias(c) for c, f in SAMPLES[source_table].items()])
     out = out.withColumn("local_timestamp", F.col("timestamp_utc") + offset).withColumn("local_date", local_date(F.col("timestamp_utc"), F.col("zone_offset")))
     need = NEEDED.get(source_table)
     return out.filter(F.col("timestamp_utc").isNotNull() & (F.col(need).isNotNull() if need else F.lit(True))).withColumnsRenamed({"zone_offset": "utc_offset_seconds", "key": "kind"})
@@ -119,7 +125,7 @@ def heart_rate_events(raw: DataFrame) -> DataFrame:
     values = F.transform(_items("items"), lambda i: F.try_variant_get(i, "$.value", "double"))
     rows = with_payload(raw.filter((F.col("source_table") == "heart_rate") & F.col("key").isin(*EVENT_KEYS)))
     return rows.select(
-        "source_record_id", F.col("key").alias("event_type"), j.whole("start_time").alias("start_timestamp_utc"), truthy_or(j.whole("end_time"), F.col("time")).alias("end_timestamp_utc"), "local_date",
+        "sid", "source_record_id", F.col("key").alias("event_type"), j.whole("start_time").alias("start_timestamp_utc"), truthy_or(j.whole("end_time"), F.col("time")).alias("end_timestamp_utc"), "local_date",
         F.coalesce(F.size(_items("items")), F.lit(0)).alias("sample_count"), F.array_min(values).alias("min_bpm"), F.array_max(values).alias("max_bpm"),
     )
 
@@ -128,13 +134,13 @@ def heart_rate_event_samples(raw: DataFrame) -> DataFrame:
     """Items of the events; items that are no objects are skipped, positions stay."""
     rows = with_payload(raw.filter((F.col("source_table") == "heart_rate") & F.col("key").isin(*EVENT_KEYS)))
     i = Json(F.col("item"))
-    rows = rows.select("source_record_id", F.posexplode(_items("items")).alias("sample_index", "item")).filter(F.schema_of_variant("item").startswith("OBJECT"))
-    return rows.select("source_record_id", "sample_index", i.whole("time").alias("timestamp_utc"), i.real("value").alias("value"))
+    rows = rows.select("sid", "source_record_id", F.posexplode(_items("items")).alias("sample_index", "item")).filter(F.schema_of_variant("item").startswith("OBJECT"))
+    return rows.select("sid", "source_record_id", "sample_index", i.whole("time").alias("timestamp_utc"), i.real("value").alias("value"))
 
 
 def standing_intervals(raw: DataFrame) -> DataFrame:
     j = Json(F.col("payload"))
-    return with_payload(raw.filter("source_table = 'valid_stand'")).select("source_record_id", j.whole("start_time").alias("start_timestamp_utc"), j.whole("end_time").alias("end_timestamp_utc"), "local_date", F.col("zone_offset").alias("utc_offset_seconds"))
+    return with_payload(raw.filter("source_table = 'valid_stand'")).select("sid", "source_record_id", j.whole("start_time").alias("start_timestamp_utc"), j.whole("end_time").alias("end_timestamp_utc"), "local_date", F.col("zone_offset").alias("utc_offset_seconds"))
 
 
 def sleep_sessions(raw: DataFrame) -> DataFrame:
@@ -143,7 +149,7 @@ def sleep_sessions(raw: DataFrame) -> DataFrame:
     flag = lambda f: F.coalesce((j.kind(f) == "BOOLEAN") & j.get(f, "boolean"), F.lit(False))
     stages = (flag("has_stage") | (F.coalesce(F.size(_items("items")), F.lit(0)) > 0)).cast("int")
     out = with_payload(raw.filter("source_table = 'sleep'")).select(
-        "source_record_id", truthy_or(j.whole("bedtime"), j.whole("device_bedtime")).alias("sleep_start_utc"), truthy_or(j.whole("wake_up_time"), F.col("time")).alias("sleep_end_utc"), "local_date",
+        "sid", "source_record_id", truthy_or(j.whole("bedtime"), j.whole("device_bedtime")).alias("sleep_start_utc"), truthy_or(j.whole("wake_up_time"), F.col("time")).alias("sleep_end_utc"), "local_date",
         F.col("zone_offset").alias("utc_offset_seconds"), *[j.field(f).alias(c) for c, f in SLEEP_FIELDS.items()], stages.alias("has_stages"), flag("has_rem").cast("int").alias("has_rem"),
         F.coalesce(j.get("sleep_algorithm_version", "string"), j.get("version", "string"), F.lit("")).alias("algorithm_version"),
     )
@@ -153,8 +159,8 @@ def sleep_sessions(raw: DataFrame) -> DataFrame:
 def sleep_stages(raw: DataFrame) -> DataFrame:
     """Stages with their position; those without bounds are skipped, durations may be negative (checks come later)."""
     i = Json(F.col("item"))
-    rows = with_payload(raw.filter("source_table = 'sleep'")).select("source_record_id", F.posexplode(_items("items")).alias("stage_index", "item")).filter(F.schema_of_variant("item").startswith("OBJECT"))
-    rows = rows.select("source_record_id", "stage_index", i.whole("state").alias("raw_state"), i.whole("start_time").alias("start_timestamp_utc"), i.whole("end_time").alias("end_timestamp_utc")).dropna(subset=["start_timestamp_utc", "end_timestamp_utc"])
+    rows = with_payload(raw.filter("source_table = 'sleep'")).select("sid", "source_record_id", F.posexplode(_items("items")).alias("stage_index", "item")).filter(F.schema_of_variant("item").startswith("OBJECT"))
+    rows = rows.select("sid", "source_record_id", "stage_index", i.whole("state").alias("raw_state"), i.whole("start_time").alias("start_timestamp_utc"), i.whole("end_time").alias("end_timestamp_utc")).dropna(subset=["start_timestamp_utc", "end_timestamp_utc"])
     name = reduce(lambda c, s: c.when(F.col("raw_state") == s, STAGES[s]), list(STAGES)[1:], F.when(F.col("raw_state") == 2, STAGES[2]))
     return rows.withColumn("stage", name.otherwise(F.concat(F.lit("unknown_"), F.coalesce(F.col("raw_state").cast("string"), F.lit("None"))))).withColumn("duration_minutes", (F.col("end_timestamp_utc") - F.col("start_timestamp_utc")) / 60.0)
 
@@ -162,34 +168,58 @@ def sleep_stages(raw: DataFrame) -> DataFrame:
 def workouts(raw: DataFrame, source_table: str) -> DataFrame:
     j = Json(F.col("payload"))
     return with_payload(raw.filter(F.col("source_table") == source_table)).select(
-        "source_record_id", truthy_or(j.whole("start_time"), F.col("time")).alias("start_timestamp_utc"), j.whole("end_time").alias("end_timestamp_utc"), "local_date", F.coalesce("key", F.lit("")).alias("workout_type"),
+        "sid", "source_record_id", truthy_or(j.whole("start_time"), F.col("time")).alias("start_timestamp_utc"), j.whole("end_time").alias("end_timestamp_utc"), "local_date", F.coalesce("key", F.lit("")).alias("workout_type"),
         F.coalesce(j.get("sport_type", "string"), F.lit("")).alias("sport_type"), truthy_or(j.real("calories"), j.real("total_cal")).alias("calories"), *[j.field(f).alias(c) for c, f in WORKOUT_FIELDS.items()],
     )
 
 
 def daily_cells(raw: DataFrame) -> DataFrame:
-    """(subject columns..., local_date, column_name, value, order...) of every daily value in long form; null values write nothing."""
-    rows = with_payload(raw)
+    """(sid, local_date, column_name, value, order...) of every daily value in long form; null values write nothing."""
+    keyed = {f"heart_rate/{key}": {c: "bpm!"} for key, c in (("resting_heart_rate", "resting_hr"), ("min_heart_rate", "min_hr"), ("max_heart_rate", "max_hr"))}
+    rules = [(kind, [(c, f.rstrip("!"), f.endswith("!")) for c, f in fields.items()]) for kind, fields in (DAILY | keyed).items()]
+    known = raw.sparkSession.createDataFrame(rules, "kind string, rules array<struct<column_name: string, field: string, zero_is_none: boolean>>")
+    rows = with_payload(raw).withColumn("kind", F.when(F.col("source_table") == "heart_rate", F.concat_ws("/", "source_table", "key")).otherwise(F.col("source_table")))
+    rows = rows.join(F.broadcast(known), "kind").filter("payload is not null")  # a row for each kind of daily record
     j = Json(F.col("payload"))
+    rows = rows.withColumn("named", j.whole("date_time"))
+    dated = F.when(F.col("source_table") == "heart_rate", local_date(truthy_or(F.col("named"), F.col("time")), F.lit(0))).otherwise(F.col("local_date"))
     breaths = F.transform(F.filter(F.coalesce(_items("segment_details"), F.array().cast("array<variant>")), lambda i: F.try_variant_get(i, "$.avg_breath", "double").isNotNull()), lambda i: F.try_variant_get(i, "$.avg_breath", "double"))
     breath = F.when(F.size(breaths) > 0, F.aggregate(breaths, F.lit(0.0), lambda a, x: a + x) / F.size(breaths)).otherwise(j.real("avg_breath"))
-    cell = lambda t, c, v: F.when((F.col("source_table") == t) & v.isNotNull(), F.struct(F.lit(c).alias("column_name"), v.alias("value")))
-    cells = [cell(t, c, j.field(f)) for t, fields in DAILY.items() for c, f in fields.items()] + [cell("sleep_day", "avg_respiratory_rate", breath)]
-    day = F.col("local_date")
-    for key, c in (("resting_heart_rate", "resting_hr"), ("min_heart_rate", "min_hr"), ("max_heart_rate", "max_hr")):
-        v = F.nullif(j.real("bpm"), F.lit(0.0))
-        cells.append(F.when((F.col("source_table") == "heart_rate") & (F.col("key") == key) & v.isNotNull(), F.struct(F.lit(c).alias("column_name"), v.alias("value"))))
-        day = F.when((F.col("source_table") == "heart_rate") & (F.col("key") == key), local_date(truthy_or(j.whole("date_time"), F.col("time")), F.lit(0))).otherwise(day)
-    rows = rows.withColumn("local_date", day)
-    return rows.select("source_table", "time", "source_record_id", "local_date", F.explode(F.array_compact(F.array(*cells))).alias("cell")).select("source_table", "time", "source_record_id", "local_date", "cell.*").filter("local_date is not null")
+    names = ("sid", "source_table", "time", "source_record_id")
+    rows = rows.select(*names, dated.alias("local_date"), F.try_variant_get("payload", "$", "map<string,variant>").alias("fields"), "rules", F.when(F.col("source_table") == "sleep_day", breath).alias("breath")).filter("local_date is not null")
+    cells = rows.select(*names, "local_date", "fields", "breath", F.explode("rules").alias("r"))
+    cells = cells.select(*names, "local_date", F.col("r.column_name").alias("column_name"), F.col("r.zero_is_none").alias("zero_is_none"), F.col("fields")[F.col("r.field")].alias("v"))
+    cells = cells.select(*names, "local_date", "column_name", "zero_is_none", number_of(F.col("v")).alias("value")).filter(~(F.col("zero_is_none") & (F.col("value") == 0.0))).drop("zero_is_none")
+    rates = rows.filter("breath is not null").select(*names, "local_date", F.lit("avg_respiratory_rate").alias("column_name"), F.col("breath").alias("value"))
+    return cells.filter("value is not null").unionByName(rates)
 
 
 def daily_summary(raw: DataFrame) -> DataFrame:
-    """One row a day: of each column the value of the greatest (source table, time, record); independent of import order."""
+    """One row a subject and day: of each column the value of the greatest (source table, time, record); independent of import order."""
     cells = daily_cells(raw)
     names = sorted({c for fields in DAILY.values() for c in fields} | {"avg_respiratory_rate"})
-    picked = cells.groupBy("local_date", "column_name").agg(F.max(F.struct("source_table", "time", "source_record_id", "value"))["value"].alias("value"))
-    return picked.groupBy("local_date").pivot("column_name", names).agg(F.first("value"))
+    picked = cells.groupBy("sid", "local_date", "column_name").agg(F.max(F.struct("source_table", "time", "source_record_id", "value"))["value"].alias("value"))
+    return picked.groupBy("sid", "local_date").pivot("column_name", names).agg(F.first("value"))
+
+
+def stage_name(raw_state: Column) -> Column:
+    """What features see of a stored state: a known stage, else "unknown"."""
+    return F.coalesce(F.create_map(*[F.lit(x) for kv in STAGES.items() for x in kv])[raw_state], F.lit("unknown"))
+
+
+def stage_flags(raw_state: Column) -> Column:
+    return F.when(F.coalesce(~raw_state.isin(*STAGES), F.lit(True)), "UNKNOWN_SEMANTICS,VENDOR_DERIVED").otherwise("VENDOR_DERIVED")
+
+
+def saturation_quality(value: Column) -> Column:
+    """Zero and less stand for no measurement, more than 100 can't be; such values stay, marked."""
+    return F.when(value.isNull() | F.isnan(value), "MISSING").when(value <= 0, "SENTINEL,INVALID").when(value > 100, "INVALID").otherwise("VALID")
+
+
+def derived_metrics(raw: DataFrame) -> DataFrame:
+    """(sid, source_record_id, source_table, field_path, numeric_value, text_value) of all payloads outside the high-volume tables."""
+    rows = with_payload(raw.filter(~F.col("source_table").isin(*HIGH_VOLUME)))
+    return flatten(rows, ["sid", "source_record_id", "source_table"], F.col("payload"))
 
 
 def flatten(df: DataFrame, keep: list[str], payload: Column, *, depth: int = DEPTH) -> DataFrame:

@@ -121,6 +121,22 @@ def mirror(new: DataFrame, old: DataFrame, key: str, unchanged: list[str], impor
     return new.join(o, key, "left").withColumn(imported, F.when(same & F.col("__at").isNotNull(), F.col("__at")).otherwise(now)).drop("__at", *[f"__{c}" for c in unchanged])
 
 
+def state_changes(now: DataFrame, before: DataFrame) -> DataFrame:
+    """Copies (physical_record_id, content, status) whose content or status isn't that of before, with those of before."""
+    b = before.select("physical_record_id", F.col("content").alias("old_content"), F.col("status").alias("old_status"), F.lit(True).alias("__known"))
+    j = now.select("physical_record_id", "content", "status").join(b, "physical_record_id", "left")
+    same = F.col("__known").isNotNull() & F.col("content").eqNullSafe(F.col("old_content")) & F.col("status").eqNullSafe(F.col("old_status"))
+    return j.filter(~same).drop("__known")
+
+
+def extend_history(history: DataFrame, changed: DataFrame, now: str) -> DataFrame:
+    """The history with the open versions of changed copies closed at ``now``, and their new versions open from it."""
+    marked = history.join(changed.select("physical_record_id", F.lit(True).alias("__changed")), "physical_record_id", "left")
+    closed = marked.withColumn("active_to", F.when(F.col("active_to").isNull() & F.col("__changed"), F.lit(now)).otherwise(F.col("active_to"))).drop("__changed")
+    opened = changed.select("physical_record_id", "content", "status", F.lit(now).alias("active_from"), F.lit(None).cast("string").alias("active_to"))
+    return closed.unionByName(opened)
+
+
 class Refused(RuntimeError):
     """Nothing is published: the input doesn't look like a complete, unambiguous set of sources."""
 

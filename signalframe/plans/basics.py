@@ -9,6 +9,7 @@ from ..operators.joins import as_of, effective, interval_join
 from ..operators.statistics import MAD_SCALE, percentile
 from ..operators.windows import runs, trailing_sum, with_next, with_previous
 from .common import DAYS, HR, NIGHTS, SLEEP, DataFrame, F, SparkSession, days, instants, nights, registry, samples, sessions, table
+from .feature_queries import PROF, profiles
 from .store import cutoff
 
 QUERIES, SQL, query = registry()
@@ -281,15 +282,10 @@ def join_asof(spark: SparkSession, d: str) -> DataFrame:
     return j.groupBy("sid").agg(F.count("*").alias("n"), F.sum(F.coalesce((F.col("ts") < F.col("t")).cast("int"), F.lit(0))).alias("asleep"))
 
 
-@query(
-    """, prof as (select * from (values ('sleep_need', 450.0::double, 20089, 20178), ('sleep_need', 480.0::double, 20179, cast(null as int))) p(field, value, f, u))
-    select sid, day, value as sleep_need from days left join prof on day >= f and (u is null or day <= u)""",
-    DAYS,
-)
+@query("select d.sid, d.day, p.value as sleep_target_min from days d left join prof p on p.sid = d.sid and d.day >= p.f and (p.u is null or d.day <= p.u)", DAYS, SLEEP, PROF)
 def join_effective(spark: SparkSession, d: str) -> DataFrame:
-    """JN-04, CLN-20, MET-14: the profile value in force on each day."""
-    profile = spark.createDataFrame([("sleep_need", 450.0, 20089, 20178), ("sleep_need", 480.0, 20179, None)], "field string, value double, effective_from int, effective_to int")
-    return effective(days(spark, d).select("sid", "day"), profile, "sleep_need", F.col("day"))
+    """JN-04, CLN-20, MET-14: the value in force on each day in the profile of the day's subject."""
+    return effective(days(spark, d).select("sid", "day"), profiles(spark, d), ["sid"], "sleep_target_min", "day")
 
 
 @query("select n.sid, n.day, n.t, d.rhr from nights n left join days d on d.sid = n.sid and d.day = n.day", SLEEP, NIGHTS, DAYS)

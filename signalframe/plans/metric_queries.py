@@ -9,14 +9,15 @@ from ..functions.clock import clock_minute
 from ..operators import metrics as m
 from ..operators.joins import effective
 from ..operators.windows import calendar, max_gap, series_in
-from .common import DAYS, NIGHTS, SLEEP, DataFrame, F, SparkSession, days, nights, registry, table
+from .common import DAYS, NIGHTS, SLEEP, DataFrame, F, SparkSession, days, nights, registry
+from .feature_queries import PROF, profiles
 
 QUERIES, SQL, query = registry()
 r6 = numeric.rounded
 
 BAND = """bands as (
   select *, coalesce(n >= 5 and day - last_day <= 14, false) as ready, greatest(1.65::double * sd, {floor}::double) as half from (
-    select sid, day, v, count(v) over w as n, avg(v) over w as mean, stddev_pop(v) over w as sd, max(day) over (partition by sid order by day rows between unbounded preceding and 1 preceding) as last_day
+    select sid, day, v, count(v) over w as n, avg(v) over w as mean, stddev_pop(v) over w as sd, max(day) over w as last_day
     from {series} window w as (partition by sid order by day range between 30 preceding and 1 preceding))
 )"""
 RHR = "rhrs as (select sid, day, rhr::double as v from days where rhr is not null)"
@@ -55,7 +56,7 @@ def met_respiratory_band(spark: SparkSession, d: str) -> DataFrame:
 )
 def met_ewma(spark: SparkSession, d: str) -> DataFrame:
     """AGG-12, MET-11: exponentially weighted baseline."""
-    return m.ewmas(rhr_series(spark, d), "sid", "rhr").withColumn("ewma", r6(F.col("ewma")))
+    return m.ewmas(rhr_series(spark, d), "sid", "rhr").filter("ewma is not null").select("sid", "day", r6(F.col("ewma")).alias("ewma"))
 
 
 @query(
@@ -70,7 +71,7 @@ def met_ewma(spark: SparkSession, d: str) -> DataFrame:
 def met_trends(spark: SparkSession, d: str) -> DataFrame:
     """AGG-11, WIN-03, WIN-08, MET-12: robust weekly trends of steps over 14, 30 and 90 days."""
     series = days(spark, d).filter("steps is not null").select("sid", "day", "steps")
-    return m.trends(series, "sid", "steps").withColumn("per_week", r6(F.col("per_week")))
+    return m.trends(series, ["sid"], "steps").filter("per_week is not null").select("sid", "day", "window_days", "n", r6(F.col("per_week")).alias("per_week"))
 
 
 CLOCK = """clk as (select sid, day, (((floor((s + off) / 60)::bigint % 1440) + 1440) % 1440)::double as bed, (((floor((t + off) / 60)::bigint % 1440) + 1440) % 1440)::double as wake from nights)"""
@@ -90,29 +91,24 @@ def met_regularity(spark: SparkSession, d: str) -> DataFrame:
     return m.regularity(n, "sid", "bed", "wake").select("sid", "day", "n", r6(F.col("sigma"), 4).alias("sigma"), "status")
 
 
-PROFILE = [(450.0, 20089, 20178), (470.0, 20179, 20268)]
-TARGETS = "tgt as (select n.sid, n.day, n.s, n.t, coalesce(p.v, 480.0::double) as target, p.v is null as dflt from nights n left join (values (450.0::double, 20089, 20178), (470.0::double, 20179, 20268)) p(v, f, u) on n.day between f and u)"
-
-
-def targets(spark: SparkSession, d: str) -> DataFrame:
-    """Nights with the sleep target in force, else the default of 480 minutes."""
-    profile = spark.createDataFrame([("sleep_target_min", *p) for p in PROFILE], "field string, value double, effective_from int, effective_to int")
-    n = effective(nights(spark, d), profile, "sleep_target_min", F.col("day"))
-    return n.select("sid", "day", "s", "t", F.coalesce("sleep_target_min", F.lit(480.0)).alias("target"), F.col("sleep_target_min").isNull().alias("dflt"))
+TARGETS = PROF + """, tgt as (select n.sid, n.day, n.s, n.t, coalesce(p.value, 480.0::double) as target from nights n left join prof p on p.sid = n.sid and n.day >= p.f and (p.u is null or n.day <= p.u))"""
 
 
 @query(
-    """, v as (select sid, day, case when (t - s) / 60.0 <= 1440 then (t - s)::double / 60 - target end as b, dflt from tgt),
-    w as (select sid, day, count(b) over w as n, sum(b) over w as bal, max(dflt::int) over w as df, list(day) filter (where b is not null) over w as ds from v window w as (partition by sid order by day range between 13 preceding and current row)),
-    g as (select *, case when n = 0 then 14 else greatest(ds[1] - (day - 13), day - ds[-1], coalesce(list_max(list_transform(range(1, len(ds)), lambda i: ds[i + 1] - ds[i] - 1)), 0)) end as mis from w)
+    """, lg as (select n.sid, n.day, n.day - 13 + k as d from nights n, (select unnest(range(14)) as k)),
+    lt as (select lg.sid, lg.day, lg.d, coalesce(p.value, 480) as target, p.value is null as dflt, case when (x.t - x.s) / 60.0 <= 1440 then (x.t - x.s)::double / 60 end as slept from lg left join prof p on p.sid = lg.sid and lg.d >= p.f and (p.u is null or lg.d <= p.u) left join nights x on x.sid = lg.sid and x.day = lg.d),
+    ls as (select sid, day, count(slept) as n, sum(slept - target) as bal, bool_or(dflt) as dflt, list(d order by d) filter (where slept is not null) as ds from lt group by 1, 2),
+    g as (select *, case when n = 0 then 14 else greatest(ds[1] - (day - 13), day - ds[-1], coalesce(list_max(list_transform(range(1, len(ds)), lambda i: ds[i + 1] - ds[i] - 1)), 0)) end as mis from ls)
     select sid, day, n, mis::bigint as longest_missing, case when n >= 10 and mis <= 2 then round(greatest(0, -bal), 6) end as debt_min,
-      case when not (n >= 10 and mis <= 2) then 'CALIBRATING' when df = 1 then 'REDUCED' else 'VALID' end as status from g""",
-    SLEEP, NIGHTS, TARGETS,
+      case when not (n >= 10 and mis <= 2) then 'CALIBRATING' when dflt then 'REDUCED' else 'VALID' end as status from g""",
+    SLEEP, NIGHTS, PROF,
 )
 def met_sleep_debt(spark: SparkSession, d: str) -> DataFrame:
-    """WIN-06, JN-04, JN-07, MET-14, MET-15: sleep debt over 14 calendar nights."""
-    n = targets(spark, d).withColumn("tst", (F.col("t") - F.col("s")) / 60.0)
-    return m.sleep_debt(n, "sid", "tst", "target", "dflt").withColumn("debt_min", r6(F.col("debt_min")))
+    """WIN-06, JN-04, JN-07, MET-14, MET-15: sleep debt over 14 calendar nights, each with the target in force on it."""
+    n = nights(spark, d).select("sid", "day", ((F.col("t") - F.col("s")) / 60.0).alias("tst"))
+    cal = effective(m.ledger(n, "sid"), profiles(spark, d), ["sid"], "sleep_target_min", "day").join(n, ["sid", "day"], "left")
+    cal = cal.withColumns({"target": m.sleep_target(F.col("sleep_target_min")), "dflt": F.col("sleep_target_min").isNull()})
+    return m.sleep_debt(cal, "sid", "tst", "target", "dflt").withColumn("debt_min", r6(F.col("debt_min")))
 
 
 @query(
@@ -128,32 +124,12 @@ def met_sleep_debt(spark: SparkSession, d: str) -> DataFrame:
 )
 def met_recovery(spark: SparkSession, d: str) -> DataFrame:
     """WIN-04, MET-16: recovery from resting heart rate and sleep (this source has no variability)."""
-    n = targets(spark, d).join(days(spark, d).select("sid", "day", "rhr"), ["sid", "day"], "left")
-    n = n.select("sid", "day", F.lit(None).cast("double").alias("rmssd"), "rhr", ((F.col("t") - F.col("s")) / 60.0).alias("asleep"), "target")
+    n = effective(nights(spark, d), profiles(spark, d), ["sid"], "sleep_target_min", "day").join(days(spark, d).select("sid", "day", "rhr"), ["sid", "day"], "left")
+    n = n.select("sid", "day", F.lit(None).cast("double").alias("rmssd"), "rhr", ((F.col("t") - F.col("s")) / 60.0).alias("asleep"), F.col("sleep_target_min").alias("target"))
     out = m.recovery(n, "sid", hrv="rmssd", rhr="rhr", asleep="asleep", target="target")
     return out.select("sid", "day", *[r6(F.col(c)).alias(c) for c in ("z_hrv", "z_rhr", "z_sleep")], "score", "status")
 
 
-@query(
-    """, both_ as (select n.sid, n.day, d.rhr::double as rhr, case when n.avg_respiratory_rate > 0 then n.avg_respiratory_rate end as rr from nights n left join days d on d.sid = n.sid and d.day = n.day),
-    s1 as (select sid, day, rhr as v, count(rhr) over w as n, avg(rhr) over w as mu, stddev_pop(rhr) over w as sd, max(case when rhr is not null then day end) over (partition by sid order by day rows between unbounded preceding and 1 preceding) as ld from both_ window w as (partition by sid order by day range between 30 preceding and 1 preceding)),
-    s2 as (select sid, day, rr as v, count(rr) over w as n, avg(rr) over w as mu, stddev_pop(rr) over w as sd, max(case when rr is not null then day end) over (partition by sid order by day rows between unbounded preceding and 1 preceding) as ld from both_ window w as (partition by sid order by day range between 30 preceding and 1 preceding)),
-    f as (select s1.sid, s1.day, case when s1.v is not null and s1.n >= 5 and s1.day - s1.ld <= 14 then (case when round(s1.sd, 9) >= 0.01 then round((s1.v - s1.mu) / s1.sd, 9) > 1.5 else s1.v > s1.mu + 5 end) end as a,
-      case when s2.v is not null and s2.n >= 5 and s2.day - s2.ld <= 14 then (case when round(s2.sd, 9) >= 0.1 then round((s2.v - s2.mu) / s2.sd, 9) > 1.5 else s2.v > s2.mu + 1.5 end) end as b from s1 join s2 on s2.sid = s1.sid and s2.day = s1.day)
-    select sid, day, ((a is not null)::int + (b is not null)::int)::bigint as ready_signals, case when a and b then 'respiratory,rhr' when a then 'rhr' when b then 'respiratory' else '' end as drivers,
-      case when a is not null and b is not null then (a and b)::bigint end as watch, case when a is not null and b is not null then 'VALID' else 'INSUFFICIENT_DATA' end as status from f""",
-    SLEEP, NIGHTS, DAYS,
-)
-def met_watch(spark: SparkSession, d: str) -> DataFrame:
-    """MET-18: nights on which resting heart rate and respiration are both unusual."""
-    n = nights(spark, d).join(days(spark, d).select("sid", "day", "rhr"), ["sid", "day"], "left").select("sid", "day", F.col("rhr").cast("double").alias("rhr"), numeric.positive(F.col("avg_respiratory_rate")).alias("respiratory"))
-    base = n
-    for k in ("rhr", "respiratory"):
-        b = m.bands(n, "sid", k, m.BANDS[k]).select("sid", "day", F.when(F.col("ready"), F.col("mean")).alias(f"{k}_mean"), F.when(F.col("ready"), F.col("sd")).alias(f"{k}_sd"))
-        base = base.join(b, ["sid", "day"])
-    return m.watch(base, "sid", {"rhr": (0.01, 5.0), "respiratory": (0.1, 1.5)}).withColumn("watch", F.col("watch").cast("bigint"))
-
-
 @query(
     """, w as (select sid, day, v, list(v) over f as p, stddev_samp(v) over f as sd, count(v) over (partition by sid order by day range between 7 preceding and 1 preceding) as run from rhrs window f as (partition by sid order by day range between 28 preceding and 1 preceding)),
     c as (select *, list_median(p) as med from w), k as (select *, 1.4826::double * list_median(list_transform(p, lambda x: abs(x - med))) as mad from c),

@@ -223,12 +223,13 @@ def monitoring(f: DataFrame) -> DataFrame:
     return _long(f, rows).unionByName(_long(w, [both]))
 
 
-def change_points(f: DataFrame, start: DataFrame | None = None) -> DataFrame:
-    """The CUSUM of each night's rate; the token to go on from is in the metadata."""
+def change_points(f: DataFrame, start: DataFrame | None = None, since: DataFrame | None = None) -> DataFrame:
+    """The CUSUM of each night's rate; the token to go on from is in the metadata. ``since`` (sid, first): only nights from the first on."""
     n = f.filter("night").withColumn("v", finite_between(F.col("n_rhr"), 25, 240))
     n = n.withColumn("v_mark", F.when(F.col("v").isNotNull(), F.col("n_mark"))).withColumn("used", _with(_one("n_mark"), _over("v_mark", -28, -1)))
     for step in m.cusum_z_columns("v", "sid"):
         n = n.withColumns(step)
+    n = n if since is None else n.join(since.select("sid", "first"), "sid").filter(F.col("day") >= F.col("first"))
     c = m.cusum_fold(n.select("sid", "day", "z", F.col("v").isNull().alias("lacking"), *[F.col("used")[k].alias(k) for k in ("n_inputs", "inputs_hash", "first_input", "last_input")]), "sid", start=start)
     value = F.when(F.col("z").isNotNull(), F.col("state").isin("YELLOW", "RED").cast("double"))
     status = F.when(F.col("z").isNotNull(), "VALID").when(F.col("lacking"), "INSUFFICIENT_DATA").otherwise("CALIBRATING")
@@ -249,11 +250,14 @@ def same_token(a: Column, b: Column) -> Column:
     return F.round(a["total"], 12).eqNullSafe(F.round(b["total"], 12)) & a["alarms"].eqNullSafe(b["alarms"]) & a["calm"].eqNullSafe(b["calm"]) & a["last"].eqNullSafe(b["last"])
 
 
-def metric_table(nights: DataFrame, dailies: DataFrame, profile: DataFrame, *, cusum_start: DataFrame | None = None) -> DataFrame:
+def metric_table(nights: DataFrame, dailies: DataFrame, profile: DataFrame, *, cusum_start: DataFrame | None = None, cusum_since: DataFrame | None = None, apart: bool = False):
     """All metrics of the subjects, from features that are read several times: pass written ones.
 
     ``profile`` has sid, field, value, effective_from and effective_to (day numbers). ``cusum_start`` is the token of each
-    subject's last night before these.
+    subject's last night before its first of ``cusum_since``, from which on change points are given. With ``apart`` they
+    come as a second table.
     """
     f = frame(nights, dailies, profile)
-    return reduce(DataFrame.unionByName, [direct(f), baselines(f), trends(f), regularity(f), sleep(f, profile), recovery(f), monitoring(f), change_points(f, cusum_start)])
+    others = reduce(DataFrame.unionByName, [direct(f), baselines(f), trends(f), regularity(f), sleep(f, profile), recovery(f), monitoring(f)])
+    points = change_points(f, cusum_start, cusum_since)
+    return (others, points) if apart else others.unionByName(points)

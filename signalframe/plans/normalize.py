@@ -196,7 +196,11 @@ def daily_cells(raw: DataFrame) -> DataFrame:
 
 def daily_summary(raw: DataFrame) -> DataFrame:
     """One row a subject and day: of each column the value of the greatest (source table, time, record); independent of import order."""
-    cells = daily_cells(raw)
+    return pivoted(daily_cells(raw))
+
+
+def pivoted(cells: DataFrame) -> DataFrame:
+    """``daily_summary`` from its cells."""
     names = sorted({c for fields in DAILY.values() for c in fields} | {"avg_respiratory_rate"})
     picked = cells.groupBy("sid", "local_date", "column_name").agg(F.max(F.struct("source_table", "time", "source_record_id", "value"))["value"].alias("value"))
     return picked.groupBy("sid", "local_date").pivot("column_name", names).agg(F.first("value"))

@@ -1,78 +1,137 @@
 """Keeping results: revisions with pointers, atomic publication, state, run log, schema evolution, and what to recompute.
 
 Tables are plain parquet folders; a new version is written aside and becomes visible by one rename of a small pointer file.
+Files are reached through the cluster's file systems, never through paths of the driver alone.
 """
 
 from __future__ import annotations
 
 import json
-import os
 import uuid
-from pathlib import Path
+from contextlib import contextmanager
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .. import session
+
 SCHEMA_VERSION = 3
 #: Days after a changed day whose metrics may depend on it, and hours before the last checkpoint that are read again.
 HORIZON_DAYS, OVERLAP_HOURS = 90, 48
 
 
-def write_json(path: str | Path, value: dict) -> None:
-    """Replace a small file at once: written aside, flushed to disk, renamed."""
-    path = Path(path)
-    path.parent.mkdir(parents=True, exist_ok=True)
-    aside = path.with_name(f".{path.name}.{uuid.uuid4().hex}")
-    with aside.open("w", encoding="utf-8") as f:
-        json.dump(value, f, sort_keys=True)
-        f.flush()
-        os.fsync(f.fileno())
-    aside.replace(path)
-
-
-def read_json(path: str | Path) -> dict:
-    return json.loads(Path(path).read_text("utf-8")) if Path(path).exists() else {}
+class Store:
+    """Tables below a folder that the whole cluster sees, on whatever file system its path names.
 
+    A table is a row of versions (plain parquet folders); a small pointer names the current one.
+    """
 
-class Store:
-    """Tables below a folder that the whole cluster sees."""
+    #: Versions that stay readable besides the current one, for reads that go on.
+    KEPT = 1
 
     def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, Path(root)
+        self.spark, self.root = spark, root.rstrip("/")
         version = self.state().get("schema_version", SCHEMA_VERSION)
         if version > SCHEMA_VERSION:
             raise ValueError(f"the store has version {version}; this code knows {SCHEMA_VERSION}")
 
+    def _json(self, name: str) -> dict:
+        return json.loads(session.read_text(self.spark, f"{self.root}/{name}") or "{}")
+
     def state(self) -> dict:
-        return read_json(self.root / "state.json")
+        return self._json("state.json")
 
     def update_state(self, **values) -> None:
         """Set keys; only after the tables that they speak of are published."""
-        write_json(self.root / "state.json", {"schema_version": SCHEMA_VERSION} | self.state() | values)
+        session.write_text(self.spark, f"{self.root}/state.json", json.dumps({"schema_version": SCHEMA_VERSION} | self.state() | values, sort_keys=True))
 
     def table(self, name: str, schema: str | None = None) -> DataFrame:
         """The published version; an empty table of the schema if there is none."""
-        at = read_json(self.root / name / "current.json").get("version")
+        at = self._json(f"{name}/current.json").get("version")
         if at:
-            return self.spark.read.parquet(str(self.root / name / at))
+            return self.spark.read.parquet(f"{self.root}/{name}/{at}")
         return self.spark.createDataFrame([], schema)
 
-    def publish(self, name: str, df: DataFrame, *, partition_by: tuple[str, ...] = ()) -> DataFrame:
-        """Write a whole new version aside, then point to it; a failed write leaves the old one. Reads of the old go on."""
+    def has(self, name: str) -> bool:
+        return "version" in self._json(f"{name}/current.json")
+
+    def stage(self, name: str, df: DataFrame, *, partition_by: tuple[str, ...] = ()) -> str:
+        """Write a whole new version aside; nobody sees it yet."""
         version = f"v-{uuid.uuid4().hex}"
-        df.write.partitionBy(*partition_by).parquet(str(self.root / name / version))
-        write_json(self.root / name / "current.json", {"version": version})
+        df.write.partitionBy(*partition_by).parquet(f"{self.root}/{name}/{version}")
+        return version
+
+    def release(self, name: str, version: str) -> DataFrame:
+        """Point to a staged version, and drop versions older than those kept. Reads of the one before go on."""
+        now = self._json(f"{name}/current.json")
+        earlier = [v for v in (now.get("version"), *now.get("earlier", [])) if v][: self.KEPT]
+        session.write_text(self.spark, f"{self.root}/{name}/current.json", json.dumps({"version": version, "earlier": earlier}))
+        for old in session.folders_in(self.spark, f"{self.root}/{name}"):
+            if old.startswith("v-") and old not in (version, *earlier):
+                session.remove(self.spark, f"{self.root}/{name}/{old}")
         return self.table(name)
 
+    def publish(self, name: str, df: DataFrame, *, partition_by: tuple[str, ...] = ()) -> DataFrame:
+        """A new version in one step; a failed write leaves the old one."""
+        return self.release(name, self.stage(name, df, partition_by=partition_by))
+
+    def merge_parts(self, name: str, new: DataFrame, key: list[str], part: str) -> None:
+        """Merge rows by key into a table kept in parts by a column (a date, say); only the parts that new rows fall in are rewritten.
+
+        A key must keep its part. One job writes all touched parts aside, and one pointer to the version of each part
+        makes them visible at once. Replays change nothing.
+        """
+        label = F.regexp_replace(F.coalesce(F.col(part).cast("string"), F.lit("none")), "[^0-9A-Za-z-]", "_")
+        placed = new.withColumn("__part", label)
+        touched = sorted(r[0] for r in placed.select("__part").distinct().collect())  # one value a part
+        if not touched:
+            return
+        now = self._json(f"{name}/parts.json")
+        known = now.get("parts", {})
+        there = [f"{self.root}/{name}/{known[v]}/__part={v}" for v in touched if v in known]
+        old = self.spark.read.parquet(*there).withColumn("__part", label) if there else placed.limit(0)
+        version = self.stage(name, upsert(old, placed, key), partition_by=("__part",))
+        parts = known | dict.fromkeys(touched, version)
+        session.write_text(self.spark, f"{self.root}/{name}/parts.json", json.dumps({"parts": parts, "earlier": known}))
+        for folder in session.folders_in(self.spark, f"{self.root}/{name}"):
+            if folder.startswith("v-") and folder not in {*parts.values(), *known.values()}:
+                session.remove(self.spark, f"{self.root}/{name}/{folder}")
+
+    def parts(self, name: str, schema) -> DataFrame:
+        """All parts of a table of ``merge_parts``."""
+        paths = [f"{self.root}/{name}/{version}/__part={value}" for value, version in sorted(self._json(f"{name}/parts.json").get("parts", {}).items())]
+        return self.spark.read.parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+
     def log_run(self, run_id: str, status: str, started_at: str, finished_at: str | None = None, detail: str | None = None) -> None:
         """Append to the run log; a failed run is logged though its data isn't published."""
-        row = self.spark.createDataFrame([(run_id, status, started_at, finished_at, detail)], "run_id string, status string, started_at string, finished_at string, detail string")
-        row.coalesce(1).write.mode("append").parquet(str(self.root / "run_log"))
+        row = self.spark.createDataFrame([(run_id, status, started_at, finished_at, detail)], RUN_LOG)
+        row.coalesce(1).write.mode("append").parquet(f"{self.root}/run_log")
 
     def runs(self) -> DataFrame:
         """The last status of each run."""
+        if "run_log" not in session.folders_in(self.spark, self.root):
+            return self.spark.createDataFrame([], RUN_LOG)
         w = Window.partitionBy("run_id").orderBy(F.col("finished_at").desc_nulls_last())
-        return self.spark.read.parquet(str(self.root / "run_log")).withColumn("n", F.row_number().over(w)).filter("n = 1").drop("n")
+        return self.spark.read.parquet(f"{self.root}/run_log").withColumn("n", F.row_number().over(w)).filter("n = 1").drop("n")
+
+    @contextmanager
+    def lock(self, name: str):
+        """One run at a time: an error if another holds it. What a dead run left is removed by ``break_lock``."""
+        fs, p = session._file_system(self.spark, f"{self.root}/{name}.lock")
+        fs.mkdirs(p.getParent())
+        if not fs.createNewFile(p):
+            raise RuntimeError(f"another run holds {name}")
+        try:
+            yield
+        finally:
+            fs.delete(p, False)
+
+    def break_lock(self, name: str) -> None:
+        session.remove(self.spark, f"{self.root}/{name}.lock")
+
+
+RUN_LOG = "run_id string, status string, started_at string, finished_at string, detail string"
 
 
 def evolve(df: DataFrame, columns: dict[str, tuple[str, Column]]) -> DataFrame:
@@ -134,12 +193,18 @@ def affected_days(dirty: DataFrame, by: str, horizon: int = HORIZON_DAYS) -> Dat
 
 
 def refresh(full: DataFrame, stored: DataFrame, days: DataFrame, by: str) -> DataFrame:
-    """Stored metrics with those of the affected days replaced; equals a full run if no other day changed."""
+    """Stored metrics with those of the affected days replaced; equals a full run if no other day changed, except for change points (see ``runs``)."""
     return stored.join(days, [by, "day"], "left_anti").unionByName(full.join(days, [by, "day"], "left_semi"))
 
 
-def unchanged(state: dict, **inputs: str) -> bool:
-    """Whether a run has nothing to do: all inputs (fingerprints, profile, versions) are those of the last run."""
+def unchanged(state: dict, *, deep_at: str | None = None, now: str | None = None, deep_hours: float = 24, **inputs: str) -> bool:
+    """Whether a run has nothing to do: all inputs (fingerprints, policy, profile, versions) are those of the last run.
+
+    With ``now`` also that the last deep scan, ``deep_at`` (ISO 8601), is less than ``deep_hours`` ago: quick fingerprints
+    see sizes, times and the ends of files, not all of their bytes.
+    """
+    if now is not None and (deep_at is None or datetime.fromisoformat(now) - datetime.fromisoformat(deep_at) >= timedelta(hours=deep_hours)):
+        return False
     return bool(inputs) and all(state.get(k) == v for k, v in inputs.items())
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..plans.store import OVERLAP_HOURS, Store, upsert
+from ..plans.store import OVERLAP_HOURS, Store
 
 LATENESS = f"{OVERLAP_HOURS} hours"
 
@@ -22,12 +22,19 @@ def read_raw(spark: SparkSession, folder: str, schema: str, *, files_per_batch:
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(folder)
 
 
-def normalize_into(raw: DataFrame, store: Store, name: str, rule: Callable[[DataFrame], DataFrame], key: list[str], checkpoint: str) -> StreamingQuery:
-    """Normalize each micro-batch and merge it into a published table; replays of a batch change nothing."""
+def normalize_into(raw: DataFrame, store: Store, name: str, rule: Callable[[DataFrame], DataFrame], key: list[str], checkpoint: str, *, part: str) -> StreamingQuery:
+    """Normalize each micro-batch and merge it into a table kept in parts; replays of a batch change nothing.
+
+    ``part`` is a column that a key never changes and that rows arriving together share (a local date, say): only the
+    parts that a batch's rows fall in are rewritten.
+    """
 
     def merge(batch: DataFrame, _: int) -> None:
-        new = rule(batch).dropDuplicates(key)
-        store.publish(name, upsert(store.table(name, new.schema), new, key))
+        new = rule(batch).dropDuplicates(key).persist()
+        try:
+            store.merge_parts(name, new, key, part)
+        finally:
+            new.unpersist()
 
     return raw.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -11,7 +11,7 @@ from signalframe.functions import clock, numeric
 from signalframe.operators import metrics as m
 from signalframe.operators import statistics as st
 from signalframe.operators.joins import as_of, effective, interval_join
-from signalframe.operators.windows import max_gap, runs, series_in, calendar
+from signalframe.operators.windows import calendar, max_gap, runs, series_in, trailing_sum, with_next
 from signalframe.plans import features as f
 
 D0 = 20000
@@ -68,9 +68,31 @@ def test_statistics(spark):
 
 def test_theil_sen_ignores_an_outlier(spark):
     series = frame(spark, [i if i != 7 else 500 for i in range(20)])
-    got = {r["window_days"]: round(r["per_week"], 6) for r in m.trends(series, "sid", "v").filter(F.col("day") == D0 + 19).collect()}
-    assert got == {14: 7.0, 30: 7.0}
-    assert m.trends(frame(spark, [1, 2, 3]), "sid", "v").count() == 0
+    got = {r["window_days"]: (round(r["per_week"], 6) if r["per_week"] is not None else None, r["n"], r["max_gap"]) for r in m.trends(series, ["sid"], "v").filter(F.col("day") == D0 + 19).collect()}
+    assert got == {14: (7.0, 14, 1), 30: (7.0, 20, 1), 90: (None, 20, 1)}
+    assert {r["per_week"] for r in m.trends(frame(spark, [1, 2, 3]), ["sid"], "v").collect()} == {None}
+
+
+@pytest.mark.parametrize("shard", [30, 91, 400])
+def test_trends_do_not_depend_on_shards(spark, shard):
+    rnd = random.Random(shard)
+    values = [rnd.gauss(0, 1) if rnd.random() < 0.8 else None for _ in range(260)]
+    got = {(r["day"], r["window_days"]): r for r in m.trends(frame(spark, values).withColumn("h", F.col("day") * 31), ["sid"], "v", shard=shard, mark="h").collect()}
+    seen = [(D0 + i, v) for i, v in enumerate(values) if v is not None]
+    assert len(got) == 3 * len(seen)
+    for day, _ in seen:
+        for width, least in m.TREND_WINDOWS:
+            x = [(e, v) for e, v in seen if day - width < e <= day]
+            r, gap, mark = got[day, width], max((b[0] - a[0] for a, b in zip(x, x[1:], strict=False)), default=0), 0
+            for e, _ in x:
+                mark ^= e * 31
+            assert (r["n"], r["max_gap"], r["marks"]) == (len(x), gap, mark)
+            slopes = sorted((b[1] - a[1]) / (b[0] - a[0]) for i, a in enumerate(x) for b in x[i + 1 :])
+            if len(x) >= least and len(x) >= 0.6 * width and gap <= 7:
+                k = len(slopes)
+                assert abs(r["per_week"] - 7 * (slopes[(k - 1) // 2] + slopes[k // 2]) / 2) < 1e-9
+            else:
+                assert r["per_week"] is None
 
 
 # joins and windows
@@ -117,9 +139,35 @@ def test_as_of(spark):
 
 
 def test_effective(spark):
-    p = spark.createDataFrame([("need", 1.0, 10, 19), ("need", 2.0, 20, None), ("other", 9.0, 0, None)], "field string, value double, effective_from int, effective_to int")
-    days = spark.createDataFrame([(9,), (10,), (19,), (20,), (99,)], "day int")
-    assert rows(effective(days, p, "need", F.col("day")), "day", "need") == [(9, None), (10, 1.0), (19, 1.0), (20, 2.0), (99, 2.0)]
+    p = spark.createDataFrame([("a", "need", 1.0, 10, 19), ("a", "need", 2.0, 20, None), ("a", "other", 9.0, 0, None), ("b", "need", 7.0, 15, 15)], "sid string, field string, value double, effective_from int, effective_to int")
+    days = spark.createDataFrame([(s, x) for s in "abc" for x in (9, 10, 15, 19, 20, 999)], "sid string, day int")
+    got = effective(days, p, ["sid"], "need", "day")
+    assert rows(got, "sid", "day", "need") == [*[("a", x, v) for x, v in ((9, None), (10, 1.0), (15, 1.0), (19, 1.0), (20, 2.0), (999, 2.0))], *[("b", x, 7.0 if x == 15 else None) for x in (9, 10, 15, 19, 20, 999)], *[("c", x, None) for x in (9, 10, 15, 19, 20, 999)]]
+
+
+@pytest.mark.parametrize("name", ["join_effective", "met_sleep_debt", "met_recovery", "join_interval", "join_asof"])
+def test_plans_have_no_nested_loops(spark, name):
+    from conftest import DATA
+
+    from signalframe.plans import catalog
+
+    plan = catalog.queries()[name](spark, f"{DATA}/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_following_and_trailing(spark):
+    rnd = random.Random(5)
+    data = [(rnd.choice("ab"), rnd.randrange(300), i) for i in range(200)]
+    df = spark.createDataFrame(data, "e string, at int, i int")
+    ordered = {e: sorted((at, i) for x, at, i in data if x == e) for e in "ab"}
+    want = sorted((i, ordered[e][k + 1][0] if k + 1 < len(ordered[e]) else -1) for e in "ab" for k, (_, i) in enumerate(ordered[e]))
+    totals = {(e, at): sum(1 for t, _ in ordered[e] if at - 20 < t <= at) for e, at, _ in data}
+    counted = df.groupBy("e", "at").agg(F.count("*").alias("n"))
+    for shard in (25, 100, 10_000):
+        assert [(i, -1 if v is None else v) for i, v in rows(with_next(df, ["e"], "at", ["at", "i"], shard=shard), "i", "following")] == want
+        assert {(e, at): t for e, at, t in rows(trailing_sum(counted, ["e"], "at", "n", 20, shard=shard))} == totals
+    with pytest.raises(ValueError):
+        trailing_sum(counted, ["e"], "at", "n", 20, shard=10)
 
 
 def test_runs_and_gaps(spark):
@@ -140,8 +188,8 @@ def test_bands(spark):
     assert at(spo2, D0 + 5, "lower", "upper") == (95.5, None)
     resp = m.bands(frame(spark, [16] * 6), "sid", "v", m.BANDS["respiratory"])
     assert round(at(resp, D0 + 5, "upper")[0], 6) == 16.8
-    stale = m.bands(frame(spark, [60] * 6 + [None] * 16 + [60, None]), "sid", "v", m.BANDS["rhr"])
-    assert at(stale, D0 + 22, "state") == ("STALE",) and at(stale, D0 + 23, "state") == ("NO_DATA",)
+    stale = m.bands(frame(spark, [60] * 6 + [None] * 16 + [60, None] + [None] * 40 + [60]), "sid", "v", m.BANDS["rhr"])
+    assert at(stale, D0 + 22, "state") == ("STALE",) and at(stale, D0 + 23, "state") == ("NO_DATA",) and at(stale, D0 + 64, "state") == ("CALIBRATING",)  # what is before the window counts for nothing
 
 
 def test_no_look_ahead(spark):
@@ -155,6 +203,8 @@ def test_regularity(spark):
     n = spark.createDataFrame([("s", D0 + i, 1430 if i % 2 else 10, 420) for i in range(6)], "sid string, day bigint, bed int, wake int")
     r = m.regularity(n, "sid", "bed", "wake")
     assert at(r, D0 + 5, "regularity", "status") == (100.0, "VALID") and at(r, D0 + 2, "status") == ("CALIBRATING",)
+    whole = m.regularity(n.withColumn("whole", F.col("day") != D0 + 3), "sid", "bed", "wake", complete="whole")
+    assert at(whole, D0 + 5, "n") == (5,) and at(whole, D0 + 3, "n") == ()
 
 
 NIGHT = "sid string, day bigint, tst double, deep double, rem double, waso double, bedtime double, awakenings array<double>, complete boolean"
@@ -176,15 +226,32 @@ def test_sleep_score(spark):
     assert at(m.sleep_score(nights(spark, (480.0, 90.0, 90.0, 0.0, 1380.0, [], True), 4), "sid"), D0 + 3, "status") == ("CALIBRATING",)
 
 
+def owed(spark, nights, given=lambda day: 480.0):
+    df = spark.createDataFrame([("s", d, float(v)) for d, v in nights], "sid string, day bigint, v double")
+    cal = m.ledger(df, "sid").join(df, ["sid", "day"], "left")
+    target = F.create_map(*[F.lit(x) for d in range(D0 - 20, D0 + 40) for x in (d, given(d))])[F.col("day").cast("int")]
+    return m.sleep_debt(cal.withColumns({"target": F.coalesce(target, F.lit(480.0)), "dflt": target.isNull()}), "sid", "v", "target", "dflt")
+
+
 def test_sleep_debt(spark):
-    n = frame(spark, [420.0] * 14).withColumns({"target": F.lit(480.0), "dflt": F.lit(False)})
-    assert at(m.sleep_debt(n, "sid", "v", "target", "dflt"), D0 + 13, "debt_min", "status") == (840.0, "VALID")
-    gap = n.filter(~F.col("day").isin(D0 + 5, D0 + 6, D0 + 7))
-    assert at(m.sleep_debt(gap, "sid", "v", "target", "dflt"), D0 + 13, "status", "longest_missing") == ("CALIBRATING", 3)
-    two = n.filter(~F.col("day").isin(D0 + 5, D0 + 6)).withColumn("dflt", F.col("day") == D0 + 3)
-    assert at(m.sleep_debt(two, "sid", "v", "target", "dflt"), D0 + 13, "status", "debt_min") == ("REDUCED", 720.0)
-    rested = frame(spark, [540.0] * 14).withColumns({"target": F.lit(480.0), "dflt": F.lit(False)})
-    assert at(m.sleep_debt(rested, "sid", "v", "target", "dflt"), D0 + 13, "debt_min") == (0.0,)
+    n = [(D0 + i, 420) for i in range(14)]
+    last = D0 + 13
+    assert at(owed(spark, n), last, "debt_min", "status") == (840.0, "VALID")
+    assert at(owed(spark, [x for x in n if x[0] - D0 not in (5, 6, 7)]), last, "status", "longest_missing") == ("CALIBRATING", 3)
+    two = [x for x in n if x[0] - D0 not in (5, 6)]
+    assert at(owed(spark, two, lambda d: None if d == D0 + 3 else 480.0), last, "status", "debt_min") == ("REDUCED", 720.0)
+    # a default on a day without a night counts too, one before the window doesn't
+    assert at(owed(spark, two, lambda d: None if d == D0 + 5 else 480.0), last, "status") == ("REDUCED",) and at(owed(spark, two, lambda d: None if d < D0 else 480.0), last, "status") == ("VALID",)
+    assert at(owed(spark, [(d, 540) for d, _ in n]), last, "debt_min") == (0.0,)
+    assert rows(owed(spark, n), "day") == [(d,) for d, _ in n]
+
+
+def test_targets_must_be_possible(spark):
+    df = spark.createDataFrame([(None,), (300.0,), (720.0,)], "t double")
+    assert [r[0] for r in df.select(m.sleep_target(F.col("t"))).collect()] == [480.0, 300.0, 720.0]
+    for bad in (299.0, 721.0, float("nan")):
+        with pytest.raises(Exception):  # noqa: B017
+            spark.createDataFrame([(bad,)], "t double").select(m.sleep_target(F.col("t"))).collect()
 
 
 def test_recovery(spark):
@@ -201,9 +268,23 @@ def test_recovery(spark):
 
 
 def test_watch(spark):
-    df = spark.createDataFrame([("s", 1, 66.0, 60.0, 0.0, 18.0, 16.0, 0.0), ("s", 2, 65.0, 60.0, 0.0, 18.0, 16.0, 0.0), ("s", 3, 70.0, 60.0, 4.0, 16.0, None, None)], "sid string, day bigint, rhr double, rhr_mean double, rhr_sd double, respiratory double, respiratory_mean double, respiratory_sd double")
-    got = {r["day"]: (r["drivers"], r["watch"], r["status"]) for r in m.watch(df, "sid", {"rhr": (0.01, 5.0), "respiratory": (0.1, 1.5)}).collect()}
-    assert got == {1: ("respiratory,rhr", True, "VALID"), 2: ("respiratory", False, "VALID"), 3: ("rhr", None, "INSUFFICIENT_DATA")}
+    """Three signals; rules and statuses as published: REDUCED where judged, else by how many were measured."""
+    names = [f"{k}{c}" for k in ("rhr", "respiratory", "spo2") for c in ("", "_mean", "_sd")]
+    cases = {
+        1: ((66.0, 60.0, 0.0), (18.0, 16.0, 0.0), (97.0, 97.0, 1.0)), 2: ((65.0, 60.0, 0.0), (18.0, 16.0, 0.0), (91.9, 97.0, 1.0)), 3: ((70.0, 60.0, 4.0), (16.0, None, None), (92.0, 97.0, 1.0)),
+        4: ((70.0, 60.0, 4.0), (16.0, None, None), (95.0, None, None)), 5: ((70.0, 60.0, 4.0), (None, None, None), (None, None, None)), 6: ((65.0, 60.0, 0.0), (17.5, 16.0, 0.05), (91.0, 97.0, 1.0)),
+    }
+    df = spark.createDataFrame([("s", d, *a, *b, *c) for d, (a, b, c) in cases.items()], "sid string, day bigint, " + ", ".join(f"{n} double" for n in names))
+    got = {r["day"]: (r["ready_signals"], r["drivers"], r["watch"], r["status"]) for r in m.watch(df, "sid").collect()}
+    assert got == {
+        1: (3, "respiratory,rhr", True, "REDUCED"), 2: (3, "respiratory,spo2", True, "REDUCED"), 3: (2, "rhr", False, "REDUCED"), 4: (1, None, None, "CALIBRATING"), 5: (1, None, None, "INSUFFICIENT_DATA"), 6: (3, "spo2", False, "REDUCED"),
+    }
+
+
+def test_concern(spark):
+    df = spark.createDataFrame([(x,) for x in ("BELOW", "ABOVE", "IN_RANGE", "STALE", "NO_DATA", "CALIBRATING")], "s string")
+    flags = lambda k: [r[0] for r in df.select(m.concern(F.col("s"), k)).collect()]
+    assert flags("rhr") == flags("respiratory") == [False, True, False, None, None, None] and flags("spo2") == [True, False, False, None, None, None]
 
 
 def test_cusum(spark):
@@ -216,6 +297,16 @@ def test_cusum(spark):
     assert {r["state"] for r in gap.filter(F.col("day").between(D0 + 33, D0 + 40)).collect()} == {"UNEVALUATED"}
 
 
+@pytest.mark.parametrize("cut", [5, 31, 33, 40])
+def test_change_points_go_on_from_a_token(spark, cut):
+    series = [55 + 2 * math.sin(i) for i in range(30)] + [65] * 5 + [55] * 12
+    z = m.cusum_z(frame(spark, series), "sid", "v")
+    whole = m.cusum_fold(z, "sid")
+    token = whole.filter(F.col("day") < D0 + cut).groupBy("sid").agg(F.max_by(F.struct("total", "alarms", "calm", "last"), "day").alias("x")).select("sid", "x.*")
+    rest = m.cusum_fold(z.filter(F.col("day") >= D0 + cut), "sid", start=token)
+    assert rows(rest, "day", "state", "total", "alarms", "calm", "last") == rows(whole.filter(F.col("day") >= D0 + cut), "day", "state", "total", "alarms", "calm", "last")
+
+
 # features
 
 
@@ -228,13 +319,20 @@ def night_inputs(spark, stages):
     return f.nightly(s, st_, hr, rhr, o2)
 
 
+def table(spark, nights, *dailies):
+    from signalframe.plans import metric_table as t
+
+    days = spark.createDataFrame(list(dailies), "sid string, day bigint, rhr double, steps bigint, stress_median double, fingerprint string")
+    return t.metric_table(nights, days, spark.createDataFrame([], "sid string, field string, value double, effective_from bigint, effective_to bigint"))
+
+
 WHOLE = [("deep", 0, 10800), ("light", 10800, 19800), ("awake", 19800, 21600), ("rem", 21600, 28800)]
 
 
 def test_nightly_feature(spark):
     n = night_inputs(spark, WHOLE).first()
     assert (n["source_record_id"], n["tib"], n["tst"], n["efficiency"], n["waso"], n["awakenings"], n["night_rhr"], n["hr_minutes"], n["rhr"], n["spo2_mean"], n["respiratory"], n["flags"]) == ("n1", 480.0, 450.0, 93.75, 30.0, [30.0], 60.0, 480, 55.0, 97.0, 16.0, "VENDOR_DERIVED")
-    got = {r["metric"]: (r["value"], r["status"]) for r in f.night_metrics(night_inputs(spark, WHOLE)).collect()}
+    got = {r["metric"]: (r["value"], r["status"]) for r in table(spark, night_inputs(spark, WHOLE)).collect()}
     assert got["sleep.efficiency_pct"] == (93.75, "VALID") and got["respiratory.nightly_mean"] == (16.0, "REDUCED") and got["sleep.deep_pct"] == (40.0, "VALID") and got["rhr.vendor_daily"] == (55.0, "VALID")
 
 
@@ -248,5 +346,20 @@ def test_daily_feature(spark):
     days = spark.createDataFrame([("s", 0, 0), ("s", 1, 5)], "sid string, day bigint, steps bigint")
     hr = spark.createDataFrame([("s", 0, 0, 60.0), ("s", 0, 30, 61.0), ("s", 0, 600, 60.0), ("s", 0, 900, 300.0)], "sid string, day bigint, ts bigint, bpm double")
     stress = spark.createDataFrame([("s", 0, 0, 12.0)], "sid string, day bigint, ts bigint, value double")
-    got = {r["day"]: (r["steps"], r["hr_minutes"], r["hr_max_gap_min"], r["stress_median"], r["stress_p10"], r["distance"]) for r in f.daily(days, hr, stress).collect()}
-    assert got == {0: (0, 2, 10, 12.0, 12.0, None), 1: (5, 0, None, None, None, None)}
+    o2 = spark.createDataFrame([("s", 0, t, v) for t, v in ((0, 97.0), (5, 96.0), (70, 95.0), (80, 0.0), (90, 101.0))], "sid string, day bigint, ts bigint, value double")
+    got = {r["day"]: (r["steps"], r["hr_minutes"], r["hr_max_gap_min"], r["stress_median"], r["stress_p10"], r["distance"], r["spo2_samples"], r["spo2_minutes"]) for r in f.daily(days, hr, stress, o2).collect()}
+    assert got == {0: (0, 2, 10, 12.0, 12.0, None, 3, 2), 1: (5, 0, None, None, None, None, 0, 0)}
+
+
+def test_every_metric_is_in_the_table(spark):
+    nights = night_inputs(spark, WHOLE)
+    t = table(spark, nights, ("s", 0, 55.0, 100, 12.0, "x"))
+    names = {r["metric"] for r in t.collect()}
+    assert len(names) == 57 == t.count() and {"trend.stress_vendor.90d.theilsen", "health_signal.physiological_watch", "anomaly.rhr_cusum", "sleep.regularity"} <= names
+    assert table(spark, nights).count() == 57 - 9 - 3  # no daily series: no trends of three, no baseline of one
+    assert t.filter("n_inputs > 0 and (inputs_hash is null or last_input is null)").count() == 0 and t.filter("length(metadata) >= 500").count() == 0
+
+
+def test_fingerprints_follow_the_inputs(spark):
+    a, b = night_inputs(spark, WHOLE).first(), night_inputs(spark, WHOLE[:-1]).first()
+    assert a["fingerprint"] == night_inputs(spark, WHOLE).first()["fingerprint"] != b["fingerprint"] and a["n_sources"] == 1 + 4 + 481 + 48

@@ -16,7 +16,7 @@ from signalframe.sources import profile as p
 from signalframe.sources.adapter import TableSource
 from signalframe.streaming import ingest
 
-RAW = "source_record_id string, source_table string, key string, time bigint, time_zero bigint, zone_offset bigint, value string"
+RAW = "sid string, source_record_id string, source_table string, key string, time bigint, time_zero bigint, zone_offset bigint, value string"
 
 
 @pytest.fixture
@@ -35,57 +35,124 @@ def export(tmp_path):
     return tmp_path
 
 
-def test_discovery_and_fingerprints(export):
-    found = d.discover(export)
-    assert len(found) == 3 and len(d.discover(export, skip_conflicts=True)) == 2
-    a = d.fingerprint(found[1])
-    assert a == d.fingerprint(found[1]) and set(d.manifest(found[1])) == {found[1].name}
-    with pytest.raises(FileNotFoundError):
-        d.discover(export / "nothing")
+def test_discovery_and_fingerprints(spark, export):
+    found = d.discover(spark, export)
+    assert found.count() == 3 and rows(d.discover(spark, export, skip_conflicts=True), "relative_path") == [("DataBase/7/cn/7.db",), ("DataBase/7/ru/7.db",)]
+    once, again = (rows(d.fingerprints(found), "path", "quick", "manifest") for _ in "ab")
+    assert once == again and len({q for _, q, _ in once}) == 3
+    (export / "DataBase/7/ru/7.db-wal").write_bytes(b"x")
+    after = rows(d.fingerprints(found), "path", "quick", "manifest")
+    assert [a == b for a, b in zip(once, after, strict=True)] == [True, True, False]
+    for nothing in (export / "nothing", export / "DataBase"):
+        with pytest.raises(FileNotFoundError):
+            d.discover(spark, nothing)
+
+
+def test_snapshots(spark, export, tmp_path):
+    dbs = d.discover(spark, export)
+    got = {x["relative_path"]: x for x in d.snapshots(dbs, tmp_path / "copies").collect()}
+    assert sqlite3.connect(got["DataBase/7/cn/7.db"]["snapshot"]).execute("select count(*) from heart_rate").fetchone() == (3,)
+    waits, left = [], [d.SourceBusy("a"), OSError("b"), None]
+
+    def action():
+        e = left.pop(0)
+        if e:
+            raise e
+
+    d.tried(action, wait=waits.append)
+    assert waits == [1.0, 2.0]
+    with pytest.raises(d.SourceBusy):
+        d.tried(lambda: (_ for _ in ()).throw(sqlite3.DatabaseError("always")), wait=waits.append)
+    assert waits == [1.0, 2.0, 1.0, 2.0, 3.0]
 
 
-def test_snapshot(export, monkeypatch):
-    db = d.discover(export, skip_conflicts=True)[0]
-    copy = d.snapshot(db, export / "work")
-    assert sqlite3.connect(copy).execute("select count(*) from heart_rate").fetchone() == (3,)
-    waits, ticks = [], iter(range(100))
-    monkeypatch.setattr(d, "fingerprint", lambda _: str(next(ticks)))
+def test_a_copy_of_what_changes_is_refused(export, tmp_path, monkeypatch):
+    ticks = iter(range(100))
+    monkeypatch.setattr(d, "_group_hash", lambda *_: str(next(ticks)))
     with pytest.raises(d.SourceBusy):
-        d.snapshot(db, export / "work2", pause=waits.append)
-    assert waits == [1.0, 2.0, 3.0]
+        d._copied(str(export / "DataBase/7/cn/7.db"), tmp_path / "copy.sqlite")
+    assert list(tmp_path.glob("*.sqlite*")) == [] and not (tmp_path / "copy.sqlite").exists()
 
 
 def test_catalog_and_scan(spark, export):
-    dbs = d.discover(export, skip_conflicts=True)
-    c = d.catalog(spark, dbs)
+    dbs = d.discover(spark, export, skip_conflicts=True)
+    c = d.catalog(d.columns_of(dbs))
     assert rows(c.groupBy("table_name").agg(F.bool_and("relevant"), F.bool_and("health_store"))) == [("heart_rate", True, True), ("notes", False, True), ("sleep", True, True), ("steps", True, True)]
+    odd = spark.createDataFrame([("p", t, c, 0) for t, c in (("pai", "a"), ("x", "last_rmssd_ms"), ("x", "b"), ("plain", "b"), ("MyStepLog", "b"))], "path string, table_name string, column_name string, position int")
+    assert rows(d.catalog(odd).select("table_name", "relevant", "health_store").distinct()) == [("MyStepLog", True, False), ("pai", True, False), ("plain", False, False), ("x", True, False)]
     schema = StructType().add("sid", "string").add("time", "long").add("value", "string").add("absent", "double")
-    assert d.scan(spark, dbs, "heart_rate", schema).count() == 6
-    assert rows(d.scan(spark, dbs, "heart_rate", schema, cutoff=150), "time", "absent") == [(200, None), (200, None)]
-    assert d.scan(spark, dbs, "nothing", schema).count() == 0
-
-
-def test_profile(spark, tmp_path):
-    at = tmp_path / "p.json"
+    assert d.scan(dbs, "heart_rate", schema).count() == 6
+    assert rows(d.scan(dbs, "heart_rate", schema, cutoff=150), "time", "absent") == [(200, None), (200, None)]
+    assert d.scan(dbs, "nothing", schema).count() == 0
+
+
+def test_raw_records(spark, export):
+    dbs = d.discover(spark, export, skip_conflicts=True).withColumn("cutoff", F.lit(None).cast("bigint"))
+    c = d.catalog(d.columns_of(dbs))
+    x = d.records(dbs, c)
+    assert x.count() == 6 and x.select("source_record_id").distinct().count() == 3 and x.select("content").distinct().count() == 5  # regions share records, not contents
+    assert rows(d.records(dbs.withColumn("cutoff", F.lit(150)), c), "time") == [(200,), (200,)]
+    row = {"sid": "d", "time": 5, "value": '{ "b": 1,"a": [2]}', "extra": None, "blob": b"xyz"}
+    one = d.raw_record("heart_rate", row, [])
+    assert json.loads(one[2]) == {"sid": "d", "time": 5} and one[9] == '{"a":[2],"b":1}' and set(json.loads(one[10])) == {"extra", "blob"} and one[12][0]["data"] == b"xyz"
+    assert one[1] == d.raw_record("heart_rate", row | {"extra": 1}, [])[1] and one[11] != d.raw_record("heart_rate", row | {"extra": 1}, [])[11]
+    assert one[11] == d.raw_record("heart_rate", row | {"value": '{"a":[2],"b":1}'}, [])[11] != d.raw_record("heart_rate", row | {"blob": b"xyzz"}, [])[11]
+    assert json.loads(d.raw_record("t", {"a": 1, "b": b"x"}, [])[2]) == {"a": 1} and json.loads(d.raw_record("t", {"a": 1, "c": 2}, ["c"])[2]) == {"c": 2}
+
+
+def test_profiles(spark, tmp_path):
     entry = {"field": "sleep_target_min", "value": 450, "effective_from": "2025-01-01", "effective_to": "2025-02-01"}
-    at.write_text(json.dumps({"schema_version": 1, "values": [entry]}))
-    entries, revision = p.load_profile(at)
-    assert p.profile_frame(spark, entries).count() == 1 and revision != p.load_profile(None)[1]
-    for bad in ({"value": 0}, {"field": "shoe"}, {"effective_to": "2024-01-01"}, {"value": True}, {"field": "timezone", "value": "No/Where"}):
-        at.write_text(json.dumps({"schema_version": 1, "values": [entry | bad]}))
-        with pytest.raises((ValueError, KeyError)):
-            p.load_profile(at)
-    at.write_text(json.dumps({"schema_version": 1, "values": [entry, entry | {"effective_from": "2025-02-01"}]}))
-    with pytest.raises(ValueError):
-        p.load_profile(at)
-
-
-def test_text_table():
-    row = "| #1a Name | p | a | r | v | c | OK | m | n |"
-    assert p.text_table(["x", row], {"OK"})[0]["metric"] == "Name"
-    for bad in ([row, row], [row.replace("OK", "NO")], ["| #x | 2 |"]):
-        with pytest.raises(ValueError):
-            p.text_table(bad, {"OK"})
+    zones = ["Europe/Berlin", "UTC"]
+
+    def read(*entries, **more):
+        at = tmp_path / f"{len(list(tmp_path.iterdir()))}.json"
+        at.write_text(json.dumps({"schema_version": 1, "sid": "s", "values": list(entries)} | more))
+        return p.read_profiles(spark, str(at))
+
+    good = read(entry, entry | {"effective_from": "2025-02-02", "effective_to": None}, {"field": "timezone", "value": "UTC", "effective_from": "2025-01-01"}, {"field": "sex", "value": "x", "effective_from": "2025-01-01"})
+    assert rows(p.numbers(p.checked(good, zones)), "sid", "value", "effective_from", "effective_to") == [("s", 450.0, 20089, 20120), ("s", 450.0, 20121, None)]
+    assert read().count() == 0 and p.revision(read()) != p.revision(good) == p.revision(good.repartition(3))
+    for bad in ({"value": 0}, {"value": -1}, {"field": "shoe"}, {"effective_to": "2024-01-01"}, {"effective_to": "soon"}, {"value": True}, {"value": "450"}, {"value": None}, {"field": "timezone", "value": "No/Where"}, {"field": "date_of_birth", "value": "1.1.1970"}, {"effective_from": None}):
+        assert p.problems(read(entry | bad), zones).count() == 1, bad
+        with pytest.raises(p.BadProfile):
+            p.checked(read(entry | bad), zones)
+    assert rows(p.problems(read(entry, entry | {"effective_from": "2025-02-01"}), zones), "problem") == [("overlaps another",)]
+    assert rows(p.problems(read(entry | {"effective_to": None}, entry | {"effective_from": "2025-01-02", "effective_to": "2025-01-03"}, entry | {"effective_from": "2025-03-01"}), zones), "problem") == [("overlaps another",)] * 2
+    assert p.problems(read(entry, schema_version=2), zones).count() > 0
+
+
+def test_text_table(spark):
+    row = "| #1a Name of it | p | a | r | v | c | OK | m | n |"
+    lines = lambda *x: spark.createDataFrame([(y,) for y in x], "value string")
+    assert rows(p.text_table(lines("x", "| a | b |", row, row.replace("1a", "2")), {"OK"}), "id", "metric", "status", "notes") == [("1a", "Name of it", "OK", "n"), ("2", "Name of it", "OK", "n")]
+    for bad in ([row, row], [row.replace("OK", "NO")], ["| #x | 2 |"], [row.replace("#1a", "#a1")]):
+        with pytest.raises(Exception):  # noqa: B017
+            p.text_table(lines(*bad), {"OK"}).collect()
+
+
+def test_canonical_text(spark):
+    from signalframe.functions import identity as i
+
+    df = spark.sql("select named_struct('b', array(1, null), 'a', map('y', 1.5D, 'x', null)) as s, cast('ab' as binary) as blob, 'say \"hi\"' as t, date '2025-01-02' as d, cast(null as int) as n, true as flag")
+    got = df.select(*[i.canonical_text(F.col(c), df.schema[c].dataType).alias(c) for c in df.columns]).first()
+    assert (got["s"], got["t"], got["d"], got["n"], got["flag"]) == ('{"a":{"x":null,"y":1.5000000000000000},"b":[1,null]}', '"say \\"hi\\""', '"2025-01-02"', "null", "true") and got["blob"].startswith('{"length":2,')
+    for odd in ("nan", "inf"):
+        with pytest.raises(Exception):  # noqa: B017
+            spark.createDataFrame([(float(odd),)], "x double").select(i.canonical_text(F.col("x"), df.schema["s"].dataType["a"].dataType.valueType)).collect()
+
+
+def test_record_in_three_and_its_hash(spark):
+    from signalframe.functions import identity as i
+
+    schema = "sid string, time bigint, value string, extra int, blob binary"
+    rows_ = [("d", 5, '{"b": 1, "a": 2}', 7, bytearray(b"x")), ("d", 5, '{"a":2,"b":1}', 7, bytearray(b"x")), ("d", 5, "{broken", 7, None), ("d", 5, '{"a":2,"b":1}', 8, bytearray(b"x"))]
+    df = spark.createDataFrame(rows_, schema)
+    split = df.select(*[c.alias(k) for k, c in i.split_record(df.schema).items()]).collect()
+    assert split[0]["value_json"] == split[1]["value_json"] == '{"a":2,"b":1}' and split[2]["value_json"] == "{broken" and [len(x["blobs"]) for x in split] == [1, 1, 0, 1]
+    assert json.loads(split[0]["scalars"])["extra"] == 7 and set(json.loads(split[0]["scalars"])) == {"extra", "blob"}
+    h = [x[0] for x in df.select(i.content_hash(df.schema)).collect()]
+    assert h[0] == h[1] and len(set(h)) == 3
+    assert i.key_columns(df.schema) == ["sid", "time"] and i.key_columns(df.schema, ["extra"]) == ["extra"] and i.key_columns(df.select("extra", "blob").schema) == ["extra"]
 
 
 def test_adapter(spark):
@@ -101,7 +168,7 @@ def test_adapter(spark):
 
 
 def raw(spark, *records):
-    return spark.createDataFrame([(f"r{i}", t, k, at, None, off, json.dumps(v) if not isinstance(v, str) else v) for i, (t, k, at, off, v) in enumerate(records)], RAW)
+    return spark.createDataFrame([("d", f"r{i}", t, k, at, None, off, json.dumps(v) if not isinstance(v, str) else v) for i, (t, k, at, off, v) in enumerate(records)], RAW)
 
 
 def test_samples(spark):
@@ -139,6 +206,15 @@ def test_flatten(spark):
     assert got == [("a", 1.0, None), ("b.c", 1.0, None), ("b.d.e.f", 5.0, None), ("n", None, None), ("s", None, "t")]
 
 
+def test_saturation_and_stage_quality(spark):
+    v = spark.createDataFrame([(None,), (0.0,), (-1.0,), (97.0,), (100.5,)], "v double")
+    assert [x[0] for x in v.select(n.saturation_quality(F.col("v"))).collect()] == ["MISSING", "SENTINEL,INVALID", "SENTINEL,INVALID", "VALID", "INVALID"]
+    g = spark.createDataFrame([(2,), (9,), (None,)], "c int")
+    assert [tuple(x) for x in g.select(n.stage_name(F.col("c")), n.stage_flags(F.col("c"))).collect()] == [("deep", "VENDOR_DERIVED"), ("unknown", "UNKNOWN_SEMANTICS,VENDOR_DERIVED"), ("unknown", "UNKNOWN_SEMANTICS,VENDOR_DERIVED")]
+    x = raw(spark, ("vitality", "", 1, 0, {"a": 1}), ("heart_rate", "heart_rate", 1, 0, {"bpm": 60}))
+    assert rows(n.derived_metrics(x), "sid", "source_table", "field_path") == [("d", "vitality", "a")]
+
+
 # reconciliation
 
 COPIES = "physical_record_id string, logical_record_id string, source_db_id bigint, source_timestamp bigint, local_date string, value_json string, status string, content string"
@@ -158,6 +234,11 @@ def test_versions_and_missing(spark):
     seen = spark.createDataFrame([("p", 1, i, c, st) for i, (c, st) in enumerate([("x", "ACTIVE"), ("x", "ACTIVE"), ("y", "ACTIVE"), ("y", "MISSING"), ("y", "ACTIVE")])] + [("q", 1, 3, "z", "ACTIVE")], "physical_record_id string, source_db_id int, scanned int, content string, status string")
     assert [(x["content"], x["status"], x["active_from"], x["active_to"]) for x in r.versions(seen).filter("physical_record_id = 'p'").orderBy("active_from").collect()] == [("x", "ACTIVE", 0, 2), ("y", "ACTIVE", 2, 3), ("y", "MISSING", 3, 4), ("y", "ACTIVE", 4, None)]
     assert rows(r.missing(seen), "physical_record_id") == [("q",)]
+    state = lambda *data: spark.createDataFrame(data, "physical_record_id string, content string, status string")
+    none = spark.createDataFrame([], "physical_record_id string, content string, status string, active_from string, active_to string")
+    a, b = state(("p", "x", "ACTIVE"), ("q", "y", "ACTIVE")), state(("p", "x", "ACTIVE"), ("q", "y", "MISSING"), ("r", "z", "ACTIVE"))
+    h = r.extend_history(r.extend_history(none, r.state_changes(a, a.limit(0)), "t1"), r.state_changes(b, a), "t2")
+    assert rows(h) == [("p", "x", "ACTIVE", "t1", None), ("q", "y", "ACTIVE", "t1", "t2"), ("q", "y", "MISSING", "t2", None), ("r", "z", "ACTIVE", "t2", None)]
 
 
 def test_change_log_and_mirror(spark):
@@ -182,10 +263,20 @@ def test_publish_state_and_log(spark, tmp_path):
     assert rows(st.table("t")) == [(1,)]
     st.update_state(digest="x")
     assert s.unchanged(st.state(), digest="x") and not s.unchanged(st.state(), digest="y") and not s.unchanged(st.state())
+    at = lambda h: f"2025-01-0{1 + h // 24}T{h % 24:02}:00:00+00:00"
+    assert s.unchanged(st.state(), deep_at=at(0), now=at(23), digest="x") and not s.unchanged(st.state(), deep_at=at(0), now=at(24), digest="x") and not s.unchanged(st.state(), now=at(0), digest="x")
     st.log_run("r1", "RUNNING", "t0")
     st.log_run("r1", "FAILED", "t0", "t1", "why")
     assert rows(st.runs(), "run_id", "status") == [("r1", "FAILED")]
-    s.write_json(tmp_path / "state.json", {"schema_version": 99})
+    for k in range(3):
+        st.publish("t", spark.createDataFrame([(k,)], "a int"))
+    assert rows(st.table("t")) == [(2,)] and len([x for x in (tmp_path / "t").iterdir() if x.name.startswith("v-")]) == 2  # one version is kept for reads that go on
+    with st.lock("x"), pytest.raises(RuntimeError), st.lock("x"):
+        pass
+    with st.lock("x"):
+        pass
+    (tmp_path / "state.json").write_text('{"schema_version": 99}')
+    (tmp_path / ".state.json.crc").unlink(missing_ok=True)
     with pytest.raises(ValueError):
         s.Store(spark, str(tmp_path))
 
@@ -224,14 +315,26 @@ def test_incremental_equals_full(spark):
 
 
 def test_stream_equals_batch(spark, tmp_path):
-    x = raw(spark, *[("heart_rate", "heart_rate", 100 + i % 5, 0, {"bpm": 60 + i}) for i in range(20)])
+    x = raw(spark, *[("heart_rate", "heart_rate", 100 + 86400 * (i % 3), 0, {"bpm": 60 + i}) for i in range(20)])
     for part in range(2):
         x.filter(F.expr(f"crc32(source_record_id) % 2 = {part}")).write.mode("append").parquet(str(tmp_path / "in"))
     x.limit(5).write.mode("append").parquet(str(tmp_path / "in"))  # delivered again
     st = s.Store(spark, str(tmp_path / "store"))
     stream = ingest.read_raw(spark, str(tmp_path / "in"), RAW, files_per_batch=1)
-    ingest.normalize_into(stream, st, "hr", lambda b: n.samples(b, "heart_rate"), ["source_record_id"], str(tmp_path / "cp")).awaitTermination()
-    assert rows(st.table("hr"), "source_record_id", "bpm") == rows(n.samples(x, "heart_rate"), "source_record_id", "bpm")
+    ingest.normalize_into(stream, st, "hr", lambda b: n.samples(b, "heart_rate"), ["source_record_id"], str(tmp_path / "cp"), part="local_date").awaitTermination()
+    assert rows(st.parts("hr", "a int"), "source_record_id", "bpm") == rows(n.samples(x, "heart_rate"), "source_record_id", "bpm")
+
+
+def test_only_touched_parts_are_rewritten(spark, tmp_path):
+    st = s.Store(spark, str(tmp_path))
+    f = lambda *data: spark.createDataFrame(data, "k int, v int, day string")
+    st.merge_parts("t", f((1, 1, "2025-01-01"), (2, 2, "2025-01-02"), (3, 3, None)), ["k"], "day")
+    before = st._json("t/parts.json")["parts"]
+    st.merge_parts("t", f((2, 9, "2025-01-02"), (4, 4, "2025-01-02")), ["k"], "day")
+    after = st._json("t/parts.json")["parts"]
+    assert rows(st.parts("t", "k int"), "k", "v") == [(1, 1), (2, 9), (3, 3), (4, 4)] and {p for p in before if before[p] != after[p]} == {"2025-01-02"}
+    st.merge_parts("t", f((2, 9, "2025-01-02")), ["k"], "day")
+    assert st.parts("t", "k int").count() == 4 and st.parts("none", "k int").count() == 0
 
 
 def test_windowed_rates(spark, tmp_path):

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Consistency factor of the median absolute deviation; EWMA weight over 30 days.
@@ -65,6 +65,17 @@ def circular_sd(minutes: Column, mean: Column, of: float = 1440.0) -> Column:
     return array_sd(F.transform(minutes, lambda m: F.pmod(m.cast("double") - mean + of / 2, F.lit(of)) - of / 2))
 
 
+def nearest_ranks(df: DataFrame, by: list[str], value: str, percents: tuple[int, ...]) -> DataFrame:
+    """(by..., n, p, value): nearest-rank quantiles; ranks are rounded half to even. Null values don't count.
+
+    Counted by value before any order: what is sorted are the different values of a group.
+    """
+    w = Window.partitionBy(*by)
+    r = df.filter(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("value")).agg(F.count("*").alias("__c")).withColumns({"__upto": F.sum("__c").over(w.orderBy("value")), "n": F.sum("__c").over(w)})
+    p = r.withColumn("p", F.explode(F.array(*map(F.lit, percents)))).withColumn("__i", F.rint((F.col("n") - 1) * F.col("p") / 100.0).cast("bigint"))
+    return p.filter((F.col("__i") < F.col("__upto")) & (F.col("__i") >= F.col("__upto") - F.col("__c"))).select(*by, "n", "p", "value")
+
+
 #: Windows whose slopes are found together: about 30 MB for 90 days.
 WINDOWS_AT_ONCE = 256
 

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 
 from ..functions import clock, identity, numeric
 from ..operators.joins import as_of, effective, interval_join
-from ..operators.statistics import MAD_SCALE, percentile
+from ..operators.statistics import MAD_SCALE, nearest_ranks, percentile
 from ..operators.windows import runs, trailing_sum, with_next, with_previous
 from .common import DAYS, HR, NIGHTS, SLEEP, DataFrame, F, SparkSession, days, instants, nights, registry, samples, sessions, table
 from .feature_queries import PROF, profiles
@@ -67,24 +67,13 @@ def src_daily_activity(spark: SparkSession, d: str) -> DataFrame:
     return days(spark, d).select("sid", "day", "steps", "calories", "active", "stands", "rhr", F.lit(None).cast("double").alias("distance"))
 
 
-@query("select count(*)::bigint as n_sources, sha256(string_agg(coalesce(last_fingerprint, '?'), ',' order by source_key)) as generation from source_databases")
+@query("select n_sources, sha256(last_run || chr(0) || policy || chr(0) || prints) as generation from (select count(*)::bigint as n_sources, string_agg(coalesce(last_fingerprint, '?'), ',' order by source_key) as prints from source_databases), (select arg_max(generation_id, (scanned_at, generation_id)) as last_run, arg_max(conflict_policy_version, (scanned_at, generation_id)) as policy from source_generations)")
 def src_generation(spark: SparkSession, d: str) -> DataFrame:
-    """SRC-20, REC-11: a generation is the hash of the fingerprints of all sources in order."""
+    """SRC-20, REC-11: a generation is the hash of the last run, its policy, and the fingerprints of all sources in order."""
     prints = F.transform(F.array_sort(F.collect_list(F.struct("source_key", F.coalesce("last_fingerprint", F.lit("?")).alias("f")))), lambda x: x["f"])
-    return table(spark, d, "source_databases").agg(F.count("*").alias("n_sources"), F.sha2(F.concat_ws(",", prints), 256).alias("generation"))
-
-
-@query()
-def src_catalog(spark: SparkSession, d: str) -> DataFrame:
-    """SRC-06, SRC-07, SRC-08: columns of every table, whether a table is one of health data, and whether the store is."""
-    names = ("heart_rate", "sleep_sessions", "daily_summary", "physical_records", "source_databases", "source_generations")
-    rows = [(n, f.name, f.dataType.simpleString(), i) for n in names for i, f in enumerate(table(spark, d, n).schema.fields)]
-    c = spark.createDataFrame(rows, "table_name string, column_name string, column_type string, position int")
-    relevant = F.col("table_name").isin("heart_rate", "sleep_sessions", "daily_summary") | F.col("table_name").rlike("heart|sleep|step|spo2|stress") | F.col("column_name").rlike("bpm|sleep|steps|spo2|stress")
-    anchors = F.array(*map(F.lit, ("heart_rate", "sleep_sessions", "daily_summary", "spo2", "stress")))
-    whole = Window.partitionBy(F.lit(0))
-    c = c.withColumn("relevant", F.max(relevant).over(Window.partitionBy("table_name")))
-    return c.withColumn("health_store", F.size(F.array_intersect(F.collect_set("table_name").over(whole), anchors)) >= 3)
+    sources = table(spark, d, "source_databases").agg(F.count("*").alias("n_sources"), F.concat_ws(",", prints).alias("prints"))
+    last = table(spark, d, "source_generations").agg(F.max(F.struct("scanned_at", "generation_id", "conflict_policy_version")).alias("r"))
+    return sources.join(F.broadcast(last), F.lit(True)).select("n_sources", F.sha2(F.concat_ws("\u0000", "r.generation_id", "r.conflict_policy_version", "prints"), 256).alias("generation"))  # one row each
 
 
 @query("select * from (values " + ", ".join(f"('{k}', {str(s).lower()}, {'null' if o is None else repr(o)}, {'null' if r is None else r})" for k, s, o, r in CAPABILITIES) + ") c(kind, supported, origin, resolution_s)")
@@ -217,11 +206,7 @@ def agg_having_bins(spark: SparkSession, d: str) -> DataFrame:
 )
 def agg_nearest_rank(spark: SparkSession, d: str) -> DataFrame:
     """AGG-16: nearest-rank quantiles; ranks are rounded half to even."""
-    # counted by value before any order: what is sorted are the different values of a device
-    w = Window.partitionBy("sid")
-    r = samples(spark, d).filter("bpm is not null").groupBy("sid", "bpm").agg(F.count("*").alias("c")).withColumns({"upto": F.sum("c").over(w.orderBy("bpm")), "n": F.sum("c").over(w)})
-    p = r.withColumn("p", F.explode(F.array(*map(F.lit, (10, 25, 50, 75, 90, 95, 99))))).withColumn("i", F.rint((F.col("n") - 1) * F.col("p") / 100.0).cast("bigint"))
-    return p.filter((F.col("i") < F.col("upto")) & (F.col("i") >= F.col("upto") - F.col("c"))).select("sid", "p", F.col("bpm").alias("value"))
+    return nearest_ranks(samples(spark, d).select("sid", "bpm"), ["sid"], "bpm", (10, 25, 50, 75, 90, 95, 99)).drop("n")
 
 
 @query(

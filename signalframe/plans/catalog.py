@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from types import SimpleNamespace
 
-from . import basics, feature_queries, metric_queries, normalize_queries, problems, problems_sql, reconcile_queries
+from . import basics, feature_queries, metric_queries, normalize_queries, problems, problems_sql, reconcile_queries, store_queries
 
-MODULES = (SimpleNamespace(QUERIES=problems.QUERIES, SQL=problems_sql.SQL), basics, metric_queries, normalize_queries, reconcile_queries, feature_queries)
+MODULES = (SimpleNamespace(QUERIES=problems.QUERIES, SQL=problems_sql.SQL), basics, metric_queries, normalize_queries, reconcile_queries, feature_queries, store_queries)
 
 
 def queries() -> dict:

@@ -6,6 +6,7 @@ import json
 import math
 import re
 from collections.abc import Iterator
+from contextlib import suppress
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -14,26 +15,29 @@ from pyspark.sql import functions as F
 _SCHEMA = pa.schema([("path", pa.string()), ("kind", pa.string()), ("n", pa.int64()), ("lowest", pa.float64()), ("highest", pa.float64())])
 
 
-def walk(value, path: str = "") -> Iterator[tuple[str, object]]:
-    """(path, scalar) of everything inside; array items share the path ``[]``."""
-    stack = [(path, value)]
+def walk(value) -> Iterator[tuple[str, object]]:
+    """(path, value) of every field inside, containers too; items of arrays share the path ``[]``, JSON in texts ``{json}``."""
+    stack = [("", value)]
     while stack:
         at, v = stack.pop()
         if isinstance(v, str) and v[:1] in "{[":
-            try:
-                v = json.loads(v)
-            except (ValueError, RecursionError):
-                pass
-        if isinstance(v, dict):
-            stack += [(f"{at}.{k}" if at else k, x) for k, x in v.items()]
+            with suppress(ValueError, RecursionError):
+                stack.append((at + "{json}", json.loads(v)))
+        elif isinstance(v, dict):
+            for k, x in v.items():
+                path = f"{at}.{k}" if at else k
+                yield path, x
+                if isinstance(x, (dict, list)) or (isinstance(x, str) and x):
+                    stack.append((path, x))
         elif isinstance(v, list):
-            stack += [(f"{at}[]", x) for x in v]
-        else:
-            yield at, v
+            stack += [(f"{at}[]", x) for x in v if isinstance(x, (dict, list)) or (isinstance(x, str) and x)]
+
+
+KINDS = {bool: "boolean", int: "number", float: "number", str: "string", dict: "object", list: "array"}
 
 
 def json_keys(df: DataFrame, text: str, pattern: str = "") -> DataFrame:
-    """(path, kind, n, lowest, highest) of the scalars whose path matches, over all texts; broken texts have none.
+    """(path, kind, n, lowest, highest) of the fields whose path matches, over all texts; broken texts have none.
 
     Counted within each batch before the shuffle: what is sent on are key names, not values.
     """
@@ -51,10 +55,10 @@ def json_keys(df: DataFrame, text: str, pattern: str = "") -> DataFrame:
                     continue
                 for path, x in walk(v):
                     if wanted(path):
-                        kind = {bool: "boolean", int: "number", float: "number", str: "string"}.get(type(x), "null")
+                        kind = KINDS.get(type(x), "null")
                         e = found.setdefault((path, kind), [0, math.inf, -math.inf])
                         e[0] += 1
-                        if kind == "number":
+                        if kind == "number" and math.isfinite(x):
                             e[1], e[2] = min(e[1], x), max(e[2], x)
             rows = [(p, k, n, a if a <= z else None, z if a <= z else None) for (p, k), (n, a, z) in found.items()]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(_SCHEMA)], schema=_SCHEMA)

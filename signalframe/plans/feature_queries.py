@@ -9,6 +9,7 @@ from . import metric_table as t
 from . import normalize as n
 from .common import DataFrame, F, SparkSession, registry
 from .export import EXPORT_CTES, export, from_days, from_readings, from_sessions
+from .status import overview
 
 QUERIES, SQL, query = registry()
 #: Readings here come every five minutes: the lowest mean is that of two hours, with at least twelve minutes measured.
@@ -299,3 +300,26 @@ SQL["met_table"] = (
 def src_export(spark: SparkSession, d: str) -> DataFrame:
     """SRC-18: raw records of all kinds."""
     return export(spark, d).groupBy("source_table").agg(F.count("*").alias("n"))
+
+
+AS_OF = 1754006400  # 2025-08-01
+
+
+def sta_overview(spark: SparkSession, d: str) -> DataFrame:
+    """STA-01, STA-02, STA-04, AGG-18, SRT-02: of each device the last night, its freshness, headlines, anomalies and signals."""
+    nights, dailies = materialize(night_features(spark, d, **RATE)), materialize(day_features(spark, d))
+    x = overview(t.metric_table(nights, dailies, profiles(spark, d)), nights, F.lit(AS_OF // 86400), F.lit(AS_OF + 43200))
+    return x.select("sid", "last_night", "freshness", "need_min", "recovery", "recovery_day", "recovery_status", F.concat_ws(",", "active_anomalies").alias("active_anomalies"), "latest_anomaly_day", F.concat_ws(",", "signals_available").alias("signals_available"))
+
+
+QUERIES["sta_overview"] = sta_overview
+SQL["sta_overview"] = (
+    "with recursive " + ", ".join((*FEATURES, *dict.fromkeys(c for cs in FAMILIES.values() for c in cs)))
+    + f""", ln as (select sid, max(day) as last_night, arg_max(t, (day, t)) as last_end, bool_or(rhr is not null) as a, bool_or(spo2_mean is not null) as b, bool_or(respiratory is not null) as c from nf group by 1
+    ), ev as (select sid, day, metric from m_monitoring where value = 1 union all select sid, day, metric from m_cusum where value = 1
+    ), rc as (select sid, arg_max({{'v': value, 's': status, 'd': day}}, day) as r from m_recovery group by 1
+    ), fx as (select *, case when last_night <> {AS_OF // 86400} then 'HISTORICAL' when last_end > {AS_OF + 43200} or {AS_OF + 43200} - last_end > 129600 then 'STALE' else 'FRESH' end as freshness from ln)
+    select fx.sid, last_night, freshness, case when freshness = 'FRESH' then (select any_value(value) from m_sleep n where n.sid = fx.sid and n.day = last_night and metric = 'sleep.need_min') end as need_min, case when freshness = 'FRESH' then rc.r.v end as recovery, rc.r.d as recovery_day, rc.r.s as recovery_status,
+      case when freshness = 'FRESH' then coalesce((select string_agg(metric, ',' order by metric) from ev where ev.sid = fx.sid and ev.day = last_night), '') else '' end as active_anomalies, (select max(day) from ev where ev.sid = fx.sid) as latest_anomaly_day,
+      array_to_string(list_filter([case when a then 'rhr' end, case when b then 'spo2' end, case when c then 'respiratory' end], lambda x: x is not null), ',') as signals_available from fx left join rc on rc.sid = fx.sid"""
+)

@@ -119,6 +119,11 @@ def test_incremental_equals_full(spark, tmp_path, profile):
     after = shown(store)
     assert after != before and max(d for _, d, *_ in set(after) ^ set(before)) > FIRST + 95
     assert {x for x in after if x[0] == "b"} == {x for x in before if x[0] == "b"}
+    from signalframe.plans import status
+
+    x = status.status(store, F.lit(FIRST + 100), F.lit((FIRST + 100) * DAY + 2 * 14400))
+    one = {r["sid"]: r["freshness"] for r in x["overview"].collect()}
+    assert one == {"a": "FRESH", "b": "HISTORICAL"} and x["sanity"].count() == 0 and x["validate"].first()["sleep_sessions"] == 109 and len(json.loads(status.report(**x))) == 7
     revisions = store.table("metric_revisions").count()
     assert revisions >= len(before) and analyze(store, force=True)["full"] and shown(store) == after and store.table("metric_revisions").count() == revisions  # nothing new to keep
 

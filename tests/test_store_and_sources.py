@@ -117,7 +117,7 @@ def test_profiles(spark, tmp_path):
         with pytest.raises(p.BadProfile):
             p.checked(read(entry | bad), zones)
     assert rows(p.problems(read(entry, entry | {"effective_from": "2025-02-01"}), zones), "problem") == [("overlaps another",)]
-    assert rows(p.problems(read(entry | {"effective_to": None}, entry | {"effective_from": "2025-01-02", "effective_to": "2025-01-03"}, entry | {"effective_from": "2025-03-01"}), zones), "problem") == [("overlaps another",)] * 2
+    assert rows(p.problems(read(entry | {"effective_to": None}, entry | {"effective_from": "2025-01-02", "effective_to": "2025-01-03"}, entry | {"effective_from": "2025-03-01", "effective_to": None}), zones), "problem") == [("overlaps another",)] * 2
     assert p.problems(read(entry, schema_version=2), zones).count() > 0
 
 
@@ -373,8 +373,22 @@ def test_json_keys(spark):
     from signalframe.operators.json_profile import json_keys
 
     df = spark.createDataFrame([('{"a": 1, "b": {"c": [1, 2.5, "x"]}, "s": "{\\"in\\": true}"}',), ('{"a": null}',), ("{broken",), (None,), ("7",)], "t string")
-    assert rows(json_keys(df, "t"), "path", "kind", "n") == [("a", "null", 1), ("a", "number", 1), ("b.c[]", "number", 2), ("b.c[]", "string", 1), ("s.in", "boolean", 1)]
-    assert rows(json_keys(df, "t", r"^b"), "path", "highest") == [("b.c[]", None), ("b.c[]", 2.5)]
+    assert rows(json_keys(df, "t"), "path", "kind", "n") == [("a", "null", 1), ("a", "number", 1), ("b", "object", 1), ("b.c", "array", 1), ("s", "string", 1), ("s{json}.in", "boolean", 1)]
+    deep = spark.createDataFrame([('{"l": [{"x": 3}, {"x": 1.5}, "[{\\"y\\": 2}]", 7]}',), ("[" * 500 + "]" * 500,)], "t string")
+    assert rows(json_keys(deep, "t", "x|y"), "path", "n", "lowest", "highest") == [("l[].x", 2, 1.5, 3.0), ("l[]{json}[].y", 1, 2.0, 2.0)]
+
+
+def test_headlines_of_a_subject(spark):
+    from signalframe.plans import status
+
+    day = 20000
+    m = spark.createDataFrame([("a", day, "sleep.score", 80.0, "VALID", "{}"), ("a", day, "sleep.need_min", 450.0, "VALID", "{}"), ("a", day, "sleep.debt_min", None, "CALIBRATING", "{}"), ("a", day, "anomaly.rhr", 1.0, "VALID", "{}"), ("a", day, "anomaly.spo2", 0.0, "VALID", "{}"), ("a", day - 3, "anomaly.spo2", 1.0, "VALID", "{}"), ("a", day, "recovery.score", 70.0, "REDUCED", '{"z_sleep": 0.1}'), ("b", day - 9, "sleep.score", 60.0, "VALID", "{}"), ("b", day - 9, "anomaly.rhr", 1.0, "VALID", "{}")], "sid string, day bigint, metric string, value double, status string, metadata string")
+    nights = spark.createDataFrame([("a", day, day * 86400 + 20000, 60.0, 97.0, None), ("b", day - 9, (day - 9) * 86400 + 20000, 61.0, None, None)], "sid string, day bigint, t bigint, rhr double, spo2_mean double, respiratory double")
+    got = {r["sid"]: r for r in status.overview(m, nights, F.lit(day), F.lit(day * 86400 + 40000)).collect()}
+    a, b = got["a"], got["b"]
+    assert (a["freshness"], a["score"], a["need_min"], a["debt_min"], a["recovery"], a["recovery_status"], a["active_anomalies"], a["latest_anomaly_day"], a["signals_available"]) == ("FRESH", 80.0, 450.0, None, 70.0, "REDUCED", ["anomaly.rhr"], day, ["rhr", "spo2"])
+    assert (b["freshness"], b["score"], b["active_anomalies"], b["latest_anomaly_day"], b["signals_available"]) == ("HISTORICAL", None, None, day - 9, ["rhr"])
+    assert a["sleep_statuses"]["sleep.debt_min"] == "CALIBRATING" and b["sleep_statuses"] == {"sleep.score": "VALID"}
 
 
 def test_guards(spark):

@@ -20,6 +20,14 @@ def local_date(seconds: Column, offset: Column, local_seconds: Column | None = N
     return F.to_date(F.timestamp_seconds(F.when(at.between(-62135596800, 253402300799), at)))
 
 
+def date_at(instant: Column, *, zone: Column | None = None, offset: Column | None = None) -> Column:
+    """Date of an instant (timestamp) in a named zone, else at an offset in seconds; an error where a row has neither."""
+    zoned = F.to_date(F.from_utc_timestamp(instant, zone)) if zone is not None else F.lit(None).cast("date")
+    shifted = F.to_date(F.timestamp_micros(F.unix_micros(instant) + offset.cast("bigint") * 1_000_000)) if offset is not None else F.lit(None).cast("date")
+    date = F.coalesce(zoned, shifted)
+    return F.when(instant.isNull(), F.lit(None).cast("date")).when(date.isNull(), F.raise_error(F.lit("neither a zone nor an offset")).cast("date")).otherwise(date)
+
+
 def sleep_date(end_seconds: Column, offset: Column) -> Column:
     """Local date of the last microsecond before the end: a night that ends at midnight belongs to the day before."""
     return F.to_date(F.timestamp_seconds(end_seconds - 1 + offset))

@@ -26,10 +26,6 @@ def truthy_or(value: Column, other: Column) -> Column:
     return F.coalesce(F.when(value != 0, value), other)
 
 
-def floor_div(a: Column, b: int) -> Column:
-    return F.floor(a / b)
-
-
 def positive(value: Column) -> Column:
     """Null for sentinels: zero and negative values."""
     return F.when(value > 0, value)
@@ -43,7 +39,3 @@ def rounded(value: Column, digits: int = 6) -> Column:
 def logistic(x: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-x))
 
-
-def truncated(x: Column) -> Column:
-    """Toward zero, as an integer."""
-    return x.cast("bigint")

@@ -8,6 +8,7 @@ from ..functions import clock, identity, numeric
 from ..operators.joins import as_of, effective, interval_join
 from ..operators.statistics import MAD_SCALE, nearest_ranks, percentile
 from ..operators.windows import runs, trailing_sum, with_next, with_previous
+from ..sources.adapter import CAPABILITIES
 from .common import DAYS, HR, NIGHTS, SLEEP, DataFrame, F, SparkSession, days, instants, nights, registry, samples, sessions, table
 from .feature_queries import PROF, profiles
 from .store import cutoff
@@ -15,14 +16,6 @@ from .store import cutoff
 QUERIES, SQL, query = registry()
 r6 = numeric.rounded
 
-#: Fixed values of the data contract: the kinds of signals, whether the source gives them, from where, and their resolution in seconds.
-CAPABILITIES = (
-    ("heart_rate", True, "measured", 60), ("resting_heart_rate", True, "vendor", 86400), ("spo2", True, "measured", 600), ("respiratory_rate", True, "vendor", 86400),
-    ("sleep_session", True, "vendor", None), ("sleep_stage", True, "vendor", 60), ("daily_activity", True, "vendor", 86400), ("workout", True, "vendor", None), ("stress", True, "vendor", 300),
-    ("beat_interval", False, None, None), ("hrv", False, None, None), ("skin_temperature", False, None, None), ("vendor_metric", True, "vendor", None), ("steps", True, "measured", 60),
-)
-
-
 # scans
 @query("select source_record_id, sid, ts, bpm from hr where ts >= (select (max(ts) - 172800) // 86400 * 86400 from hr)", HR)
 def src_cutoff_scan(spark: SparkSession, d: str) -> DataFrame:

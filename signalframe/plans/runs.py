@@ -20,6 +20,7 @@ from ..functions.identity import source_key
 from ..operators import reconcile as r
 from ..operators.regular import day_number
 from ..sources import databases as db
+from ..sources.adapter import CAPABILITIES, TableSource
 from . import features as f
 from . import metric_table as t
 from . import normalize as n
@@ -227,6 +228,24 @@ def generation_id(fingerprint: str, policy_version: str, last_run: str) -> str:
     return hashlib.sha256("\0".join((last_run, policy_version, fingerprint)).encode()).hexdigest()
 
 
+def signals(store: Store, generation: str) -> TableSource:
+    """The normalized tables of a store as a source of signals, with the quality of each measurement."""
+    valid = lambda c, low, high: F.when(F.col(c).between(low, high), "VALID").otherwise("INVALID")
+    at = lambda name: store.table(name).withColumn("ts", F.col("timestamp_utc"))
+    kinds = {
+        "heart_rate": lambda: at("heart_rate").withColumn("quality", valid("bpm", 25, 240)),
+        "spo2": lambda: at("spo2").withColumn("quality", n.saturation_quality(F.col("value"))),
+        "stress": lambda: at("stress"),
+        "sleep_session": lambda: store.table("sleep_sessions").withColumnsRenamed({"sleep_start_utc": "s", "sleep_end_utc": "t"}),
+        "sleep_stage": lambda: store.table("sleep_stages").withColumnsRenamed({"start_timestamp_utc": "start", "end_timestamp_utc": "end"}).withColumns({"stage": n.stage_name(F.col("raw_state")), "flags": n.stage_flags(F.col("raw_state"))}),
+        "workout": lambda: store.table("workouts").withColumnRenamed("start_timestamp_utc", "s"),
+        "daily_activity": lambda: store.table("daily_summary").withColumns({"day": day_number(F.col("local_date")), "distance": F.lit(None).cast("double")}),
+        "resting_heart_rate": lambda: store.table("daily_summary").filter("resting_hr > 0").select("sid", day_number(F.col("local_date")).alias("day"), "resting_hr"),
+        "respiratory_rate": lambda: store.table("sleep_sessions").filter("avg_respiratory_rate > 0").select("sid", "source_record_id", F.col("sleep_end_utc").alias("t"), F.col("avg_respiratory_rate").alias("rate"), F.lit("PARTIAL").alias("quality")),
+    }
+    return TableSource(kinds, store.spark.createDataFrame(CAPABILITIES, "kind string, supported boolean, origin string, resolution_s int"), generation)
+
+
 def _features(store: Store, days: DataFrame | None, revision: str, options: dict) -> tuple[DataFrame, DataFrame]:
     """Features of the given (sid, day), or of all days, from the normalized tables; readings of the days beside them are read too."""
     near = None if days is None else days.select("sid", F.explode(F.sequence(F.col("day") - 1, F.col("day") + 1)).alias("day")).distinct()

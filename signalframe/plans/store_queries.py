@@ -180,6 +180,24 @@ def join_json_probe(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "physical_records", "source_db_id", "value_json").groupBy("source_db_id").agg(F.max(F.when(valid, found.cast("bigint"))).alias("gives_rate"))
 
 
+@query(
+    """, r as (select sid, source_record_id, ts, 'heart_rate' as kind, bpm::double as value, case when bpm between 25 and 240 then 'VALID' else 'INVALID' end as quality from hr where bpm is not null
+      union all select sid, source_record_id, ts, 'spo2', 85 + ts % 17, case when 85 + ts % 17 > 100 then 'INVALID' else 'VALID' end from hr union all select sid, source_record_id, ts, 'stress', ts % 100, null from hr)
+    select kind, quality, count(*)::bigint as n, min(ts) as first_ts, max(ts) as last_ts, sum(value) as total from r where ts >= 1748736000 and ts < 1751328000 group by 1, 2""",
+    HR,
+)
+def src_kinds(spark: SparkSession, d: str) -> DataFrame:
+    """SRC-10, SRC-18, CLN-12, CLN-13: half-open ranges of three kinds of signals through the source protocol, with their quality."""
+    from ..sources.adapter import CAPABILITIES, TableSource
+
+    readings = from_readings(spark, d)
+    at = lambda k, v, q: lambda: n.samples(readings, k).select("sid", "source_record_id", F.col("timestamp_utc").alias("ts"), F.lit(k).alias("kind"), F.col(v).cast("double").alias("value"), q.alias("quality"))
+    kinds = {"heart_rate": at("heart_rate", "bpm", F.when(F.col("bpm").between(25, 240), "VALID").otherwise("INVALID")), "spo2": at("spo2", "value", n.saturation_quality(F.col("value"))), "stress": at("stress", "value", F.lit(None).cast("string"))}
+    source = TableSource(kinds, spark.createDataFrame(CAPABILITIES, "kind string, supported boolean, origin string, resolution_s int"), "g")
+    x = source.read("heart_rate", 1748736000, 1751328000).union(source.read("spo2", 1748736000, 1751328000)).union(source.read("stress", 1748736000, 1751328000))
+    return x.groupBy("kind", "quality").agg(F.count("*").alias("n"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"), F.sum("value").alias("total"))
+
+
 # profiles
 @query(
     """, x as (select source_record_id, 'heart_rate_range' as warning from hr where bpm < 25 or bpm > 240 union select source_record_id || ':spo2:sample', 'spo2_range' from hr where 85 + ts % 17 > 100 union select source_record_id, 'timestamp_range' from hr where ts < 1738368000 or ts > 1764547200

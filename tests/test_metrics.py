@@ -46,6 +46,13 @@ def test_clock(spark):
     assert far.select(clock.local_date(F.col("t"), F.col("off"))).first()[0] is None
 
 
+def test_dates_in_zones(spark):
+    df = spark.sql("select timestamp '2025-03-29 23:30:00' as t, z, o from values ('Europe/Berlin', 0), (null, -7200), (null, 1800) v(z, o)")
+    assert [str(r[0]) for r in df.select(clock.date_at(F.col("t"), zone=F.col("z"), offset=F.col("o"))).collect()] == ["2025-03-30", "2025-03-29", "2025-03-30"]
+    with pytest.raises(Exception):  # noqa: B017
+        df.select(clock.date_at(F.col("t"), zone=F.col("z"))).collect()
+
+
 def test_freshness(spark):
     df = spark.createDataFrame([(None, 100, True), ("2025-01-01", 100, True), ("2025-01-02", 200_000, True), ("2025-01-02", 99_000, True), ("2025-01-02", 99_000, False), ("2025-01-02", 200, True)], "d string, t bigint, cur boolean")
     fresh = clock.freshness(F.col("d"), F.lit("2025-01-02"), F.col("t"), F.lit(150_000), F.col("cur"))
@@ -310,13 +317,14 @@ def test_change_points_go_on_from_a_token(spark, cut):
 # features
 
 
-def night_inputs(spark, stages):
+def night_inputs(spark, stages, hrv=None):
     s = spark.createDataFrame([("s", "n1", 0, 28800, 0, 480.0, 1, 0, 16.0), ("s", "nap", 40000, 45000, 0, 80.0, 0, 1, None), ("s", "other", 100, 28000, 0, 400.0, 0, 0, None)], "sid string, source_record_id string, s bigint, t bigint, off int, duration_minutes double, has_stages int, is_nap_inferred int, respiratory double")
     st_ = spark.createDataFrame([("n1", i, k, a, b) for i, (k, a, b) in enumerate(stages)], "source_record_id string, stage_index int, stage string, start bigint, end bigint")
     hr = spark.createDataFrame([("s", t, 60.0) for t in range(0, 28800, 60)] + [("s", 30, 250.0), ("s", 28800, 40.0)], "sid string, ts bigint, bpm double")
     rhr = spark.createDataFrame([("s", 0, 55.0)], "sid string, day bigint, rhr double")
     o2 = spark.createDataFrame([("s", t, 97.0) for t in range(0, 28800, 600)] + [("s", 5, 0.0)], "sid string, ts bigint, value double")
-    return f.nightly(s, st_, hr, rhr, o2)
+    given = None if hrv is None else spark.createDataFrame([("s", "n1", hrv)], "sid string, source_record_id string, value double")
+    return f.nightly(s, st_, hr, rhr, o2, given)
 
 
 def table(spark, nights, *dailies):
@@ -360,6 +368,13 @@ def test_every_metric_is_in_the_table(spark):
     assert t.filter("n_inputs > 0 and (inputs_hash is null or last_input is null)").count() == 0 and t.filter("length(metadata) >= 500").count() == 0
 
 
+def test_measured_variability(spark):
+    n = night_inputs(spark, WHOLE, 42.0).first()
+    assert (n["rmssd"], round(n["ln_rmssd"], 6)) == (42.0, round(math.log(42), 6)) and n["fingerprint"] != night_inputs(spark, WHOLE).first()["fingerprint"]
+    with pytest.raises(Exception):  # noqa: B017
+        night_inputs(spark, WHOLE, 0.0).collect()
+
+
 def test_fingerprints_follow_the_inputs(spark):
     a, b = night_inputs(spark, WHOLE).first(), night_inputs(spark, WHOLE[:-1]).first()
     assert a["fingerprint"] == night_inputs(spark, WHOLE).first()["fingerprint"] != b["fingerprint"] and a["n_sources"] == 1 + 4 + 481 + 48

@@ -52,6 +52,16 @@ def history(n, sid="a"):
     return [x for i, v in enumerate(rates(n)) for x in night(i, v, sid)]
 
 
+@pytest.fixture(autouse=True)
+def interpreted(spark):
+    """Runs have many small plans: compiling them takes far longer than these rows do."""
+    spark.conf.set("spark.sql.codegen.wholeStage", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.unset("spark.sql.codegen.wholeStage")
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
 @pytest.fixture
 def profile(spark):
     return spark.createDataFrame([("a", "sleep_target_min", 450.0, FIRST, None)], "sid string, field string, value double, effective_from bigint, effective_to bigint")
@@ -123,7 +133,7 @@ def test_incremental_equals_full(spark, tmp_path, profile):
 
     x = status.status(store, F.lit(FIRST + 100), F.lit((FIRST + 100) * DAY + 2 * 14400))
     one = {r["sid"]: r["freshness"] for r in x["overview"].collect()}
-    assert one == {"a": "FRESH", "b": "HISTORICAL"} and x["sanity"].count() == 0 and x["validate"].first()["sleep_sessions"] == 109 and len(json.loads(status.report(**x))) == 7
+    assert one == {"a": "FRESH", "b": "HISTORICAL"} and x["sanity"].count() == 0 and x["validate"].first()["sleep_sessions"] == 108 and len(json.loads(status.report(**x))) == 7
     revisions = store.table("metric_revisions").count()
     assert revisions >= len(before) and analyze(store, force=True)["full"] and shown(store) == after and store.table("metric_revisions").count() == revisions  # nothing new to keep
 

@@ -183,6 +183,8 @@ def daily_cells(raw: DataFrame) -> DataFrame:
     j = Json(F.col("payload"))
     rows = rows.withColumn("named", j.whole("date_time"))
     dated = F.when(F.col("source_table") == "heart_rate", local_date(truthy_or(F.col("named"), F.col("time")), F.lit(0))).otherwise(F.col("local_date"))
+    # always true, but not to the optimizer: else the filter on the date would carry copies of the payload's parsing below it
+    dated = F.when(F.monotonically_increasing_id() >= 0, dated)
     breaths = F.transform(F.filter(F.coalesce(_items("segment_details"), F.array().cast("array<variant>")), lambda i: F.try_variant_get(i, "$.avg_breath", "double").isNotNull()), lambda i: F.try_variant_get(i, "$.avg_breath", "double"))
     breath = F.when(F.size(breaths) > 0, F.aggregate(breaths, F.lit(0.0), lambda a, x: a + x) / F.size(breaths)).otherwise(j.real("avg_breath"))
     names = ("sid", "source_table", "time", "source_record_id")

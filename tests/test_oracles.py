@@ -22,6 +22,26 @@ def con():
     return c
 
 
+@pytest.fixture(scope="module", autouse=True)
+def features_once():
+    """Many queries start from the features of the same folder: here they are made once."""
+    from signalframe.plans import feature_queries as q
+    from signalframe.session import materialize
+
+    with pytest.MonkeyPatch.context() as m:
+        for name in ("night_features", "day_features"):
+            made, real = {}, getattr(q, name)
+
+            def once(spark, d, made=made, real=real, **options):
+                key = (d, *sorted(options.items()))
+                if key not in made:
+                    made[key] = materialize(real(spark, d, **options))
+                return made[key]
+
+            m.setattr(q, name, once)
+        yield
+
+
 def plain(v):
     if v is None or v != v:
         return ("0",)

@@ -26,6 +26,12 @@ def truthy_or(value: Column, other: Column) -> Column:
     return F.coalesce(F.when(value != 0, value), other)
 
 
+def settled(value: Column) -> Column:
+    """The value, evaluated once where it stands: always the same to us, but not to the optimizer, which would else copy the
+    expressions below into every filter and column above."""
+    return F.when(F.monotonically_increasing_id() >= 0, value)
+
+
 def positive(value: Column) -> Column:
     """Null for sentinels: zero and negative values."""
     return F.when(value > 0, value)

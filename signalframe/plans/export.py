@@ -17,22 +17,23 @@ def _json(**fields: Column) -> Column:
     return F.to_json(F.struct(*[v.alias(k) for k, v in fields.items()]))
 
 
-def _records(df: DataFrame, *rows: tuple[str, Column, Column, Column]) -> DataFrame:
-    """Raw records (source table, key, time, payload) of each row of ``df`` (sid, id, off)."""
+def _records(df: DataFrame, tables: tuple[str, ...], *rows: tuple[str, Column, Column, Column]) -> DataFrame:
+    """Raw records (source table, key, time, payload) of each row of ``df`` (sid, id, off); with ``tables`` only theirs are written."""
+    rows = tuple(r for r in rows if not tables or r[0] in tables)
     made = F.array(*[F.struct(F.lit(t).alias("source_table"), key.alias("key"), at.cast("bigint").alias("time"), value.alias("value"), F.concat("id", F.lit(f":{t}:"), key).alias("source_record_id")) for t, key, at, value in rows])
     return df.select("sid", "off", F.explode(made).alias("r")).select("sid", "r.source_record_id", "r.source_table", "r.key", "r.time", F.lit(None).cast("bigint").alias("time_zero"), F.col("off").cast("bigint").alias("zone_offset"), "r.value")
 
 
-def from_readings(spark: SparkSession, d: str) -> DataFrame:
+def from_readings(spark: SparkSession, d: str, *tables: str) -> DataFrame:
     hr = samples(spark, d).withColumnRenamed("source_record_id", "id")
     ts, key = F.col("ts"), F.lit("sample")
     return _records(
-        hr, ("heart_rate", F.col("kind"), ts, _json(time=ts, bpm=F.col("bpm"))), ("spo2", key, ts, _json(spo2=85 + ts % 17)), ("stress", key, ts, _json(time=F.lit(0), stress=(ts % 100).cast("string"))),
+        hr, tables, ("heart_rate", F.col("kind"), ts, _json(time=ts, bpm=F.col("bpm"))), ("spo2", key, ts, _json(spo2=85 + ts % 17)), ("stress", key, ts, _json(time=F.lit(0), stress=(ts % 100).cast("string"))),
         ("steps", key, ts, _json(time=ts, steps=ts % 50, distance=F.lit("1.5"), calories=ts % 7 == 0)), ("calories", key, ts, _json(calories=ts % 9 / 2)), ("intensity", key, ts, F.lit("{}")),
     )
 
 
-def from_sessions(spark: SparkSession, d: str) -> DataFrame:
+def from_sessions(spark: SparkSession, d: str, *tables: str) -> DataFrame:
     x = sessions(spark, d).withColumnRenamed("source_record_id", "id")
     s, t = F.col("s"), F.col("t")
     edge = lambda i: s + F.floor((t - s) * i / 6)
@@ -41,10 +42,10 @@ def from_sessions(spark: SparkSession, d: str) -> DataFrame:
     items = F.array(*[F.struct(code(i).alias("state"), edge(i).alias("start_time"), (edge(i + 1) - short(i)).alias("end_time")) for i in range(6)])
     night = _json(bedtime=s, wake_up_time=t, duration=F.col("duration_minutes"), sleep_score=F.col("sleep_score"), avg_breath=F.col("avg_respiratory_rate"), has_rem=F.col("has_stages") == 1, items=F.when(F.col("has_stages") == 1, items))
     sport = _json(start_time=s - 7200, end_time=s - 3600, sport_type=F.lit("run"), calories=F.lit(0), total_cal=100 + s % 50, duration=F.lit("3600"), avg_hrm=F.lit(120))
-    return _records(x, ("sleep", F.lit("night"), t, night), ("sport", F.lit("outdoor"), s - 7200, sport))
+    return _records(x, tables, ("sleep", F.lit("night"), t, night), ("sport", F.lit("outdoor"), s - 7200, sport))
 
 
-def from_days(spark: SparkSession, d: str) -> DataFrame:
+def from_days(spark: SparkSession, d: str, *tables: str) -> DataFrame:
     x = days(spark, d).select("*", F.concat_ws("/", "sid", F.col("day").cast("string")).alias("id"), F.lit(0).alias("off"))
     noon, day, key = F.col("day") * 86400 + 43200, F.col("day"), F.lit("day")
     item = lambda at, v: F.struct(at.alias("time"), v.alias("value"))
@@ -52,7 +53,7 @@ def from_days(spark: SparkSession, d: str) -> DataFrame:
     breath = lambda v: F.struct(v.cast("double").alias("avg_breath"))
     night = _json(total_duration=400 + day % 60, avg_hr=F.lit(60), avg_breath=F.lit(99), segment_details=F.array(breath(12 + day % 5), breath(F.lit(16)), breath(F.lit(None))))
     return _records(
-        x, ("steps_day", key, noon, _json(steps=F.col("steps"))), ("heart_rate_day", key, noon, _json(avg_rhr=F.col("rhr"), avg_hr=F.lit(70), min_hr=40 + day % 20)), ("spo2_day", key, noon, _json(avg_spo2=90 + day % 9)),
+        x, tables, ("steps_day", key, noon, _json(steps=F.col("steps"))), ("heart_rate_day", key, noon, _json(avg_rhr=F.col("rhr"), avg_hr=F.lit(70), min_hr=40 + day % 20)), ("spo2_day", key, noon, _json(avg_spo2=90 + day % 9)),
         ("stress_day", key, noon, _json(avg_stress=day % 100, max_stress=F.lit("high"))), ("calories_day", key, noon, _json(calories=F.col("calories"))), ("intensity_day", key, noon, _json(duration=F.col("active"))),
         ("valid_stand_day", key, noon, _json(count=F.col("stands"))), ("valid_stand", key, noon, _json(start_time=noon, end_time=noon + 60 * F.coalesce("stands", F.lit(0)))), ("vitality", key, noon, _json(latest_accumulated_vitality=day % 100)),
         ("sleep_day", key, noon, night), ("heart_rate", F.lit("resting_heart_rate"), noon, _json(date_time=noon, bpm=F.col("rhr") + 1)), ("heart_rate", F.lit("high_heart_rate"), noon, event),

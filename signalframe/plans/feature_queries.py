@@ -75,18 +75,18 @@ def _dated(x: DataFrame) -> DataFrame:
 
 
 def night_features(spark: SparkSession, d: str, **options) -> DataFrame:
-    readings, days = from_readings(spark, d), n.daily_summary(from_days(spark, d))
-    s = n.sleep_sessions(from_sessions(spark, d)).withColumnsRenamed({"sleep_start_utc": "s", "sleep_end_utc": "t", "utc_offset_seconds": "off", "avg_respiratory_rate": "respiratory"})
-    stages = n.sleep_stages(from_sessions(spark, d)).select("source_record_id", "stage_index", n.stage_name(F.col("raw_state")).alias("stage"), F.col("start_timestamp_utc").alias("start"), F.col("end_timestamp_utc").alias("end"))
+    readings = lambda kind: _dated(n.samples(from_readings(spark, d, kind), kind))
+    days = n.daily_summary(from_days(spark, d, "heart_rate_day", "heart_rate"))
+    s = n.sleep_sessions(from_sessions(spark, d, "sleep")).withColumnsRenamed({"sleep_start_utc": "s", "sleep_end_utc": "t", "utc_offset_seconds": "off", "avg_respiratory_rate": "respiratory"})
+    stages = n.sleep_stages(from_sessions(spark, d, "sleep")).select("source_record_id", "stage_index", n.stage_name(F.col("raw_state")).alias("stage"), F.col("start_timestamp_utc").alias("start"), F.col("end_timestamp_utc").alias("end"))
     rhr = days.select("sid", day_number(F.col("local_date")).alias("day"), F.when(F.col("resting_hr") > 0, F.col("resting_hr")).alias("rhr"))
-    return f.nightly(s, stages, _dated(n.samples(readings, "heart_rate")), rhr, _dated(n.samples(readings, "spo2")), **options)
+    return f.nightly(s, stages, readings("heart_rate"), rhr, readings("spo2"), **options)
 
 
 def day_features(spark: SparkSession, d: str, **options) -> DataFrame:
-    readings = from_readings(spark, d)
     x = n.daily_summary(from_days(spark, d))
     days = x.select("sid", day_number(F.col("local_date")).alias("day"), F.col("steps").cast("bigint").alias("steps"), F.col("total_calories").alias("calories"), F.col("activity_duration_minutes").alias("active"), F.col("standing_count").cast("int").alias("stands"), F.when(F.col("resting_hr") > 0, F.col("resting_hr")).alias("rhr"))
-    return f.daily(days, *[_dated(n.samples(readings, kind)) for kind in ("heart_rate", "stress", "spo2")], **options)
+    return f.daily(days, *[_dated(n.samples(from_readings(spark, d, kind), kind)) for kind in ("heart_rate", "stress", "spo2")], **options)
 
 
 def profiles(spark: SparkSession, d: str) -> DataFrame:

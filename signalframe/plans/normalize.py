@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.clock import local_date
-from ..functions.numeric import truthy_or
+from ..functions.numeric import settled, truthy_or
 
 #: Source tables of samples, with the JSON fields of each target column.
 SAMPLES = {
@@ -98,7 +98,7 @@ def with_payload(raw: DataFrame) -> DataFrame:
     """Add the parsed payload (null if it isn't a JSON object) and the local date of the record."""
     v = F.try_parse_json("value")
     v = F.when(F.schema_of_variant(v).startswith("OBJECT"), v)
-    return raw.withColumn("payload", v).withColumn("local_date", local_date(F.col("time"), F.col("zone_offset"), F.col("time_zero")))
+    return raw.withColumn("payload", settled(v)).withColumn("local_date", local_date(F.col("time"), F.col("zone_offset"), F.col("time_zero")))
 
 
 def samples(raw: DataFrame, source_table: str) -> DataFrame:
@@ -109,7 +109,7 @@ def samples(raw: DataFrame, source_table: str) -> DataFrame:
         rows = rows.filter(F.col("key").isin(*HEART_RATE_KEYS))
     at = truthy_or(j.whole("time"), F.col("time"))
     offset = F.coalesce("zone_offset", F.lit(0))
-    out = rows.select("sid", "source_record_id", at.alias("timestamp_utc"), "zone_offset", "key", *[j.field(f).alias(c) for c, f in SAMPLES[source_table].items()])
+    out = rows.select("sid", "source_record_id", settled(at).alias("timestamp_utc"), "zone_offset", "key", *[j.field(f).alias(c) for c, f in SAMPLES[source_table].items()])
     out = out.withColumn("local_timestamp", F.col("timestamp_utc") + offset).withColumn("local_date", local_date(F.col("timestamp_utc"), F.col("zone_offset")))
     need = NEEDED.get(source_table)
     return out.filter(F.col("timestamp_utc").isNotNull() & (F.col(need).isNotNull() if need else F.lit(True))).withColumnsRenamed({"zone_offset": "utc_offset_seconds", "key": "kind"})
@@ -149,7 +149,7 @@ def sleep_sessions(raw: DataFrame) -> DataFrame:
     flag = lambda f: F.coalesce((j.kind(f) == "BOOLEAN") & j.get(f, "boolean"), F.lit(False))
     stages = (flag("has_stage") | (F.coalesce(F.size(_items("items")), F.lit(0)) > 0)).cast("int")
     out = with_payload(raw.filter("source_table = 'sleep'")).select(
-        "sid", "source_record_id", truthy_or(j.whole("bedtime"), j.whole("device_bedtime")).alias("sleep_start_utc"), truthy_or(j.whole("wake_up_time"), F.col("time")).alias("sleep_end_utc"), "local_date",
+        "sid", "source_record_id", truthy_or(j.whole("bedtime"), j.whole("device_bedtime")).alias("sleep_start_utc"), settled(truthy_or(j.whole("wake_up_time"), F.col("time"))).alias("sleep_end_utc"), "local_date",
         F.col("zone_offset").alias("utc_offset_seconds"), *[j.field(f).alias(c) for c, f in SLEEP_FIELDS.items()], stages.alias("has_stages"), flag("has_rem").cast("int").alias("has_rem"),
         F.coalesce(j.get("sleep_algorithm_version", "string"), j.get("version", "string"), F.lit("")).alias("algorithm_version"),
     )
@@ -160,7 +160,7 @@ def sleep_stages(raw: DataFrame) -> DataFrame:
     """Stages with their position; those without bounds are skipped, durations may be negative (checks come later)."""
     i = Json(F.col("item"))
     rows = with_payload(raw.filter("source_table = 'sleep'")).select("sid", "source_record_id", F.posexplode(_items("items")).alias("stage_index", "item")).filter(F.schema_of_variant("item").startswith("OBJECT"))
-    rows = rows.select("sid", "source_record_id", "stage_index", i.whole("state").alias("raw_state"), i.whole("start_time").alias("start_timestamp_utc"), i.whole("end_time").alias("end_timestamp_utc")).dropna(subset=["start_timestamp_utc", "end_timestamp_utc"])
+    rows = rows.select("sid", "source_record_id", "stage_index", i.whole("state").alias("raw_state"), i.whole("start_time").alias("start_timestamp_utc"), settled(i.whole("end_time")).alias("end_timestamp_utc")).dropna(subset=["start_timestamp_utc", "end_timestamp_utc"])
     name = reduce(lambda c, s: c.when(F.col("raw_state") == s, STAGES[s]), list(STAGES)[1:], F.when(F.col("raw_state") == 2, STAGES[2]))
     return rows.withColumn("stage", name.otherwise(F.concat(F.lit("unknown_"), F.coalesce(F.col("raw_state").cast("string"), F.lit("None"))))).withColumn("duration_minutes", (F.col("end_timestamp_utc") - F.col("start_timestamp_utc")) / 60.0)
 
@@ -183,8 +183,7 @@ def daily_cells(raw: DataFrame) -> DataFrame:
     j = Json(F.col("payload"))
     rows = rows.withColumn("named", j.whole("date_time"))
     dated = F.when(F.col("source_table") == "heart_rate", local_date(truthy_or(F.col("named"), F.col("time")), F.lit(0))).otherwise(F.col("local_date"))
-    # always true, but not to the optimizer: else the filter on the date would carry copies of the payload's parsing below it
-    dated = F.when(F.monotonically_increasing_id() >= 0, dated)
+    dated = settled(dated)
     breaths = F.transform(F.filter(F.coalesce(_items("segment_details"), F.array().cast("array<variant>")), lambda i: F.try_variant_get(i, "$.avg_breath", "double").isNotNull()), lambda i: F.try_variant_get(i, "$.avg_breath", "double"))
     breath = F.when(F.size(breaths) > 0, F.aggregate(breaths, F.lit(0.0), lambda a, x: a + x) / F.size(breaths)).otherwise(j.real("avg_breath"))
     names = ("sid", "source_table", "time", "source_record_id")

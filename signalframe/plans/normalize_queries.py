@@ -43,77 +43,77 @@ def nrm_heart_rate(spark: SparkSession, d: str) -> DataFrame:
 @query("select sid, source_record_id || ':spo2:sample' as source_record_id, ts as timestamp_utc, ts + off as local_timestamp, make_timestamp((ts + off) * 1000000)::date as local_date, off as utc_offset_seconds, 'sample' as kind, (85 + ts % 17)::double as value from hr", HR)
 def nrm_spo2(spark: SparkSession, d: str) -> DataFrame:
     """NRM-06: saturation samples; without a time in the payload that of the record counts."""
-    return n.samples(from_readings(spark, d), "spo2")
+    return n.samples(from_readings(spark, d, "spo2"), "spo2")
 
 
 @query("select value_quality, count(*)::bigint as n, min(value) as lowest, max(value) as highest from (select (85 + ts % 17)::double as value, case when 85 + ts % 17 > 100 then 'INVALID' else 'VALID' end as value_quality from hr) group by 1", HR)
 def cln_saturation_quality(spark: SparkSession, d: str) -> DataFrame:
     """CLN-13: quality of saturation samples; what can't be stays, marked (sentinels are tested on a fixture)."""
-    x = n.samples(from_readings(spark, d), "spo2").withColumn("value_quality", n.saturation_quality(F.col("value")))
+    x = n.samples(from_readings(spark, d, "spo2"), "spo2").withColumn("value_quality", n.saturation_quality(F.col("value")))
     return x.groupBy("value_quality").agg(F.count("*").alias("n"), F.min("value").alias("lowest"), F.max("value").alias("highest"))
 
 
 @query("select sid, source_record_id || ':stress:sample' as source_record_id, ts as timestamp_utc, (ts % 100)::double as value from hr", HR)
 def nrm_stress(spark: SparkSession, d: str) -> DataFrame:
     """NRM-07, CLN-11: stress samples; a time of zero is none, numbers may be texts."""
-    return n.samples(from_readings(spark, d), "stress").select("sid", "source_record_id", "timestamp_utc", "value")
+    return n.samples(from_readings(spark, d, "stress"), "stress").select("sid", "source_record_id", "timestamp_utc", "value")
 
 
 @query("select sid, source_record_id || ':steps:sample' as source_record_id, ts as timestamp_utc, (ts % 50)::bigint as steps, 1.5::double as distance, null::double as calories from hr", HR)
 def nrm_steps(spark: SparkSession, d: str) -> DataFrame:
     """NRM-08, CLN-01, CLN-02: activity samples; true and false are no numbers."""
-    return n.samples(from_readings(spark, d), "steps").select("sid", "source_record_id", "timestamp_utc", "steps", "distance", "calories")
+    return n.samples(from_readings(spark, d, "steps"), "steps").select("sid", "source_record_id", "timestamp_utc", "steps", "distance", "calories")
 
 
 @query("select sid, count(*)::bigint as n, round(sum((ts % 9) / 2.0), 3)::double as calories, min(ts) as first_ts, max(ts) as last_ts from hr group by 1", HR)
 def nrm_calories(spark: SparkSession, d: str) -> DataFrame:
     """NRM-09: calorie samples of each device."""
-    x = n.samples(from_readings(spark, d), "calories")
+    x = n.samples(from_readings(spark, d, "calories"), "calories")
     return x.groupBy("sid").agg(F.count("*").alias("n"), F.round(F.sum("calories"), 3).alias("calories"), F.min("timestamp_utc").alias("first_ts"), F.max("timestamp_utc").alias("last_ts"))
 
 
 @query("select sid, make_timestamp((ts + off) * 1000000)::date as local_date, count(*)::bigint as n from hr group by 1, 2", HR)
 def nrm_intensity(spark: SparkSession, d: str) -> DataFrame:
     """NRM-10: intensity samples have a time only."""
-    return n.samples(from_readings(spark, d), "intensity").groupBy("sid", "local_date").agg(F.count("*").alias("n"))
+    return n.samples(from_readings(spark, d, "intensity"), "intensity").groupBy("sid", "local_date").agg(F.count("*").alias("n"))
 
 
 @query("select sid, sid || '/' || day || ':valid_stand:day' as source_record_id, day * 86400 + 43200 as start_timestamp_utc, day * 86400 + 43200 + 60 * coalesce(stands, 0) as end_timestamp_utc, date '1970-01-01' + day::int as local_date from days", DAYS)
 def nrm_standing(spark: SparkSession, d: str) -> DataFrame:
     """NRM-11: standing intervals."""
-    return n.standing_intervals(from_days(spark, d)).drop("utc_offset_seconds")
+    return n.standing_intervals(from_days(spark, d, "valid_stand")).drop("utc_offset_seconds")
 
 
 @query("select sid, sid || '/' || day || ':heart_rate:high_heart_rate' as source_record_id, 'high_heart_rate' as event_type, day * 86400 + 43200 as start_timestamp_utc, day * 86400 + 43200 as end_timestamp_utc, 2 as sample_count, least(120 + day % 30, 110 + day % 40)::double as min_bpm, greatest(120 + day % 30, 110 + day % 40)::double as max_bpm from days", DAYS)
 def nrm_heart_rate_events(spark: SparkSession, d: str) -> DataFrame:
     """NRM-02: events of high heart rate."""
-    return n.heart_rate_events(from_days(spark, d)).drop("local_date")
+    return n.heart_rate_events(from_days(spark, d, "heart_rate")).drop("local_date")
 
 
 @query("select sid, sid || '/' || day || ':heart_rate:high_heart_rate' as source_record_id, i as sample_index, day * 86400 + 43200 + 60 * i as timestamp_utc, (case i when 0 then 120 + day % 30 else 110 + day % 40 end)::double as value from days, (values (0), (1)) v(i)", DAYS)
 def nrm_heart_rate_event_samples(spark: SparkSession, d: str) -> DataFrame:
     """NRM-03: the samples of the events."""
-    return n.heart_rate_event_samples(from_days(spark, d))
+    return n.heart_rate_event_samples(from_days(spark, d, "heart_rate"))
 
 
 @query("select sid, source_record_id || ':sleep:night' as source_record_id, s as sleep_start_utc, t as sleep_end_utc, off as utc_offset_seconds, duration_minutes, sleep_score, avg_respiratory_rate, (has_stages = 1)::int as has_stages, (has_stages = 1)::int as has_rem, is_nap_inferred, '' as algorithm_version from xs", *NIGHT_CTES)
 def nrm_sleep_sessions(spark: SparkSession, d: str) -> DataFrame:
     """NRM-12, CLN-23: sessions; one without stages and under four hours is a nap."""
-    x = n.sleep_sessions(from_sessions(spark, d))
+    x = n.sleep_sessions(from_sessions(spark, d, "sleep"))
     return x.select("sid", "source_record_id", "sleep_start_utc", "sleep_end_utc", "utc_offset_seconds", "duration_minutes", "sleep_score", "avg_respiratory_rate", "has_stages", "has_rem", "is_nap_inferred", "algorithm_version")
 
 
 @query("select source_record_id || ':sleep:night' as source_record_id, i as stage_index, code as raw_state, case when stage = 'unknown' then 'unknown_9' else stage end as stored, stage, case when stage = 'unknown' then 'UNKNOWN_SEMANTICS,VENDOR_DERIVED' else 'VENDOR_DERIVED' end as flags, b as start_timestamp_utc, e as end_timestamp_utc, round(mins, 6) as duration_minutes from xk", *NIGHT_CTES)
 def nrm_sleep_stages(spark: SparkSession, d: str) -> DataFrame:
     """NRM-13, SRC-12, CLN-22, CLN-24: stages as stored, and as features see them."""
-    x = n.sleep_stages(from_sessions(spark, d))
+    x = n.sleep_stages(from_sessions(spark, d, "sleep"))
     return x.select("source_record_id", "stage_index", "raw_state", F.col("stage").alias("stored"), n.stage_name(F.col("raw_state")).alias("stage"), n.stage_flags(F.col("raw_state")).alias("flags"), "start_timestamp_utc", "end_timestamp_utc", F.round("duration_minutes", 6).alias("duration_minutes"))
 
 
 @query("select sid, source_record_id || ':sport:outdoor' as source_record_id, s - 7200 as start_timestamp_utc, s - 3600 as end_timestamp_utc, 'outdoor' as workout_type, 'run' as sport_type, (100 + s % 50)::double as calories, 3600::double as duration_seconds, 120::double as avg_hr, null::double as training_load from sleep", SLEEP)
 def nrm_workouts(spark: SparkSession, d: str) -> DataFrame:
     """NRM-16, SRC-17, CLN-11: workouts; no calories fall back to the total."""
-    return n.workouts(from_sessions(spark, d), "sport").select("sid", "source_record_id", "start_timestamp_utc", "end_timestamp_utc", "workout_type", "sport_type", "calories", "duration_seconds", "avg_hr", "training_load")
+    return n.workouts(from_sessions(spark, d, "sport"), "sport").select("sid", "source_record_id", "start_timestamp_utc", "end_timestamp_utc", "workout_type", "sport_type", "calories", "duration_seconds", "avg_hr", "training_load")
 
 
 @query(

@@ -50,7 +50,7 @@ def snk_partial_upsert(spark: SparkSession, d: str) -> DataFrame:
 @query("select source_record_id || ':sleep:night' as source_record_id, i as stage_index, code as raw_state from xt join xs using (source_record_id) where not coalesce(duration_minutes < 300, false) or i < 3", *NIGHT_CTES)
 def snk_replace_children(spark: SparkSession, d: str) -> DataFrame:
     """SNK-03: the stages of short sessions replaced by their first three; those of others stay."""
-    raw = from_sessions(spark, d)
+    raw = from_sessions(spark, d, "sleep")
     stages = n.sleep_stages(raw).select("source_record_id", "stage_index", "raw_state")
     short = n.sleep_sessions(raw).filter("duration_minutes < 300").select("source_record_id")
     new = stages.join(short, "source_record_id", "left_semi").filter("stage_index < 3")
@@ -190,8 +190,7 @@ def src_kinds(spark: SparkSession, d: str) -> DataFrame:
     """SRC-10, SRC-18, CLN-12, CLN-13: half-open ranges of three kinds of signals through the source protocol, with their quality."""
     from ..sources.adapter import CAPABILITIES, TableSource
 
-    readings = from_readings(spark, d)
-    at = lambda k, v, q: lambda: n.samples(readings, k).select("sid", "source_record_id", F.col("timestamp_utc").alias("ts"), F.lit(k).alias("kind"), F.col(v).cast("double").alias("value"), q.alias("quality"))
+    at = lambda k, v, q: lambda: n.samples(from_readings(spark, d, k), k).select("sid", "source_record_id", F.col("timestamp_utc").alias("ts"), F.lit(k).alias("kind"), F.col(v).cast("double").alias("value"), q.alias("quality"))
     kinds = {"heart_rate": at("heart_rate", "bpm", F.when(F.col("bpm").between(25, 240), "VALID").otherwise("INVALID")), "spo2": at("spo2", "value", n.saturation_quality(F.col("value"))), "stress": at("stress", "value", F.lit(None).cast("string"))}
     source = TableSource(kinds, spark.createDataFrame(CAPABILITIES, "kind string, supported boolean, origin string, resolution_s int"), "g")
     x = source.read("heart_rate", 1748736000, 1751328000).union(source.read("spo2", 1748736000, 1751328000)).union(source.read("stress", 1748736000, 1751328000))
@@ -206,7 +205,7 @@ def src_kinds(spark: SparkSession, d: str) -> DataFrame:
 )
 def dq_ranges(spark: SparkSession, d: str) -> DataFrame:
     """DQ-02: values and times outside their limits, in readings, saturations and sessions; the limits of time are parameters."""
-    hr, spo2, night = samples(spark, d), n.samples(from_readings(spark, d), "spo2"), n.sleep_sessions(from_sessions(spark, d))
+    hr, spo2, night = samples(spark, d), n.samples(from_readings(spark, d, "spo2"), "spo2"), n.sleep_sessions(from_sessions(spark, d, "sleep"))
     first, last = 1738368000, 1764547200
     found = [runs.range_warnings(hr, "bpm", 25, 240, "heart_rate_range"), runs.range_warnings(spo2, "value", 50, 100, "spo2_range"), runs.range_warnings(hr, "ts", first, last, "timestamp_range"), runs.range_warnings(night, "sleep_end_utc", first, last, "timestamp_range")]
     return found[0].union(found[1]).union(found[2]).union(found[3]).distinct()
@@ -255,7 +254,7 @@ def prf_intervals(spark: SparkSession, d: str) -> DataFrame:
 )
 def prf_sleep_deltas(spark: SparkSession, d: str) -> DataFrame:
     """PRF-03: how far reported durations, stages and clocks of sessions are apart."""
-    raw = from_sessions(spark, d)
+    raw = from_sessions(spark, d, "sleep")
     x = n.sleep_sessions(raw).select("source_record_id", "duration_minutes", ((F.col("sleep_end_utc") - F.col("sleep_start_utc")) / 60.0).alias("span"))
     g = n.sleep_stages(raw).withColumn("secs", F.col("end_timestamp_utc") - F.col("start_timestamp_utc")).groupBy("source_record_id")
     g = g.agg((F.sum("secs") / 60.0).alias("total"), *[(F.sum(F.when(F.col("stage") == k, F.col("secs")).otherwise(0)) / 60.0).alias(k) for k in ("deep", "light", "rem")])
